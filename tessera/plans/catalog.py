@@ -113,3 +113,172 @@ def total_of_group_totals(spark, d):
     per_loc = matrix.volume_by_location(dom.tickets(spark, d), dom.users(spark, d),
                                         units="n_tickets", fact_key="user_id")
     return matrix.total_of_group_totals(per_loc, "units", "total_units")
+
+
+# --- C3, C5, C7, X1-X7, X12: text to arrays ---------------------------------
+
+from tessera.functions import scalars, text  # noqa: E402
+from tessera.operators import profile, staged  # noqa: E402
+from tessera.plans.tables import table  # noqa: E402
+
+DOC_MARKER = "the"
+
+
+def _words_after_marker(spark, d, n):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    out = text.with_words_after(docs, "text", DOC_MARKER, n, "hits")
+    return out.select("doc_id", F.size("hits").cast("long").alias("n_hits"),
+                      F.array_join("hits", "|").alias("hits"))
+
+
+@query
+def words_after_marker_n2(spark, d):
+    return _words_after_marker(spark, d, 2)
+
+
+@query
+def words_after_marker_n1(spark, d):
+    return _words_after_marker(spark, d, 1)
+
+
+@query
+def list_literal_roundtrip(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_name")
+    literal = F.concat(F.lit("['"), F.regexp_replace("p_name", " ", "', '"), F.lit("']"))
+    items = text.parse_list_literal(literal)
+    return p.select("p_partkey", F.size(items).cast("long").alias("n_items"),
+                    F.array_join(items, "|").alias("items"))
+
+
+@query
+def credits_text_parse(spark, d):
+    c = dom.credits(spark, d)
+    return c.select("id", F.array_join("actors", "|").alias("actors"),
+                    F.array_join("director", "|").alias("director"))
+
+
+@query
+def date_pattern_year(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    raw = F.date_format("o_orderdate", "dd/MM/yyyy")
+    release = scalars.date_from_pattern(raw)
+    return o.select("o_orderkey", release.alias("release_date"),
+                    F.year(release).alias("year"))
+
+
+# --- C16, C17, A13, A14, A26, A27: staged curtain aggregates -----------------
+
+CURTAIN_THRESHOLD = 0.041
+
+
+@query
+def two_stage_extremes(spark, d):
+    return staged.two_stage_extremes(dom.curtain(spark, d))
+
+
+@query
+def two_stage_extremes_long(spark, d):
+    return staged.two_stage_extremes(dom.curtain(spark, d), long=True)
+
+
+@query
+def groups_always_above(spark, d):
+    out = staged.groups_always_above(dom.curtain(spark, d), CURTAIN_THRESHOLD)
+    return out.select("month", F.array_join("faces", ",").alias("faces"))
+
+
+@query
+def groups_mean_rdd_equiv(spark, d):
+    m = staged.key_means(dom.curtain(spark, d), ["day", "month", "face", "curtain"])
+    return m.withColumn("mean_value", F.round("mean_value", 6))
+
+
+# --- C18-C20, A2, A8-A12, A15, A16, A24, A25, A28: sensor profiles -----------
+
+GT_VALUES = ("click", "error", "purchase", "signup", "view")
+
+
+def _sensor(spark, d):
+    return profile.with_time_features(dom.sensor(spark, d))
+
+
+@query
+def sensor_hour_minute(spark, d):
+    return _sensor(spark, d).select("Index", "Hour", "Minutes")
+
+
+@query
+def class_counts(spark, d):
+    return profile.counts(_sensor(spark, d), ["gt"])
+
+
+@query
+def class_shares(spark, d):
+    s = profile.shares(_sensor(spark, d), "gt")
+    return s.select("gt", "n", F.round("share", 6).alias("share"))
+
+
+@query
+def class_mean_hour(spark, d):
+    return profile.mean_truncated(_sensor(spark, d), ["gt"], "Hour")
+
+
+@query
+def pivot_mean_hour(spark, d):
+    return profile.pivot_mean(_sensor(spark, d), "User", "gt", GT_VALUES, "Hour")
+
+
+@query
+def pivot_count(spark, d):
+    return profile.pivot_count(_sensor(spark, d), "User", "gt", GT_VALUES)
+
+
+@query
+def cross_counts_hour_user(spark, d):
+    return profile.counts(_sensor(spark, d), ["Hour", "User"])
+
+
+@query
+def cross_counts_hour_class(spark, d):
+    return profile.counts(_sensor(spark, d), ["Hour", "gt"])
+
+
+@query
+def cross_counts_class_user(spark, d):
+    return profile.counts(_sensor(spark, d), ["gt", "User"])
+
+
+@query
+def class_centroids(spark, d):
+    c = profile.centroids(_sensor(spark, d), "gt")
+    return c.select("gt", *[F.round(f"avg_{a}", 6).alias(f"avg_{a}") for a in "xyz"])
+
+
+AXIS_BIN_WIDTH = 5.0
+
+
+@query
+def axis_density(spark, d):
+    return profile.axis_density(_sensor(spark, d), "x", "y", "gt", AXIS_BIN_WIDTH)
+
+
+@query
+def time_span(spark, d):
+    t = profile.time_span(_sensor(spark, d), "Creation_Time", "us")
+    return t.select("min_time", "max_time", F.round("span_hours", 6).alias("span_hours"))
+
+
+@query
+def distinct_models(spark, d):
+    s = _sensor(spark, d)
+    return profile.distinct_count(s, "Model", "n_models")
+
+
+@query
+def distinct_devices(spark, d):
+    return _sensor(spark, d).select("Device").distinct()
+
+
+@query
+def device_counts(spark, d):
+    return profile.counts(_sensor(spark, d), ["Device"])

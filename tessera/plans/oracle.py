@@ -20,7 +20,7 @@ USERS = """users_dim AS (
 SEARCHES = """searches AS (
   SELECT o.o_custkey AS id,
          string_split(p.p_name, ' ') AS genres,
-         year(o.o_orderdate) AS year,
+         CAST(year(o.o_orderdate) AS INTEGER) AS year,
          string_split(translate(CASE WHEN l.l_discount >= 0.05
                                      THEN '[''' || p.p_brand || ''']' ELSE '[]' END,
                                 '[]''', ''), ', ') AS actors,
@@ -125,3 +125,152 @@ SELECT SUM(units) AS total_units FROM (
   SELECT u.user_location, SUM(t.n_tickets) AS units
   FROM tickets t FULL OUTER JOIN users_dim u ON t.user_id = u.id
   GROUP BY u.user_location)"""
+
+
+# --- text ------------------------------------------------------------------
+
+def _after_marker_sql(words: str, marker: str, n: int) -> str:
+    return (f"list_filter(list_transform({words}, lambda x, i: CASE WHEN x = {_lit(marker)} "
+            f"THEN array_to_string({words}[i + 1:i + {n}], ' ') END), lambda y: y IS NOT NULL)")
+
+
+for _n in (2, 1):
+    SQL[f"words_after_marker_n{_n}"] = f"""
+WITH w AS (SELECT doc_id, string_split(regexp_replace(text, '\\W+', ' ', 'g'), ' ') AS ws
+           FROM documents),
+h AS (SELECT doc_id, {_after_marker_sql('ws', 'the', _n)} AS hits FROM w)
+SELECT doc_id, CAST(len(hits) AS BIGINT) AS n_hits, array_to_string(hits, '|') AS hits FROM h"""
+
+SQL["list_literal_roundtrip"] = """
+WITH l AS (SELECT p_partkey,
+                  string_split(translate('[''' || replace(p_name, ' ', ''', ''') || ''']',
+                                         '[]''', ''), ', ') AS items
+           FROM part)
+SELECT p_partkey, CAST(len(items) AS BIGINT) AS n_items, array_to_string(items, '|') AS items
+FROM l"""
+
+CREDITS_RAW = """credits_raw AS (
+  SELECT '"[{''cast_id'': 1, ''character'': ''Lead'', ''credit_id'': ''c' || p_partkey
+      || ''', ''gender'': 1, ''id'': ' || p_partkey || ', ''name'': ''' || p_name
+      || ''', ''order'': 0, ''profile_path'': None}, {''cast_id'': 2, ''character'': ''Extra'', '
+      || '''credit_id'': ''x' || p_partkey || ''', ''gender'': 2, ''id'': 9, ''name'': '''
+      || p_type || ''', ''order'': 1, ''profile_path'': None}]","[{''credit_id'': ''d'
+      || p_partkey || ''', ''department'': ''Directing'', ''gender'': 2, ''id'': 7, '
+      || '''job'': ''Director'', ''name'': ''' || p_brand || ''', ''profile_path'': None}]",'
+      || p_partkey AS raw
+  FROM part)"""
+
+SQL["credits_text_parse"] = _with(CREDITS_RAW, """parts AS (
+  SELECT TRY_CAST(string_split(raw, ',')[-1] AS INTEGER) AS id,
+         regexp_extract(raw, '\\[(.*?)\\]', 0) AS cast_text,
+         '[' || regexp_extract_all(raw, '\\[(.*?)\\]', 1)[2] || ']' AS crew_text
+  FROM credits_raw)""", """words AS (
+  SELECT id,
+         string_split(regexp_replace(regexp_replace(regexp_replace(cast_text,
+             '''cast_id'': ', ' ', 'g'), '[0-9]', ' ', 'g'), '\\W+', ' ', 'g'), ' ') AS aw,
+         string_split(regexp_replace(regexp_replace(regexp_replace(crew_text,
+             '''Director''', 'qqdirectorqq', 'g'), '\\W+', ' ', 'g'), ' name', '', 'g'), ' ') AS dw
+  FROM parts)""") + f"""
+SELECT id, array_to_string({_after_marker_sql('aw', 'name', 2)}, '|') AS actors,
+       array_to_string({_after_marker_sql('dw', 'qqdirectorqq', 2)}, '|') AS director
+FROM words"""
+
+SQL["date_pattern_year"] = """
+SELECT o_orderkey,
+       CAST(strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS release_date,
+       CAST(year(o_orderdate) AS INTEGER) AS year
+FROM orders"""
+
+# --- staged curtain aggregates ---------------------------------------------
+
+CURTAIN = """curtain AS (
+  SELECT CAST(day(l_shipdate) AS INTEGER) AS day, CAST(month(l_shipdate) AS INTEGER) AS month,
+         l_discount AS value, l_returnflag AS face, l_linestatus AS curtain
+  FROM lineitem)"""
+
+SQL["two_stage_extremes"] = _with(CURTAIN, """m AS (
+  SELECT day, month, curtain, AVG(value) AS mean_value FROM curtain GROUP BY day, month, curtain)""") + """
+SELECT month, curtain, ROUND(MAX(mean_value), 7) AS max_mean, ROUND(MIN(mean_value), 7) AS min_mean
+FROM m GROUP BY month, curtain"""
+
+SQL["two_stage_extremes_long"] = _with(CURTAIN, """m AS (
+  SELECT day, month, curtain, AVG(value) AS mean_value FROM curtain GROUP BY day, month, curtain)""") + """
+SELECT month, curtain, 'max' AS kind, ROUND(MAX(mean_value), 7) AS mean_value
+FROM m GROUP BY month, curtain
+UNION ALL
+SELECT month, curtain, 'min' AS kind, ROUND(MIN(mean_value), 7) AS mean_value
+FROM m GROUP BY month, curtain"""
+
+# "for all" written as a set difference, independent of the min() form.
+SQL["groups_always_above"] = _with(CURTAIN, """m AS (
+  SELECT day, month, face, curtain, AVG(value) AS mean_value
+  FROM curtain GROUP BY day, month, face, curtain)""", """ok AS (
+  SELECT DISTINCT month, face FROM m
+  EXCEPT
+  SELECT DISTINCT month, face FROM m WHERE mean_value < 0.041)""") + """
+SELECT month, array_to_string(list_sort(list(face)), ',') AS faces FROM ok GROUP BY month"""
+
+SQL["groups_mean_rdd_equiv"] = _with(CURTAIN) + """
+SELECT day, month, face, curtain, ROUND(AVG(value), 6) AS mean_value
+FROM curtain GROUP BY day, month, face, curtain"""
+
+# --- sensor profiles -------------------------------------------------------
+
+SENSOR = """sensor AS (
+  SELECT event_id AS "Index", epoch_ms(ts) AS arrival, epoch_us(ts) AS creation,
+         'dev_' || CAST(user_id % 2 + 1 AS VARCHAR) AS device, 'ev1' AS model,
+         CAST(user_id AS VARCHAR) AS usr, event_type AS gt, value AS x,
+         CAST(json_extract(props, '$.k') AS DOUBLE) AS y,
+         value - CAST(json_extract(props, '$.k') AS DOUBLE) AS z,
+         CAST(hour(ts) AS INTEGER) AS hr, CAST(minute(ts) AS INTEGER) AS mi
+  FROM events)"""
+
+_GT = ("click", "error", "purchase", "signup", "view")
+
+SQL["sensor_hour_minute"] = _with(SENSOR) + """
+SELECT "Index", hr AS "Hour", mi AS "Minutes" FROM sensor"""
+
+SQL["class_counts"] = _with(SENSOR) + "SELECT gt, COUNT(*) AS n FROM sensor GROUP BY gt"
+
+SQL["class_shares"] = _with(SENSOR) + """
+SELECT gt, COUNT(*) AS n, ROUND(COUNT(*) / (SELECT COUNT(*) FROM sensor), 6) AS share
+FROM sensor GROUP BY gt"""
+
+SQL["class_mean_hour"] = _with(SENSOR) + """
+SELECT gt, CAST(trunc(AVG(hr)) AS INTEGER) AS "mean_Hour" FROM sensor GROUP BY gt"""
+
+SQL["pivot_mean_hour"] = _with(SENSOR) + 'SELECT usr AS "User", ' + ", ".join(
+    f"CAST(trunc(AVG(hr) FILTER (WHERE gt = {_lit(g)})) AS INTEGER) AS {_q(g)}" for g in _GT) + """
+FROM sensor GROUP BY usr"""
+
+SQL["pivot_count"] = _with(SENSOR) + 'SELECT usr AS "User", ' + ", ".join(
+    f"NULLIF(COUNT(*) FILTER (WHERE gt = {_lit(g)}), 0) AS {_q(g)}" for g in _GT) + """
+FROM sensor GROUP BY usr"""
+
+SQL["cross_counts_hour_user"] = _with(SENSOR) + """
+SELECT hr AS "Hour", usr AS "User", COUNT(*) AS n FROM sensor GROUP BY hr, usr"""
+SQL["cross_counts_hour_class"] = _with(SENSOR) + """
+SELECT hr AS "Hour", gt, COUNT(*) AS n FROM sensor GROUP BY hr, gt"""
+SQL["cross_counts_class_user"] = _with(SENSOR) + """
+SELECT gt, usr AS "User", COUNT(*) AS n FROM sensor GROUP BY gt, usr"""
+
+SQL["class_centroids"] = _with(SENSOR) + """
+SELECT gt, ROUND(AVG(x), 6) AS avg_x, ROUND(AVG(y), 6) AS avg_y, ROUND(AVG(z), 6) AS avg_z
+FROM sensor GROUP BY gt"""
+
+SQL["axis_density"] = _with(SENSOR) + """
+SELECT CAST(floor(x / 5.0) AS BIGINT) AS x_bin, CAST(floor(y / 5.0) AS BIGINT) AS y_bin, gt,
+       COUNT(*) AS n
+FROM sensor GROUP BY 1, 2, 3"""
+
+SQL["time_span"] = _with(SENSOR) + """
+SELECT MIN(creation) AS min_time, MAX(creation) AS max_time,
+       ROUND((MAX(creation) - MIN(creation)) / 3600000000.0, 6) AS span_hours
+FROM sensor"""
+
+SQL["distinct_models"] = _with(SENSOR) + "SELECT COUNT(DISTINCT model) AS n_models FROM sensor"
+
+SQL["distinct_devices"] = _with(SENSOR) + 'SELECT DISTINCT device AS "Device" FROM sensor'
+
+SQL["device_counts"] = _with(SENSOR) + """
+SELECT device AS "Device", COUNT(*) AS n FROM sensor GROUP BY device"""

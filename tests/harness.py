@@ -40,6 +40,22 @@ def _key(row):
     return tuple((x is None, repr(x)) for x in row)
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT",
+          "array<string>": "VARCHAR[]", "timestamp_ntz": "TIMESTAMP", "array<double>": "DOUBLE[]"}
+
+
+def type_mismatches(spark_df, rel):
+    dtypes = dict(spark_df.dtypes)
+    out = []
+    for d in rel.description:
+        name, dtype = d[0], str(d[1])
+        want = _TYPES.get(dtypes.get(name, "?"), dtypes.get(name, "?"))
+        if want != dtype:
+            out.append(f"{name}: spark={dtypes.get(name)} duck={dtype}")
+    return out
+
+
 def compare(spark_df, con, sql):
     cols = sorted(spark_df.columns)
     srows = [tuple(_norm(r[c]) for c in cols) for r in spark_df.collect()]
@@ -48,6 +64,9 @@ def compare(spark_df, con, sql):
     drows_raw = rel.fetchall()
     if sorted(dcols) != cols:
         return False, f"columns differ: spark={cols} duck={sorted(dcols)}"
+    bad_types = type_mismatches(spark_df, rel)
+    if bad_types:
+        return False, f"types differ: {bad_types}"
     idx = [dcols.index(c) for c in cols]
     drows = [tuple(_norm(r[i]) for i in idx) for r in drows_raw]
     if len(srows) != len(drows):
