@@ -282,3 +282,142 @@ def distinct_devices(spark, d):
 @query
 def device_counts(spark, d):
     return profile.counts(_sensor(spark, d), ["Device"])
+
+
+# --- C12-C15, J-I, J-S, U1-U5: data placement --------------------------------
+
+from tessera.operators import placement as pl  # noqa: E402
+from tessera.session import scratch_path  # noqa: E402
+from tessera.sources import parsers, readers, sinks  # noqa: E402
+from tessera import schemas  # noqa: E402
+
+SITES = (
+    pl.FragmentSpec("north", ("EUROPE", "AMERICA"), min_year=1996,
+                    split_any_of=("small",), store_details=False),
+    pl.FragmentSpec("center", ("EUROPE", "ASIA"), min_year=1996, drop=("director",),
+                    split_any_of=("red", "blue")),
+    pl.FragmentSpec("east", ("ASIA", "MIDDLE EAST"), drop=("director",)),
+    pl.FragmentSpec("south", ("AFRICA",), drop=("director", "actors")),
+    pl.FragmentSpec("west", ("AFRICA", "AMERICA"), drop=("director",),
+                    split_any_of=("hot", "cold")),
+)
+SITE = {s.site: s for s in SITES}
+
+
+def _base(spark, d):
+    return pl.placement_base(dom.movies(spark, d), dom.credits(spark, d))
+
+
+def _as_text(df):
+    """Arrays as ``a|b`` text so results compare as plain values."""
+    return df.select(*[F.array_join(c, "|").alias(c) if t.startswith("array") else F.col(c)
+                       for c, t in df.dtypes])
+
+
+@query
+def placement_inner_base(spark, d):
+    return _as_text(_base(spark, d))
+
+
+def _fragment_query(site):
+    def run(spark, d):
+        return _as_text(pl.fragment(_base(spark, d), SITE[site]))
+    run.__name__ = f"fragment_{site}"
+    return query(run)
+
+
+for _site in SITE:
+    _fragment_query(_site)
+
+
+@query
+def fragment_part(spark, d):
+    part, _ = pl.split_fragment(pl.fragment(_base(spark, d), SITE["north"]), SITE["north"])
+    return _as_text(part)
+
+
+@query
+def fragment_rest(spark, d):
+    _, rest = pl.split_fragment(pl.fragment(_base(spark, d), SITE["north"]), SITE["north"])
+    return _as_text(rest)
+
+
+@query
+def derived_fragment_semi(spark, d):
+    frag = pl.fragment(_base(spark, d), SITE["east"])
+    return _as_text(pl.derived_fragment(dom.credits(spark, d), frag))
+
+
+def _placement_check(spark, d):
+    base = _base(spark, d)
+    return pl.check_placement(dom.movies(spark, d), pl.placed_ids(base, SITES))
+
+
+@query
+def placement_lost(spark, d):
+    return _placement_check(spark, d)["lost"]
+
+
+@query
+def placement_orphan(spark, d):
+    return _placement_check(spark, d)["orphan"]
+
+
+@query
+def placement_site_counts(spark, d):
+    return _placement_check(spark, d)["site_counts"]
+
+
+@query
+def placement_union_ids(spark, d):
+    base = _base(spark, d)
+    return pl.union_ids([pl.fragment(base, s) for s in SITES])
+
+
+# --- S1-S4, S6: file round trips (written under the checkpoint folder) -------
+
+@query
+def csv_roundtrip(spark, d):
+    t = dom.tickets(spark, d).select(
+        F.col("user_id").cast("string").alias("user_id"),
+        F.col("movie_id").cast("string").alias("movie_id"),
+        F.col("n_tickets").cast("int").cast("string").alias("number_of_tickets"),
+        "city", F.lit("1").alias("cinema_id"))
+    path = scratch_path(spark, "csv_roundtrip")
+    sinks.write_csv(t, path)
+    return parsers.parse_tickets(readers.read_csv_quoted(spark, path, schemas.TICKETS_RAW))
+
+
+@query
+def csv_array_as_text(spark, d):
+    m = dom.movies(spark, d).select("id", "genres", "cities")
+    path = scratch_path(spark, "csv_arrays")
+    sinks.write_csv(m, path)
+    return readers.read_csv_quoted(spark, path, schemas.all_strings("id", "genres", "cities"))
+
+
+@query
+def json_scan(spark, d):
+    path = scratch_path(spark, "sensor_json")
+    dom.sensor(spark, d).write.mode("overwrite").json(path)
+    return readers.read_sensor_json(spark, path, schemas.SENSOR)
+
+
+@query
+def tsv_single_column(spark, d):
+    path = scratch_path(spark, "credits_text")
+    raw = dom.credits_raw(spark, d)
+    raw.write.mode("overwrite").option("header", True).option("quote", "\u0000") \
+        .option("delimiter", "\t").csv(path)
+    lines = readers.read_single_column_tsv(spark, path)
+    out = parsers.parse_credits(lines, "cast,crew,id")
+    return out.select("id", F.array_join("actors", "|").alias("actors"),
+                      F.array_join("director", "|").alias("director"))
+
+
+@query
+def curtain_positional_csv(spark, d):
+    path = scratch_path(spark, "curtain_csv")
+    dom.curtain_text(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    raw = readers.read_positional_csv(spark, path, ["StartedOn", "value", "face", "curtain"])
+    return staged.two_stage_extremes(parsers.parse_curtain(raw))

@@ -217,7 +217,7 @@ FROM curtain GROUP BY day, month, face, curtain"""
 # --- sensor profiles -------------------------------------------------------
 
 SENSOR = """sensor AS (
-  SELECT event_id AS "Index", epoch_ms(ts) AS arrival, epoch_us(ts) AS creation,
+  SELECT event_id AS "Index", epoch_us(ts) // 1000 AS arrival, epoch_us(ts) AS creation,
          'dev_' || CAST(user_id % 2 + 1 AS VARCHAR) AS device, 'ev1' AS model,
          CAST(user_id AS VARCHAR) AS usr, event_type AS gt, value AS x,
          CAST(json_extract(props, '$.k') AS DOUBLE) AS y,
@@ -274,3 +274,133 @@ SQL["distinct_devices"] = _with(SENSOR) + 'SELECT DISTINCT device AS "Device" FR
 
 SQL["device_counts"] = _with(SENSOR) + """
 SELECT device AS "Device", COUNT(*) AS n FROM sensor GROUP BY device"""
+
+
+# --- placement -------------------------------------------------------------
+
+MOVIES = """movies AS (
+  SELECT p.p_partkey AS id, string_split(p.p_name, ' ') AS genres, b.cities,
+         CAST(b.first_ship AS DATE) AS release_date, CAST(year(b.first_ship) AS INTEGER) AS year
+  FROM part p LEFT JOIN (
+    SELECT l.l_partkey, list_sort(list(DISTINCT r.r_name)) AS cities,
+           MIN(l.l_shipdate) AS first_ship
+    FROM lineitem l
+    JOIN supplier s ON l.l_suppkey = s.s_suppkey
+    JOIN nation n ON s.s_nationkey = n.n_nationkey
+    JOIN region r ON n.n_regionkey = r.r_regionkey
+    WHERE l.l_quantity >= 45
+    GROUP BY l.l_partkey) b ON p.p_partkey = b.l_partkey)"""
+
+CREDITS = """credits AS (
+  SELECT id, """ + _after_marker_sql("aw", "name", 2) + """ AS actors,
+         """ + _after_marker_sql("dw", "qqdirectorqq", 2) + """ AS director
+  FROM words)"""
+
+_CREDITS_CTES = [CREDITS_RAW, """parts AS (
+  SELECT TRY_CAST(string_split(raw, ',')[-1] AS INTEGER) AS id,
+         regexp_extract(raw, '\\[(.*?)\\]', 0) AS cast_text,
+         '[' || regexp_extract_all(raw, '\\[(.*?)\\]', 1)[2] || ']' AS crew_text
+  FROM credits_raw)""", """words AS (
+  SELECT id,
+         string_split(regexp_replace(regexp_replace(regexp_replace(cast_text,
+             '''cast_id'': ', ' ', 'g'), '[0-9]', ' ', 'g'), '\\W+', ' ', 'g'), ' ') AS aw,
+         string_split(regexp_replace(regexp_replace(regexp_replace(crew_text,
+             '''Director''', 'qqdirectorqq', 'g'), '\\W+', ' ', 'g'), ' name', '', 'g'), ' ') AS dw
+  FROM parts)""", CREDITS]
+
+BASE = """base AS (
+  SELECT m.id, m.genres, m.cities, m.release_date, m.year, c.actors, c.director
+  FROM movies m JOIN credits c ON m.id = c.id)"""
+
+
+def _base_sql(*more: str) -> str:
+    return _with(MOVIES, *_CREDITS_CTES, BASE, *more)
+
+
+def _txt(col: str) -> str:
+    return f"array_to_string({col}, '|') AS {col}"
+
+
+_BASE_COLS = ["id", _txt("genres"), _txt("cities"), "release_date", "year", _txt("actors"),
+              _txt("director")]
+
+
+def _site_where(any_of, min_year=None) -> str:
+    cond = "list_has_any(cities, [" + ", ".join(_lit(v) for v in any_of) + "])"
+    if min_year is not None:
+        cond += f" AND year >= {min_year}"
+    return cond
+
+
+_SITES_SQL = {  # site -> (rows, min_year, dropped columns, split values)
+    "north": (("EUROPE", "AMERICA"), 1996, (), ("small",)),
+    "center": (("EUROPE", "ASIA"), 1996, ("director",), ("red", "blue")),
+    "east": (("ASIA", "MIDDLE EAST"), None, ("director",), ()),
+    "south": (("AFRICA",), None, ("director", "actors"), ()),
+    "west": (("AFRICA", "AMERICA"), None, ("director",), ("hot", "cold")),
+}
+
+
+def _site_cols(dropped) -> str:
+    keep = [c for c in _BASE_COLS if c.split(" AS ")[-1].strip() not in dropped
+            and c not in dropped]
+    return ", ".join(keep)
+
+
+SQL["placement_inner_base"] = _base_sql() + "SELECT " + ", ".join(_BASE_COLS) + " FROM base"
+
+for _s, (_rows, _y, _drop, _split) in _SITES_SQL.items():
+    SQL[f"fragment_{_s}"] = (_base_sql() + f"SELECT {_site_cols(_drop)} FROM base WHERE "
+                             + _site_where(_rows, _y))
+
+_north = _SITES_SQL["north"]
+SQL["fragment_part"] = (_base_sql() + f"SELECT {_site_cols(())} FROM base WHERE "
+                        + _site_where(_north[0], _north[1])
+                        + " AND list_has_any(genres, ['small'])")
+SQL["fragment_rest"] = (_base_sql() + f"SELECT {_site_cols(())} FROM base WHERE "
+                        + _site_where(_north[0], _north[1])
+                        + f" EXCEPT SELECT {_site_cols(())} FROM base WHERE "
+                        + _site_where(_north[0], _north[1])
+                        + " AND list_has_any(genres, ['small'])")
+
+SQL["derived_fragment_semi"] = _base_sql() + f"""
+SELECT c.id, array_to_string(c.actors, '|') AS actors, array_to_string(c.director, '|') AS director
+FROM credits c
+WHERE c.id IN (SELECT id FROM base WHERE {_site_where(*_SITES_SQL['east'][:2])})"""
+
+_PLACED = "placed AS (" + " UNION ALL ".join(
+    f"SELECT id, {_lit(s)} AS site FROM base WHERE {_site_where(r, y)}"
+    for s, (r, y, _d, _p) in _SITES_SQL.items()) + ")"
+
+SQL["placement_lost"] = _base_sql(_PLACED) + """
+SELECT DISTINCT id FROM movies EXCEPT SELECT DISTINCT id FROM placed"""
+
+SQL["placement_orphan"] = _base_sql(_PLACED) + """
+SELECT DISTINCT id FROM placed EXCEPT SELECT DISTINCT id FROM movies"""
+
+SQL["placement_site_counts"] = _base_sql(_PLACED) + """
+SELECT site, COUNT(DISTINCT id) AS n_ids FROM placed GROUP BY site"""
+
+SQL["placement_union_ids"] = _base_sql(_PLACED) + "SELECT id FROM placed"
+
+# --- file round trips ------------------------------------------------------
+
+SQL["csv_roundtrip"] = _with(TICKETS) + """
+SELECT CAST(user_id AS INTEGER) AS user_id, CAST(movie_id AS INTEGER) AS movie_id,
+       CAST(n_tickets AS INTEGER) AS n_tickets, city
+FROM tickets"""
+
+SQL["csv_array_as_text"] = _with(MOVIES) + """
+SELECT CAST(id AS VARCHAR) AS id,
+       '[' || array_to_string(genres, ', ') || ']' AS genres,
+       '[' || array_to_string(cities, ', ') || ']' AS cities
+FROM movies"""
+
+SQL["json_scan"] = _with(SENSOR) + """
+SELECT arrival AS "Arrival_Time", creation AS "Creation_Time", device AS "Device",
+       "Index", model AS "Model", usr AS "User", gt, x, y, z
+FROM sensor"""
+
+SQL["tsv_single_column"] = SQL["credits_text_parse"]
+
+SQL["curtain_positional_csv"] = SQL["two_stage_extremes"]
