@@ -421,3 +421,134 @@ def curtain_positional_csv(spark, d):
     dom.curtain_text(spark, d).write.mode("overwrite").option("header", True).csv(path)
     raw = readers.read_positional_csv(spark, path, ["StartedOn", "value", "face", "curtain"])
     return staged.two_stage_extremes(parsers.parse_curtain(raw))
+
+
+# --- L1-L10: features and classifiers ----------------------------------------
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from tessera.operators import features as fe  # noqa: E402
+from tessera.operators import learn  # noqa: E402
+
+# Fixed vocabularies for stream-safe encoding (positions are the codes).
+GT_VOCABULARY = ("view", "click", "signup", "error", "purchase")
+DEVICE_VOCABULARY = ("dev_1", "dev_2")
+USER_VOCABULARY = tuple(str(i) for i in range(9))
+
+
+def _model_rows(spark, d):
+    s = _sensor(spark, d)
+    return s.select("Index", "gt", "User", scalars.suffix_code("Device").alias("Device"),
+                    "Hour", "Minutes", "x", "y", "z")
+
+
+def _batch_pipeline():
+    return fe.feature_pipeline(index_cols=["User", "Device", "Hour", "Minutes"],
+                               onehot_cols=["User", "Device", "Hour", "Minutes"],
+                               numeric_cols=["x", "y", "z"], label_col="gt")
+
+
+@query
+def string_index(spark, d):
+    s = _sensor(spark, d)
+    model = fe.string_indexer(["gt"], ["gt_index"]).fit(s)
+    return model.transform(s).select("gt", "gt_index").distinct()
+
+
+@query
+def device_suffix(spark, d):
+    return _sensor(spark, d).select("Index", "Device",
+                                    scalars.suffix_code("Device").alias("device_code"))
+
+
+@query
+def code_lookup(spark, d):
+    s = _sensor(spark, d)
+    return s.select("Index", scalars.code_lookup("gt", GT_VOCABULARY).alias("label"),
+                    scalars.code_lookup("Device", DEVICE_VOCABULARY).alias("device_index"))
+
+
+@query
+def user_onehot(spark, d):
+    s = _sensor(spark, d)
+    return s.select("Index", *scalars.one_hot_columns("User", USER_VOCABULARY, "User_ID_"))
+
+
+@query
+def onehot_assemble(spark, d):
+    rows = _model_rows(spark, d)
+    train, _ = fe.hash_split(rows, "Index")
+    prepared = _batch_pipeline().fit(train).transform(rows)
+    return prepared.select("Index", "label",
+                           F.size(vector_to_array("features")).alias("n_features"))
+
+
+@query
+def hash_split_counts(spark, d):
+    train, test = fe.hash_split(_model_rows(spark, d), "Index")
+    return train.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit("train")) \
+        .unionByName(test.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit("test")))
+
+
+def _fit_and_score(spark, d, estimator):
+    rows = _model_rows(spark, d)
+    train, test = fe.hash_split(rows, "Index")
+    pipe = _batch_pipeline().fit(train)
+    tr, te = pipe.transform(train), pipe.transform(test)
+    model = estimator.fit(tr)
+    return learn.train_test_accuracy(model, tr, te)
+
+
+@query
+def logistic_accuracy(spark, d):
+    return _fit_and_score(spark, d, learn.logistic_regression())
+
+
+@query
+def forest_accuracy(spark, d):
+    return _fit_and_score(spark, d, learn.random_forest())
+
+
+# --- T1-T10, S7: streaming -----------------------------------------------------
+
+from tessera.streaming import decode, prequential, replay  # noqa: E402
+
+BLOCK_EVENTS = 2500
+
+
+@query
+def decode_json_bytes(spark, d):
+    messages = decode.encode_json_value(dom.sensor(spark, d))
+    return decode.decode_json_value(messages, schemas.SENSOR)
+
+
+def _sensor_stream(spark, d, name):
+    staged_path = scratch_path(spark, f"{name}_source")
+    rows = dom.sensor(spark, d).withColumn("block", F.floor(F.col("Index") / BLOCK_EVENTS))
+    replay.stage_blocks(rows, "block", staged_path)
+    schema = rows.schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(staged_path)
+    return stream, scratch_path(spark, f"{name}_state")
+
+
+@query
+def prequential_metrics(spark, d):
+    stream, state = _sensor_stream(spark, d, "prequential_majority")
+    run = prequential.Prequential(spark, lambda b: b.select(F.col("gt").alias("label")),
+                                  learn.MajorityClass(), state)
+    run.run(stream)
+    return run.metrics()
+
+
+@query
+def prequential_forest(spark, d):
+    stream, state = _sensor_stream(spark, d, "prequential_forest")
+
+    def prepare(batch):
+        return fe.fixed_vocabulary_features(
+            batch, "gt", GT_VOCABULARY, {"Device": DEVICE_VOCABULARY}, "User", USER_VOCABULARY,
+            ["Arrival_Time", "Creation_Time", "x", "y", "z"], {"Model_Index": 0.0})
+
+    run = prequential.Prequential(spark, prepare, learn.random_forest(), state)
+    run.run(stream)
+    return run.metrics()

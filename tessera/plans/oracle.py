@@ -404,3 +404,48 @@ FROM sensor"""
 SQL["tsv_single_column"] = SQL["credits_text_parse"]
 
 SQL["curtain_positional_csv"] = SQL["two_stage_extremes"]
+
+
+# --- features --------------------------------------------------------------
+
+SQL["string_index"] = _with(SENSOR) + """
+SELECT gt, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, gt) - 1 AS DOUBLE) AS gt_index
+FROM sensor GROUP BY gt"""
+
+SQL["device_suffix"] = _with(SENSOR) + """
+SELECT "Index", device AS "Device", TRY_CAST(split_part(device, '_', 2) AS INTEGER) - 1 AS device_code
+FROM sensor"""
+
+_GT_VOCAB = ("view", "click", "signup", "error", "purchase")
+
+SQL["code_lookup"] = _with(SENSOR) + 'SELECT "Index", CASE gt ' + " ".join(
+    f"WHEN {_lit(g)} THEN {float(i)}" for i, g in enumerate(_GT_VOCAB)) + """ END::DOUBLE AS label,
+       CASE device WHEN 'dev_1' THEN 0.0 WHEN 'dev_2' THEN 1.0 END::DOUBLE AS device_index
+FROM sensor"""
+
+SQL["user_onehot"] = _with(SENSOR) + 'SELECT "Index", ' + ", ".join(
+    f"CASE WHEN usr = '{i}' THEN 1 ELSE 0 END AS {_q('User_ID_' + str(i))}" for i in range(9)) + \
+    " FROM sensor"
+
+SQL["decode_json_bytes"] = SQL["json_scan"]
+
+# Majority-class prequential run: block = event_id div 2500, batch 0 is
+# scored by a model fitted on itself, batch e >= 1 by the model fitted on
+# blocks <= min(e - 1, 38) (retraining stops once epoch + 1 reaches 40).
+SQL["prequential_metrics"] = """
+WITH ev AS (SELECT event_id // 2500 AS epoch, event_type AS gt FROM events),
+cnt AS (SELECT epoch, gt, COUNT(*) AS c FROM ev GROUP BY epoch, gt),
+horizon AS (SELECT DISTINCT epoch,
+                   CASE WHEN epoch = 0 THEN 0 ELSE LEAST(epoch - 1, 38) END AS upto FROM ev),
+seen AS (SELECT h.epoch, c.gt, SUM(c.c) AS c
+         FROM horizon h JOIN cnt c ON c.epoch <= h.upto GROUP BY h.epoch, c.gt),
+pred AS (SELECT epoch, gt FROM (
+           SELECT epoch, gt, row_number() OVER (PARTITION BY epoch ORDER BY c DESC, gt) AS rk
+           FROM seen) WHERE rk = 1),
+per_epoch AS (SELECT e.epoch, COUNT(*) AS n_rows,
+                     CAST(SUM(CASE WHEN e.gt = p.gt THEN 1 ELSE 0 END) AS BIGINT) AS n_correct
+              FROM ev e JOIN pred p ON e.epoch = p.epoch GROUP BY e.epoch)
+SELECT epoch, n_rows, n_correct,
+       CAST(SUM(n_rows) OVER (ORDER BY epoch) AS BIGINT) AS cum_rows,
+       CAST(SUM(n_correct) OVER (ORDER BY epoch) AS BIGINT) AS cum_correct
+FROM per_epoch"""
