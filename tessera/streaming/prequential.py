@@ -78,6 +78,9 @@ class Prequential:
     first_batch: str = "self"
     retrain_until: int = 40
     history_epochs: int | None = None
+    # newest (epoch, model) trained in this process; after a restart it
+    # is empty and the model is loaded from ``model/epoch=N`` instead.
+    _latest: tuple | None = None
 
     def _path(self, kind: str, epoch: int | None = None) -> str:
         base = f"{self.state_dir}/{kind}"
@@ -98,7 +101,9 @@ class Prequential:
         rows = spark.read.parquet(self._path("history", epoch))
         # 2. score with the newest model trained before this epoch
         earlier = [e for e in list_epochs(spark, self._path("model"), _DONE) if e < epoch]
-        if earlier:
+        if earlier and self._latest is not None and self._latest[0] == earlier[-1]:
+            model = self._latest[1]
+        elif earlier:
             model = load_model(spark, self.learner, self._path("model", earlier[-1]))
         elif self.first_batch == "self":
             model = self.learner.fit(rows)
@@ -116,6 +121,7 @@ class Prequential:
         if epoch + 1 < self.retrain_until:
             fitted = self.learner.fit(self.history(epoch))
             save_model(spark, fitted, self._path("model", epoch))
+            self._latest = (epoch, fitted)
 
     def run(self, stream: DataFrame, trigger: dict | None = None,
             timeout_s: float | None = None):
