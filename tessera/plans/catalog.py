@@ -552,3 +552,33 @@ def prequential_forest(spark, d):
     run = prequential.Prequential(spark, prepare, learn.random_forest(), state)
     run.run(stream)
     return run.metrics()
+
+
+# --- A1, A4, A6: generic aggregates ------------------------------------------
+
+from tessera.operators import aggregates as agg  # noqa: E402
+
+
+@query
+def numeric_means_by_class(spark, d):
+    s = _sensor(spark, d).select("gt", "x", "y", "z", "Hour", "Minutes")
+    m = agg.mean_numeric(s, ["gt"])
+    return m.select("gt", *[F.round(c, 6).alias(c) for c in m.columns if c != "gt"])
+
+
+@query
+def numeric_sums_by_location(spark, d):
+    t = dom.tickets(spark, d).join(dom.users(spark, d),
+                                   F.col("user_id") == F.col("id"), "left")
+    return agg.sum_numeric(t.select("user_location", "n_tickets", "movie_id"),
+                           ["user_location"])
+
+
+@query
+def accounting_totals(spark, d):
+    """Global counts whose per-location parts must add up (A1, A5)."""
+    searches = agg.row_count(dom.searches(spark, d), "n_searches")
+    users = agg.row_count(dom.users(spark, d), "n_users")
+    units = dom.tickets(spark, d).agg(F.sum("n_tickets").alias("n_units"))
+    return searches.select("n_searches", users.select("n_users").scalar().alias("n_users"),
+                           units.select("n_units").scalar().alias("n_units"))

@@ -449,3 +449,20 @@ SELECT epoch, n_rows, n_correct,
        CAST(SUM(n_rows) OVER (ORDER BY epoch) AS BIGINT) AS cum_rows,
        CAST(SUM(n_correct) OVER (ORDER BY epoch) AS BIGINT) AS cum_correct
 FROM per_epoch"""
+
+
+# --- generic aggregates ----------------------------------------------------
+
+SQL["numeric_means_by_class"] = _with(SENSOR) + """
+SELECT gt, ROUND(AVG(x), 6) AS avg_x, ROUND(AVG(y), 6) AS avg_y, ROUND(AVG(z), 6) AS avg_z,
+       ROUND(AVG(hr), 6) AS "avg_Hour", ROUND(AVG(mi), 6) AS "avg_Minutes"
+FROM sensor GROUP BY gt"""
+
+SQL["numeric_sums_by_location"] = _with(USERS, TICKETS) + """
+SELECT u.user_location, SUM(t.n_tickets) AS sum_n_tickets, CAST(SUM(t.movie_id) AS BIGINT) AS sum_movie_id
+FROM tickets t LEFT JOIN users_dim u ON t.user_id = u.id
+GROUP BY u.user_location"""
+
+SQL["accounting_totals"] = _with(USERS, SEARCHES, TICKETS) + """
+SELECT (SELECT COUNT(*) FROM searches) AS n_searches, (SELECT COUNT(*) FROM users_dim) AS n_users,
+       (SELECT SUM(n_tickets) FROM tickets) AS n_units"""

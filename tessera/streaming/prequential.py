@@ -124,20 +124,41 @@ class Prequential:
             self._latest = (epoch, fitted)
 
     def run(self, stream: DataFrame, trigger: dict | None = None,
-            timeout_s: float | None = None):
-        """Start the stream with ``foreachBatch``; default trigger is
-        ``availableNow`` (process what exists, then stop)."""
+            timeout_s: float | None = None, stop_after_rows: int | None = None,
+            poll_s: float = 1.0):
+        """Start the stream with ``foreachBatch``.
+
+        Default trigger is ``availableNow`` (process what exists, then
+        stop).  With a processing-time trigger the query runs until
+        ``timeout_s`` or, with ``stop_after_rows``, until that many rows
+        have been scored (read from the metrics table, not a driver flag).
+        """
         trigger = trigger or {"availableNow": True}
         q = (stream.writeStream.foreachBatch(lambda df, e: self.process(df, e))
              .option("checkpointLocation", self._path("checkpoint"))
              .trigger(**trigger).start())
-        q.awaitTermination(timeout_s)
+        if stop_after_rows is None:
+            q.awaitTermination(timeout_s)
+        else:
+            waited = 0.0
+            while q.isActive and (timeout_s is None or waited < timeout_s):
+                if q.awaitTermination(poll_s):
+                    break
+                waited += poll_s
+                if self.rows_scored() >= stop_after_rows:
+                    break
         if q.isActive:
             q.stop()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
         return q
 
+    def rows_scored(self) -> int:
+        if not list_epochs(self.spark, self._path("metrics")):
+            return 0
+        m = self.spark.read.parquet(self._path("metrics"))
+        return m.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+
     def metrics(self) -> DataFrame:
         """Per-epoch and running accuracy (T8).  One row per micro-batch,
         so the running window covers a small table."""
