@@ -582,3 +582,14 @@ def accounting_totals(spark, d):
     units = dom.tickets(spark, d).agg(F.sum("n_tickets").alias("n_units"))
     return searches.select("n_searches", users.select("n_users").scalar().alias("n_users"),
                            units.select("n_units").scalar().alias("n_units"))
+
+
+# --- SURVEY 2.14: saved-search matching -------------------------------------
+
+from tessera.operators import search  # noqa: E402
+
+
+@query
+def search_matches(spark, d):
+    pairs = search.match_searches(dom.saved_searches(spark, d), _base(spark, d))
+    return pairs.groupBy("search_id").agg(F.count("movie_id").alias("n_matches"))

@@ -164,3 +164,36 @@ def sensor(spark: SparkSession, d: str) -> DataFrame:
         F.col("value").alias("x"),
         y.alias("y"),
         (F.col("value") - y).alias("z"))
+
+
+def saved_searches(spark: SparkSession, d: str) -> DataFrame:
+    """One saved search per order, described by its first line (smallest
+    line number, then part, then supplier):
+    all-of actors = [part name]; all-of director = [part brand as the
+    credits parse renders it] for urgent orders only; any-of cities =
+    [supplier region]; other lists empty; released in or after the
+    order year - 4."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
+                                            "l_suppkey")
+    # line numbers repeat within an order: take the smallest
+    # (line, part, supplier) triple so "first line" is one row
+    first = li.groupBy("l_orderkey").agg(
+        F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("f")) \
+        .select("l_orderkey", F.col("f.l_partkey").alias("partkey"),
+                F.col("f.l_suppkey").alias("suppkey"))
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand")
+    sr = supplier_region(spark, d)
+    j = o.join(first, o.o_orderkey == first.l_orderkey) \
+        .join(p, F.col("partkey") == p.p_partkey) \
+        .join(sr, F.col("suppkey") == sr.s_suppkey)
+    empty = F.array(F.lit(""))
+    return j.select(
+        F.col("o_orderkey").alias("search_id"),
+        F.array("p_name").alias("actors"),
+        F.when(F.col("o_orderpriority") == "1-URGENT",
+               F.array(F.regexp_replace("p_brand", "#", " "))).otherwise(empty).alias("director"),
+        F.array("r_name").alias("cities"),
+        empty.alias("genres"), empty.alias("lang"), empty.alias("country"),
+        empty.alias("company"),
+        (F.year("o_orderdate") - 4).alias("date"))

@@ -466,3 +466,30 @@ GROUP BY u.user_location"""
 SQL["accounting_totals"] = _with(USERS, SEARCHES, TICKETS) + """
 SELECT (SELECT COUNT(*) FROM searches) AS n_searches, (SELECT COUNT(*) FROM users_dim) AS n_users,
        (SELECT SUM(n_tickets) FROM tickets) AS n_units"""
+
+
+# --- saved-search matching (brute force: every search against every movie) ---
+
+SQL["search_matches"] = _base_sql("""first_line AS (
+  SELECT l_orderkey, l_partkey AS partkey, l_suppkey AS suppkey FROM (
+    SELECT l_orderkey, l_partkey, l_suppkey,
+           row_number() OVER (PARTITION BY l_orderkey
+                              ORDER BY l_linenumber, l_partkey, l_suppkey) AS rk
+    FROM lineitem) WHERE rk = 1)""", """s AS (
+  SELECT o.o_orderkey AS search_id, [p.p_name] AS actors,
+         CASE WHEN o.o_orderpriority = '1-URGENT' THEN [replace(p.p_brand, '#', ' ')]
+              ELSE [] END AS director,
+         [r.r_name] AS cities, CAST(year(o.o_orderdate) AS INTEGER) - 4 AS date
+  FROM orders o
+  JOIN first_line f ON o.o_orderkey = f.l_orderkey
+  JOIN part p ON f.partkey = p.p_partkey
+  JOIN supplier su ON f.suppkey = su.s_suppkey
+  JOIN nation n ON su.s_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey)""") + """
+SELECT s.search_id, COUNT(b.id) AS n_matches
+FROM s LEFT JOIN base b
+  ON list_has_all(coalesce(b.actors, []), s.actors)
+ AND list_has_all(coalesce(b.director, []), s.director)
+ AND list_has_any(coalesce(b.cities, []), s.cities)
+ AND b.year >= s.date
+GROUP BY s.search_id"""
