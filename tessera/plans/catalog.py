@@ -442,10 +442,9 @@ def _model_rows(spark, d):
                     "Hour", "Minutes", "x", "y", "z")
 
 
-def _batch_pipeline():
-    return fe.feature_pipeline(index_cols=["User", "Device", "Hour", "Minutes"],
-                               onehot_cols=["User", "Device", "Hour", "Minutes"],
-                               numeric_cols=["x", "y", "z"], label_col="gt")
+def _batch_pipeline(train):
+    return fe.bounded_feature_pipeline(train, ["User", "Device", "Hour", "Minutes"],
+                                       ["x", "y", "z"], label_col="gt")
 
 
 @query
@@ -478,7 +477,7 @@ def user_onehot(spark, d):
 def onehot_assemble(spark, d):
     rows = _model_rows(spark, d)
     train, _ = fe.hash_split(rows, "Index")
-    prepared = _batch_pipeline().fit(train).transform(rows)
+    prepared = _batch_pipeline(train).fit(train).transform(rows)
     return prepared.select("Index", "label",
                            F.size(vector_to_array("features")).alias("n_features"))
 
@@ -493,7 +492,7 @@ def hash_split_counts(spark, d):
 def _fit_and_score(spark, d, estimator):
     rows = _model_rows(spark, d)
     train, test = fe.hash_split(rows, "Index")
-    pipe = _batch_pipeline().fit(train)
+    pipe = _batch_pipeline(train).fit(train)
     tr, te = pipe.transform(train), pipe.transform(test)
     model = estimator.fit(tr)
     return learn.train_test_accuracy(model, tr, te)

@@ -64,3 +64,18 @@ def test_decode_roundtrip_and_corrupt_route(spark):
     bad = spark.createDataFrame([(bytearray(b"bad"),)], "value binary")
     r = decode.decode_json_value(bad, schemas.SENSOR, keep_raw=True).first()
     assert r["is_corrupt"] and r["raw_text"] == "bad"
+
+
+def test_bounded_feature_pipeline_hashes_wide_columns(spark):
+    from tessera.operators import features as fe
+    rows = spark.range(2000).select(
+        F.col("id"), (F.col("id") % 3).cast("string").alias("small"),
+        F.col("id").cast("string").alias("wide"), (F.col("id") % 7).cast("double").alias("x"),
+        (F.col("id") % 2).cast("string").alias("y"))
+    pipe = fe.bounded_feature_pipeline(rows, ["small", "wide"], ["x"], label_col="y",
+                                       max_categories=100, hash_features=64)
+    kinds = [type(s).__name__ for s in pipe.getStages()]
+    assert "FeatureHasher" in kinds and "OneHotEncoder" in kinds
+    out = pipe.fit(rows).transform(rows)
+    assert out.where(F.col("features").isNull()).count() == 0
+    assert out.select("label").distinct().count() == 2
