@@ -22,7 +22,7 @@ HEADLINE = [
     "placement_inner_base", "fragment_rest", "derived_fragment_semi", "placement_site_counts",
     "two_stage_extremes", "groups_always_above",
     "class_shares", "pivot_mean_hour", "axis_density",
-    "logistic_accuracy", "prequential_metrics",
+    "search_matches", "logistic_accuracy", "prequential_metrics",
 ]
 
 
