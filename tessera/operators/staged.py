@@ -55,4 +55,4 @@ def groups_always_above(df: DataFrame, threshold: float,
     passing = (means.groupBy(*pair_keys).agg(F.min("mean_value").alias("__lowest"))
                     .where(F.col("__lowest") >= F.lit(threshold)))
     return passing.groupBy(group_key).agg(
-        F.sort_array(F.collect_set(member)).alias(f"{member}s"))
+        F.sort_array(F.collect_set(member)).alias(f"{member}s")).orderBy(group_key)

@@ -225,7 +225,7 @@ def class_mean_hour(spark, d):
 
 @query
 def pivot_mean_hour(spark, d):
-    return profile.pivot_mean(_sensor(spark, d), "User", "gt", GT_VALUES, "Hour")
+    return profile.pivot_mean(_sensor(spark, d), "User", "gt", GT_VALUES, "Hour", ordered=True)
 
 
 @query

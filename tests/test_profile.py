@@ -79,3 +79,34 @@ def test_bounded_feature_pipeline_hashes_wide_columns(spark):
     out = pipe.fit(rows).transform(rows)
     assert out.where(F.col("features").isNull()).count() == 0
     assert out.select("label").distinct().count() == 2
+
+
+def test_preview_helpers_and_empty_table(spark):
+    from tessera.sources import preview, readers, sinks
+    s = _sensor(spark)
+    assert len(preview.preview(s, 2)) == 2
+    assert "Arrival_Time" in preview.schema_of(s)
+    pdf = preview.to_pandas_bounded(profile.counts(s, ["gt"]), max_rows=10)
+    assert int(pdf["n"].sum()) == 4
+    try:
+        preview.to_pandas_bounded(s, max_rows=2)
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("unbounded toPandas must be refused")
+    empty = readers.empty_table(spark, schemas.MODEL_INPUT)
+    assert empty.count() == 0 and empty.columns == ["label", "features"]
+    arr = spark.createDataFrame([(1, ["a", "b"])], "id int, t array<string>")
+    assert sinks.arrays_as_text(arr).first()["t"] == "[a, b]"
+
+
+def test_hash_split_is_complete_disjoint_and_stable(spark):
+    from tessera.operators import features as fe
+    df = spark.range(5000).withColumnRenamed("id", "Index")
+    tr, te = fe.hash_split(df, "Index")
+    a = {r[0] for r in tr.collect()}
+    b = {r[0] for r in te.collect()}
+    assert not a & b and len(a | b) == 5000
+    assert 0.66 < len(a) / 5000 < 0.74
+    tr2, _ = fe.hash_split(df.repartition(7), "Index")
+    assert {r[0] for r in tr2.collect()} == a
