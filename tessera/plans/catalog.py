@@ -592,3 +592,12 @@ from tessera.operators import search  # noqa: E402
 def search_matches(spark, d):
     pairs = search.match_searches(dom.saved_searches(spark, d), _base(spark, d))
     return pairs.groupBy("search_id").agg(F.count("movie_id").alias("n_matches"))
+
+
+@query
+def demand_array_matrix_discovered(spark, d):
+    """Value domain discovered in Spark, then the matrix (A20 + A17); only
+    the bounded list of distinct values reaches the driver."""
+    searches = dom.searches(spark, d)
+    values = matrix.collect_domain(matrix.array_domain(searches, "genres"))
+    return matrix.demand_matrix(searches, dom.users(spark, d), "genres", values, mode="array")

@@ -493,3 +493,5 @@ FROM s LEFT JOIN base b
  AND list_has_any(coalesce(b.cities, []), s.cities)
  AND b.year >= s.date
 GROUP BY s.search_id"""
+
+SQL["demand_array_matrix_discovered"] = SQL["demand_array_matrix"]
