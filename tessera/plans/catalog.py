@@ -601,3 +601,38 @@ def demand_array_matrix_discovered(spark, d):
     searches = dom.searches(spark, d)
     values = matrix.collect_domain(matrix.array_domain(searches, "genres"))
     return matrix.demand_matrix(searches, dom.users(spark, d), "genres", values, mode="array")
+
+
+# --- C1, C4, C6: source-format text -> CSV -> parsed tables ------------------
+
+def _csv_roundtrip(spark, raw, name, schema, multiline=False):
+    path = scratch_path(spark, name)
+    sinks.write_csv(raw, path)
+    return readers.read_csv_quoted(spark, path, schema, multiline=multiline)
+
+
+@query
+def users_csv_parse(spark, d):
+    raw = _csv_roundtrip(spark, dom.users_raw(spark, d), "users_csv", schemas.USERS_RAW)
+    return parsers.parse_users(raw)
+
+
+@query
+def searches_csv_parse(spark, d):
+    raw = _csv_roundtrip(spark, dom.searches_raw(spark, d), "searches_csv",
+                         schemas.SEARCHES_RAW)
+    return _as_text(parsers.parse_searches(raw))
+
+
+@query
+def movies_csv_parse(spark, d):
+    raw = _csv_roundtrip(spark, dom.movies_raw(spark, d), "movies_csv", schemas.MOVIES_RAW,
+                         multiline=True)
+    return _as_text(parsers.parse_movies(raw))
+
+
+@query
+def movies_csv_parse_clean(spark, d):
+    raw = _csv_roundtrip(spark, dom.movies_raw(spark, d), "movies_csv_clean",
+                         schemas.MOVIES_RAW, multiline=True)
+    return _as_text(parsers.parse_movies(raw, mode="clean"))

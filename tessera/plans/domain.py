@@ -197,3 +197,57 @@ def saved_searches(spark: SparkSession, d: str) -> DataFrame:
         empty.alias("genres"), empty.alias("lang"), empty.alias("country"),
         empty.alias("company"),
         (F.year("o_orderdate") - 4).alias("date"))
+
+
+# --- raw text tables in the source formats (for the parser round trips) -----
+
+def _list_literal(arr) -> "F.Column":
+    """``['a', 'b']`` text of an array column (``['']`` for an empty string)."""
+    return F.concat(F.lit("['"), F.array_join(arr, "', '"), F.lit("']"))
+
+
+def _dict_list(arr, render) -> "F.Column":
+    """``[{...}, {...}]`` text: one rendered dict per element (index from 1)."""
+    return F.concat(F.lit("["), F.array_join(F.transform(arr, render), ", "), F.lit("]"))
+
+
+def users_raw(spark: SparkSession, d: str) -> DataFrame:
+    u = users(spark, d)
+    return u.select(F.col("id").cast("string").alias("user_id"), "user_location")
+
+
+def searches_raw(spark: SparkSession, d: str) -> DataFrame:
+    s = searches(spark, d)
+    return s.select(F.col("id").cast("string").alias("user_id"),
+                    _list_literal(F.col("genres")).alias("genres"),
+                    F.lit("['en']").alias("lang"),
+                    _list_literal(F.col("actors")).alias("actors"),
+                    _list_literal(F.col("director")).alias("director"),
+                    F.lit("[]").alias("cities"), F.lit("['']").alias("country"),
+                    F.col("year").cast("string").alias("from_realese_date"),
+                    F.lit("[]").alias("production_company"))
+
+
+def movies_raw(spark: SparkSession, d: str) -> DataFrame:
+    """Movies in the nested-list text format, with a two-line overview."""
+    m = movies(spark, d)
+    p = table(spark, d, "part").select("p_partkey", "p_brand")
+    m = m.join(p, m.id == p.p_partkey)
+    cities = F.coalesce(F.col("cities"), F.array().cast("array<string>"))
+    genres = _dict_list(F.col("genres"), lambda w, i: F.concat(
+        F.lit("{'id': "), (i + 1).cast("string"), F.lit(", 'name': '"), w, F.lit("'}")))
+    companies = F.concat(F.lit("[{'name': '"), F.col("p_brand"), F.lit(" Films', 'id': 3}]"))
+    countries = _dict_list(cities, lambda c: F.concat(
+        F.lit("{'iso_3166_1': 'XX', 'name': '"), c, F.lit("'}")))
+    languages = _dict_list(cities, lambda c: F.concat(
+        F.lit("{'iso_639_1': '"), F.lower(F.substring(c, 1, 2)), F.lit("', 'name': '"), c,
+        F.lit("'}")))
+    return m.select(
+        F.col("id").cast("string").alias("movie_id"), genres.alias("genres"),
+        companies.alias("production_companies"), countries.alias("production_countries"),
+        F.date_format("release_date", "dd/MM/yyyy").alias("release_date"),
+        languages.alias("spoken_languages"),
+        F.concat(F.lit("['"), F.array_join(cities, "', '"), F.lit("']")).alias("cities"),
+        F.concat(F.lit("first line of "), F.col("p_brand"), F.lit("\nsecond line")).alias("overview"),
+        F.lit("0").alias("revenue"), F.lit("none").alias("tagline"),
+        F.col("p_brand").alias("title"))

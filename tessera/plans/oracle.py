@@ -495,3 +495,71 @@ FROM s LEFT JOIN base b
 GROUP BY s.search_id"""
 
 SQL["demand_array_matrix_discovered"] = SQL["demand_array_matrix"]
+
+
+# --- source-format parsers (same text, parsed by the same rules in SQL) ----
+
+SQL["users_csv_parse"] = _with(USERS) + """
+SELECT CAST(id AS INTEGER) AS id, user_location FROM users_dim"""
+
+_LL = "string_split(translate({t}, '[]''', ''), ', ')"  # list literal -> list
+
+
+def _ll_text(col: str) -> str:
+    return "'[''' || array_to_string(" + col + ", ''', ''') || ''']'"
+
+
+SQL["searches_csv_parse"] = _with(SEARCHES) + """
+SELECT CAST(id AS INTEGER) AS id,
+       array_to_string(""" + _LL.format(t=_ll_text("genres")) + """, '|') AS genres,
+       'en' AS lang,
+       array_to_string(""" + _LL.format(t=_ll_text("actors")) + """, '|') AS actors,
+       array_to_string(""" + _LL.format(t=_ll_text("director")) + """, '|') AS director,
+       '' AS cities, '' AS country, year AS date, '' AS company
+FROM searches"""
+
+
+def _compat_names(text: str, key: str, squeeze: bool) -> str:
+    t = f"regexp_replace({text}, ' ', '', 'g')" if squeeze else text
+    words = f"string_split(regexp_replace({t}, '\\W+', ' ', 'g'), ' ')"
+    return ("array_to_string(list_filter(list_transform(" + words + ", lambda x, i: CASE WHEN x = "
+            + _lit(key) + " THEN array_to_string((" + words + ")[i + 1:i + 1], ' ') END), "
+            "lambda y: y IS NOT NULL), '|')")
+
+
+SQL["movies_csv_parse"] = _with(MOVIES, """raw AS (
+  SELECT m.id,
+         '[' || array_to_string(list_transform(m.genres, lambda w, i:
+                '{''id'': ' || i || ', ''name'': ''' || w || '''}'), ', ') || ']' AS genres,
+         '[{''name'': ''' || p.p_brand || ' Films'', ''id'': 3}]' AS companies,
+         '[' || array_to_string(list_transform(coalesce(m.cities, []), lambda c:
+                '{''iso_3166_1'': ''XX'', ''name'': ''' || c || '''}'), ', ') || ']' AS countries,
+         '[' || array_to_string(list_transform(coalesce(m.cities, []), lambda c:
+                '{''iso_639_1'': ''' || lower(substr(c, 1, 2)) || ''', ''name'': ''' || c
+                || '''}'), ', ') || ']' AS languages,
+         coalesce(m.cities, []) AS cities, m.release_date
+  FROM movies m JOIN part p ON m.id = p.p_partkey)""") + """
+SELECT CAST(id AS INTEGER) AS id,
+       """ + _compat_names("genres", "name", False) + """ AS genres,
+       """ + _compat_names("companies", "name", True) + """ AS prod_comp,
+       """ + _compat_names("countries", "name", True) + """ AS countries,
+       release_date,
+       """ + _compat_names("languages", "iso_639_1", False) + """ AS languages,
+       array_to_string(cities, '|') AS cities
+FROM raw"""
+
+
+def _clean_names(text: str, key: str) -> str:
+    return ("array_to_string(regexp_extract_all(" + text + ", '''" + key
+            + "'': ''([^'']*)''', 1), '|')")
+
+
+SQL["movies_csv_parse_clean"] = SQL["movies_csv_parse"].split("\nSELECT CAST(id AS INTEGER)")[0] + """
+SELECT CAST(id AS INTEGER) AS id,
+       """ + _clean_names("genres", "name") + """ AS genres,
+       """ + _clean_names("companies", "name") + """ AS prod_comp,
+       """ + _clean_names("countries", "name") + """ AS countries,
+       release_date,
+       """ + _clean_names("languages", "iso_639_1") + """ AS languages,
+       array_to_string(cities, '|') AS cities
+FROM raw"""
