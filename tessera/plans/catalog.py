@@ -567,9 +567,12 @@ def numeric_means_by_class(spark, d):
 
 @query
 def numeric_sums_by_location(spark, d):
-    t = dom.tickets(spark, d).join(dom.users(spark, d),
-                                   F.col("user_id") == F.col("id"), "left")
-    return agg.sum_numeric(t.select("user_location", "n_tickets", "movie_id"),
+    """Sum of every numeric column per location (A4).  Sums decompose, so
+    facts are summed per user first and only per-user rows are joined."""
+    t = dom.tickets(spark, d).select("user_id", "n_tickets", "movie_id")
+    per_user = agg.sum_numeric(t, ["user_id"], prefix="")
+    joined = per_user.join(dom.users(spark, d), F.col("user_id") == F.col("id"), "left")
+    return agg.sum_numeric(joined.select("user_location", "n_tickets", "movie_id"),
                            ["user_location"])
 
 
