@@ -21,6 +21,7 @@ the history table, never a union of past micro-batch plans.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.learn import MajorityClass, MajorityClassModel, hits
-from tessera.streaming.replay import list_epochs, touch
+from tessera.streaming.replay import list_epochs, read_text, touch, write_text
 
 _DONE = "_DONE"
 
@@ -46,9 +47,8 @@ def _model_class(learner):
 
 def save_model(spark: SparkSession, model, path: str) -> None:
     if isinstance(model, MajorityClassModel):
-        spark.createDataFrame([(None if model.value is None else str(model.value),
-                                type(model.value).__name__)], "value string, kind string") \
-            .write.mode("overwrite").parquet(path)
+        # one value: a few bytes of JSON, no Spark job needed
+        write_text(spark, f"{path}/model.json", json.dumps({"value": model.value}))
     else:
         model.write().overwrite().save(path)
     touch(spark, f"{path}/{_DONE}")
@@ -56,9 +56,7 @@ def save_model(spark: SparkSession, model, path: str) -> None:
 
 def load_model(spark: SparkSession, learner, path: str):
     if isinstance(learner, MajorityClass):
-        row = spark.read.parquet(path).first()
-        cast = {"float": float, "int": int}.get(row["kind"], str)
-        return MajorityClassModel(None if row["value"] is None else cast(row["value"]))
+        return MajorityClassModel(json.loads(read_text(spark, f"{path}/model.json"))["value"])
     return _model_class(learner).load(path)
 
 
@@ -100,7 +98,10 @@ class Prequential:
         self.prepare(batch).write.mode("overwrite").parquet(self._path("history", epoch))
         rows = spark.read.parquet(self._path("history", epoch))
         # 2. score with the newest model trained before this epoch
-        earlier = [e for e in list_epochs(spark, self._path("model"), _DONE) if e < epoch]
+        if self._latest is not None and self._latest[0] == epoch - 1:
+            earlier = [epoch - 1]          # trained by this process just before
+        else:
+            earlier = [e for e in list_epochs(spark, self._path("model"), _DONE) if e < epoch]
         if earlier and self._latest is not None and self._latest[0] == earlier[-1]:
             model = self._latest[1]
         elif earlier:

@@ -55,3 +55,21 @@ def list_epochs(spark: SparkSession, path: str, marker: str | None = None) -> li
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file (a few bytes of state) through Hadoop FS."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
