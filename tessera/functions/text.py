@@ -125,7 +125,7 @@ def names_clean(c: str | Column, key: str = NAME_KEY) -> Column:
     return F.transform(parsed, lambda m: m[key])
 
 
-def credits_columns(raw: str | Column, mode: str = "compat") -> list[Column]:
+def credits_columns(raw: str | Column) -> list[Column]:
     """Split one raw ``cast,crew,id`` line into ``id``, cast text, crew text.
 
     Returns ``[id, cast_text, crew_text]`` columns: the id is the last

@@ -10,11 +10,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import matrix
+from tessera import schemas
+from tessera.functions import scalars, text
+from tessera.operators import aggregates as agg
+from tessera.operators import features as fe
+from tessera.operators import learn, matrix, profile, search, staged
+from tessera.operators import placement as pl
 from tessera.plans import domain as dom
+from tessera.plans.tables import table
+from tessera.session import scratch_path
+from tessera.sources import parsers, readers, sinks
+from tessera.streaming import decode, prequential, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,9 +127,6 @@ def total_of_group_totals(spark, d):
 
 # --- C3, C5, C7, X1-X7, X12: text to arrays ---------------------------------
 
-from tessera.functions import scalars, text  # noqa: E402
-from tessera.operators import profile, staged  # noqa: E402
-from tessera.plans.tables import table  # noqa: E402
 
 DOC_MARKER = "the"
 
@@ -286,10 +293,6 @@ def device_counts(spark, d):
 
 # --- C12-C15, J-I, J-S, U1-U5: data placement --------------------------------
 
-from tessera.operators import placement as pl  # noqa: E402
-from tessera.session import scratch_path  # noqa: E402
-from tessera.sources import parsers, readers, sinks  # noqa: E402
-from tessera import schemas  # noqa: E402
 
 SITES = (
     pl.FragmentSpec("north", ("EUROPE", "AMERICA"), min_year=1996,
@@ -425,10 +428,6 @@ def curtain_positional_csv(spark, d):
 
 # --- L1-L10: features and classifiers ----------------------------------------
 
-from pyspark.ml.functions import vector_to_array  # noqa: E402
-
-from tessera.operators import features as fe  # noqa: E402
-from tessera.operators import learn  # noqa: E402
 
 # Fixed vocabularies for stream-safe encoding (positions are the codes).
 GT_VOCABULARY = ("view", "click", "signup", "error", "purchase")
@@ -510,7 +509,6 @@ def forest_accuracy(spark, d):
 
 # --- T1-T10, S7: streaming -----------------------------------------------------
 
-from tessera.streaming import decode, prequential, replay  # noqa: E402
 
 BLOCK_EVENTS = 2500
 
@@ -555,8 +553,6 @@ def prequential_forest(spark, d):
 
 # --- A1, A4, A6: generic aggregates ------------------------------------------
 
-from tessera.operators import aggregates as agg  # noqa: E402
-
 
 @query
 def numeric_means_by_class(spark, d):
@@ -588,8 +584,6 @@ def accounting_totals(spark, d):
 
 # --- SURVEY 2.14: saved-search matching -------------------------------------
 
-from tessera.operators import search  # noqa: E402
-
 
 @query
 def search_matches(spark, d):

@@ -27,13 +27,15 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = ()) -> None:
+    """Write ``df`` as Parquet (arrays kept) or CSV (arrays as text)."""
+    if fmt == "csv":
+        df = arrays_as_text(df)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        write_csv(df, path, mode=mode)
-    else:
-        writer.format(fmt).save(path)
+        writer = writer.option("header", True).option("escape", '"')
+    writer.format(fmt).save(path)
 
 
 def write_placement(base: DataFrame, details: DataFrame, specs: Sequence[pl.FragmentSpec],
