@@ -32,11 +32,11 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
 
     from tessera.plans import catalog
-    from tessera.session import build_session
+    from tessera.session import build_session, input_bytes, partition_settings
 
-    spark = build_session(f"local[{cpus}]", app="tessera-bench",
-                          shuffle_partitions=int(cpus) * 2,
-                          conf={"spark.driver.memory": "16g"})
+    conf = partition_settings(input_bytes([sf_dir]), int(cpus))
+    conf["spark.driver.memory"] = "16g"
+    spark = build_session(f"local[{cpus}]", app="tessera-bench", conf=conf)
     # warm-up: JVM, codegen caches and file listing (not timed)
     catalog.REGISTRY["class_counts"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 

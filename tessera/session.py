@@ -8,6 +8,7 @@ when that setting is absent (a laptop, a unit test) do we create one.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -67,3 +68,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tessera/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def partition_settings(input_bytes: int, total_cores: int,
+                       target_bytes: int = 128 * 1024 * 1024,
+                       max_partitions: int = 100_000) -> dict[str, str]:
+    """Partition sizing from the input size and the cluster's cores.
+
+    Scan splits stay at ``target_bytes``; the initial shuffle partition
+    count is the larger of 2x cores and input / target (so a partition of
+    the biggest shuffle fits an executor's memory), capped; AQE then
+    coalesces small partitions to the advisory size at runtime.
+    """
+    want = max(2 * total_cores, -(-input_bytes // target_bytes))
+    n = str(min(want, max_partitions))
+    return {"spark.sql.files.maxPartitionBytes": str(target_bytes),
+            "spark.sql.shuffle.partitions": n,
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes)}
+
+
+def input_bytes(paths: list[str]) -> int:
+    """Total size of local input files (used by the bench)."""
+    total = 0
+    for p in paths:
+        if os.path.isdir(p):
+            for root, _dirs, files in os.walk(p):
+                total += sum(os.path.getsize(os.path.join(root, f)) for f in files)
+        elif os.path.exists(p):
+            total += os.path.getsize(p)
+    return total
