@@ -14,12 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
-# Key names that the nested-list text format uses, and the
-# bracket pattern.  They must equal the input format, so they are stated
-# here as plain text.
+# The key names and patterns of the nested-list text format
+# and of the compat parse.  Results must match the source format, so they
+# are stated here, together, as plain text.
 NAME_KEY = "name"                 # key whose value is the item name
 LANGUAGE_KEY = "iso_639_1"        # key of the language code
 DIRECTOR_JOB = "'Director'"       # quoted job value that marks a director
+CAST_ID_KEY = "'cast_id': "       # blanked before reading cast names
+DIGITS = "[0-9]"                  # blanked before reading cast names
+NON_WORD = r"\W+"                 # separators between words
 BRACKET_GROUP = r"\[(.*?)\]"      # one non-greedy [...] group
 LIST_LITERAL_CHARS = "[]'"        # characters stripped from a list literal
 LIST_SEPARATOR = ", "             # item separator of a list literal
@@ -93,7 +96,7 @@ def with_words_after(df: DataFrame, text: str | Column, marker: str, n: int,
         cleaned = F.regexp_replace(cleaned, pattern, repl)
     if squeeze_spaces:
         cleaned = F.regexp_replace(cleaned, " ", "")
-    cleaned = F.regexp_replace(cleaned, r"\W+", " ")
+    cleaned = F.regexp_replace(cleaned, NON_WORD, " ")
     tmp = f"__{out}_words"
     return (df.withColumn(tmp, F.split(cleaned, " "))
               .withColumn(out, words_after(F.col(tmp), marker, n))
@@ -155,10 +158,10 @@ def with_credits_parsed(df: DataFrame, raw: str, mode: str = "compat",
     # compat: actors = two words after each 'name'; digits and the cast
     # id key are blanked first.
     out = with_words_after(base, "cast_text", NAME_KEY, 2, "actors",
-                           pre_replace=[("'cast_id': ", " "), ("[0-9]", " ")])
+                           pre_replace=[(CAST_ID_KEY, " "), (DIGITS, " ")])
     # director: tag the job value, drop ' name', two words after the tag.
     crew = F.regexp_replace("crew_text", DIRECTOR_JOB, _DIRECTOR_MARK)
-    crew = F.regexp_replace(F.regexp_replace(crew, r"\W+", " "), " " + NAME_KEY, "")
+    crew = F.regexp_replace(F.regexp_replace(crew, NON_WORD, " "), " " + NAME_KEY, "")
     out = out.withColumn("__crew", crew)
     out = with_words_after(out, "__crew", _DIRECTOR_MARK, 2, "director")
     return out.select(*([F.col(raw)] if keep_raw else []), "id", "actors", "director")
