@@ -13,8 +13,13 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from tessera.session import build_session
-    s = build_session("local[4]", app="tessera-tests", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="tessera-warehouse-")
+    s = build_session("local[4]", app="tessera-tests", shuffle_partitions=8,
+                      conf={"spark.sql.warehouse.dir": warehouse,
+                            "spark.sql.autoBroadcastJoinThreshold": "-1"})
     yield s
     s.stop()
 
