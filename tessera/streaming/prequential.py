@@ -12,7 +12,8 @@ not in driver variables, so a restarted query resumes where it stopped:
 
 * ``history/epoch=N``  prepared rows of batch N (overwritten on replay)
 * ``model/epoch=N``    model fitted on history <= N (``_DONE`` marks it)
-* ``metrics/epoch=N``  rows scored and correct in batch N
+* ``metrics/epoch=N``  rows scored and correct in batch N, and running
+                       totals (one small JSON row per epoch)
 
 All three are written per epoch with overwrite, so replaying an epoch
 after a failure gives the same tables (idempotent sink).  Training reads
@@ -28,13 +29,14 @@ from dataclasses import dataclass
 from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel,
                                        RandomForestClassificationModel,
                                        RandomForestClassifier)
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.learn import MajorityClass, MajorityClassModel, hits
 from tessera.streaming.replay import list_epochs, read_text, touch, write_text
 
 _DONE = "_DONE"
+_METRICS_SCHEMA = "n_rows long, n_correct long, cum_rows long, cum_correct long, epoch int"
 
 
 def _model_class(learner):
@@ -79,6 +81,8 @@ class Prequential:
     # newest (epoch, model) trained in this process; after a restart it
     # is empty and the model is loaded from ``model/epoch=N`` instead.
     _latest: tuple | None = None
+    # (epoch, cum_rows, cum_correct) of the newest metrics row written here
+    _totals: tuple | None = None
 
     def _path(self, kind: str, epoch: int | None = None) -> str:
         base = f"{self.state_dir}/{kind}"
@@ -112,12 +116,20 @@ class Prequential:
             model = None
         if model is not None:
             scored = model.transform(rows)
-            metrics = scored.agg(F.count(F.lit(1)).alias("n_rows"),
-                                 F.coalesce(F.sum(hits(scored)), F.lit(0)).alias("n_correct"))
+            agg = scored.agg(F.count(F.lit(1)).alias("n_rows"),
+                             F.coalesce(F.sum(hits(scored)), F.lit(0)).alias("n_correct")).first()
+            n_rows, n_correct = agg["n_rows"], agg["n_correct"]
         else:
-            metrics = rows.agg(F.lit(0).cast("long").alias("n_rows"),
-                               F.lit(0).cast("long").alias("n_correct"))
-        metrics.write.mode("overwrite").parquet(self._path("metrics", epoch))
+            n_rows, n_correct = 0, 0
+        # one aggregate row per epoch: running totals continue from the
+        # previous epoch's row (no window over the table), and a replay
+        # rewrites the same small file
+        base_rows, base_correct = self._previous_totals(epoch)
+        row = {"n_rows": n_rows, "n_correct": n_correct,
+               "cum_rows": base_rows + n_rows, "cum_correct": base_correct + n_correct}
+        write_text(spark, f"{self._path('metrics', epoch)}/metrics.json", json.dumps(row))
+        if self._totals is None or self._totals[0] < epoch:
+            self._totals = (epoch, row["cum_rows"], row["cum_correct"])
         # 3. learn from everything seen so far
         if epoch + 1 < self.retrain_until:
             fitted = self.learner.fit(self.history(epoch))
@@ -154,18 +166,25 @@ class Prequential:
             raise RuntimeError(str(q.exception()))
         return q
 
+    def _previous_totals(self, epoch: int) -> tuple[int, int]:
+        if self._totals is not None and self._totals[0] == epoch - 1:
+            return self._totals[1], self._totals[2]
+        earlier = [e for e in list_epochs(self.spark, self._path("metrics")) if e < epoch]
+        if not earlier:
+            return 0, 0
+        row = json.loads(read_text(self.spark,
+                                   f"{self._path('metrics', earlier[-1])}/metrics.json"))
+        return row["cum_rows"], row["cum_correct"]
+
     def rows_scored(self) -> int:
-        if not list_epochs(self.spark, self._path("metrics")):
+        done = list_epochs(self.spark, self._path("metrics"))
+        if not done:
             return 0
-        m = self.spark.read.parquet(self._path("metrics"))
-        return m.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+        return self._previous_totals(done[-1] + 1)[0]
 
     def metrics(self) -> DataFrame:
-        """Per-epoch and running accuracy (T8).  One row per micro-batch,
-        so the running window covers a small table."""
-        m = self.spark.read.option("basePath", self._path("metrics")) \
-            .parquet(self._path("metrics"))
-        w = Window.orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
+        """Per-epoch and running accuracy (T8), read from the metrics table."""
+        m = self.spark.read.schema(_METRICS_SCHEMA) \
+            .option("basePath", self._path("metrics")).json(self._path("metrics"))
         return m.select(F.col("epoch").cast("long").alias("epoch"), "n_rows", "n_correct",
-                        F.sum("n_rows").over(w).alias("cum_rows"),
-                        F.sum("n_correct").over(w).alias("cum_correct"))
+                        "cum_rows", "cum_correct")
