@@ -3,7 +3,8 @@
 
 Every micro-batch is first scored by the model trained on *earlier*
 batches, then added to the training history; the model is retrained on
-the history while ``epoch + 1 < retrain_until``.  Rows are never scored
+the history while ``epoch + 1 < retrain_until`` (every ``retrain_every``
+epochs; ``history_epochs`` bounds the training window).  Rows are never scored
 by a model that has seen them, and every row is scored (the first batch
 may be scored by a model fitted on itself, ``first_batch='self'``).
 
@@ -78,6 +79,7 @@ class Prequential:
     first_batch: str = "self"
     retrain_until: int = 40
     history_epochs: int | None = None
+    retrain_every: int = 1
     # newest (epoch, model) trained in this process; after a restart it
     # is empty and the model is loaded from ``model/epoch=N`` instead.
     _latest: tuple | None = None
@@ -131,7 +133,7 @@ class Prequential:
         if self._totals is None or self._totals[0] < epoch:
             self._totals = (epoch, row["cum_rows"], row["cum_correct"])
         # 3. learn from everything seen so far
-        if epoch + 1 < self.retrain_until:
+        if epoch + 1 < self.retrain_until and epoch % self.retrain_every == 0:
             fitted = self.learner.fit(self.history(epoch))
             save_model(spark, fitted, self._path("model", epoch))
             self._latest = (epoch, fitted)

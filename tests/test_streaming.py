@@ -24,13 +24,14 @@ def _prepare(b):
     return b.select(F.col("gt").alias("label"), "block")
 
 
-def _batch_oracle(rows, retrain_until):
+def _batch_oracle(rows, retrain_until, every=1):
     """Pure-Python recomputation of the majority-class prequential run."""
     data = [(r["block"], r["gt"]) for r in rows.select("block", "gt").collect()]
     blocks = sorted({b for b, _ in data})
+    trained = [t for t in blocks if t + 1 < retrain_until and t % every == 0]
     out = {}
     for e in blocks:
-        upto = 0 if e == 0 else min(e - 1, retrain_until - 2)
+        upto = 0 if e == 0 else max(t for t in trained if t < e)
         seen = {}
         for b, g in data:
             if b <= upto:
@@ -55,6 +56,16 @@ def test_prequential_matches_batch_and_scores_every_row(spark):
     assert all(r["k"] == 1 for r in per)
 
 
+def test_prequential_retrain_every(spark):
+    rows, stream = _stream(spark)
+    state = scratch_path(spark, "test_preq_every")
+    run = prequential.Prequential(spark, _prepare, learn.MajorityClass(), state,
+                                  retrain_every=2)
+    run.run(stream)
+    got = {r["epoch"]: (r["n_rows"], r["n_correct"]) for r in run.metrics().collect()}
+    assert got == _batch_oracle(rows, 40, every=2)
+
+
 def test_prequential_restart_is_idempotent(spark):
     rows, stream = _stream(spark)
     state = scratch_path(spark, "test_preq_restart")
