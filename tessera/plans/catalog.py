@@ -587,8 +587,7 @@ def accounting_totals(spark, d):
 
 @query
 def search_matches(spark, d):
-    pairs = search.match_searches(dom.saved_searches(spark, d), _base(spark, d))
-    return pairs.groupBy("search_id").agg(F.count("movie_id").alias("n_matches"))
+    return search.match_counts(dom.saved_searches(spark, d), _base(spark, d))
 
 
 @query
