@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel,
                                        RandomForestClassificationModel,
                                        RandomForestClassifier)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.learn import MajorityClass, MajorityClassModel, hits
@@ -98,31 +98,45 @@ class Prequential:
             cond = cond & (F.col("epoch") > upto - self.history_epochs)
         return h.where(cond).drop("epoch")
 
+    def _model_before(self, epoch: int):
+        """Newest model trained on epochs before ``epoch`` (None if none)."""
+        if self._latest is not None and self._latest[0] == epoch - 1:
+            return self._latest[1]          # trained by this process just before
+        earlier = [e for e in list_epochs(self.spark, self._path("model"), _DONE) if e < epoch]
+        if not earlier:
+            return None
+        if self._latest is not None and self._latest[0] == earlier[-1]:
+            return self._latest[1]
+        return load_model(self.spark, self.learner, self._path("model", earlier[-1]))
+
     def process(self, batch: DataFrame, epoch: int) -> None:
         spark = self.spark
-        # 1. persist the prepared batch: idempotent, and cuts the lineage
-        self.prepare(batch).write.mode("overwrite").parquet(self._path("history", epoch))
-        rows = spark.read.parquet(self._path("history", epoch))
-        # 2. score with the newest model trained before this epoch
-        if self._latest is not None and self._latest[0] == epoch - 1:
-            earlier = [epoch - 1]          # trained by this process just before
-        else:
-            earlier = [e for e in list_epochs(spark, self._path("model"), _DONE) if e < epoch]
-        if earlier and self._latest is not None and self._latest[0] == earlier[-1]:
-            model = self._latest[1]
-        elif earlier:
-            model = load_model(spark, self.learner, self._path("model", earlier[-1]))
-        elif self.first_batch == "self":
-            model = self.learner.fit(rows)
-        else:
-            model = None
+        prepared = self.prepare(batch)
+        history_path = self._path("history", epoch)
+        model = self._model_before(epoch)
         if model is not None:
-            scored = model.transform(rows)
-            agg = scored.agg(F.count(F.lit(1)).alias("n_rows"),
-                             F.coalesce(F.sum(hits(scored)), F.lit(0)).alias("n_correct")).first()
-            n_rows, n_correct = agg["n_rows"], agg["n_correct"]
+            # score while persisting the batch: one pass over the batch, the
+            # counts are collected by an Observation during the write job
+            obs = Observation(f"prequential_{epoch}")
+            scored = model.transform(prepared)
+            scored.observe(obs, F.count(F.lit(1)).alias("n_rows"),
+                           F.sum(hits(scored)).alias("n_correct")) \
+                .select(*prepared.columns).write.mode("overwrite").parquet(history_path)
+            got = obs.get
+            n_rows, n_correct = got["n_rows"] or 0, got["n_correct"] or 0
         else:
-            n_rows, n_correct = 0, 0
+            # persist the batch first (idempotent, cuts the lineage)
+            prepared.write.mode("overwrite").parquet(history_path)
+            rows = spark.read.parquet(history_path)
+            if self.first_batch == "self":
+                own = self.learner.fit(rows)
+                scored = own.transform(rows)
+                agg = scored.agg(F.count(F.lit(1)).alias("n_rows"),
+                                 F.coalesce(F.sum(hits(scored)), F.lit(0)).alias("n_correct")
+                                 ).first()
+                n_rows, n_correct = agg["n_rows"], agg["n_correct"]
+            else:
+                n_rows, n_correct = 0, 0
         # one aggregate row per epoch: running totals continue from the
         # previous epoch's row (no window over the table), and a replay
         # rewrites the same small file
