@@ -24,6 +24,7 @@ the history table, never a union of past micro-batch plans.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -117,7 +118,7 @@ class Prequential:
         if model is not None:
             # score while persisting the batch: one pass over the batch, the
             # counts are collected by an Observation during the write job
-            obs = Observation(f"prequential_{epoch}")
+            obs = Observation(f"prequential_{epoch}_{uuid.uuid4().hex[:8]}")
             scored = model.transform(prepared)
             scored.observe(obs, F.count(F.lit(1)).alias("n_rows"),
                            F.sum(hits(scored)).alias("n_correct")) \
