@@ -475,7 +475,7 @@ def user_onehot(spark, d):
 @query
 def onehot_assemble(spark, d):
     rows = _model_rows(spark, d)
-    train, _ = fe.hash_split(rows, "Index")
+    train, _ = fe.hash_split(rows, "Index", method="md5")
     prepared = _batch_pipeline(train).fit(train).transform(rows)
     return prepared.select("Index", "label",
                            F.size(vector_to_array("features")).alias("n_features"))
@@ -483,14 +483,14 @@ def onehot_assemble(spark, d):
 
 @query
 def hash_split_counts(spark, d):
-    train, test = fe.hash_split(_model_rows(spark, d), "Index")
+    train, test = fe.hash_split(_model_rows(spark, d), "Index", method="md5")
     return train.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit("train")) \
         .unionByName(test.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit("test")))
 
 
 def _fit_and_score(spark, d, estimator):
     rows = _model_rows(spark, d)
-    train, test = fe.hash_split(rows, "Index")
+    train, test = fe.hash_split(rows, "Index", method="md5")
     pipe = _batch_pipeline(train).fit(train)
     tr, te = pipe.transform(train), pipe.transform(test)
     model = estimator.fit(tr)

@@ -563,3 +563,30 @@ SELECT CAST(id AS INTEGER) AS id,
        """ + _clean_names("languages", "iso_639_1") + """ AS languages,
        array_to_string(cities, '|') AS cities
 FROM raw"""
+
+
+# --- split and assembled features (md5 split is reproducible in SQL) -------
+
+_SPLIT = """split AS (
+  SELECT *, CAST(('0x' || substr(md5('42:' || CAST("Index" AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 70
+            AS is_train
+  FROM sensor)"""
+
+SQL["hash_split_counts"] = _with(SENSOR, _SPLIT) + """
+SELECT CASE WHEN is_train THEN 'train' ELSE 'test' END AS split, COUNT(*) AS n
+FROM split GROUP BY 1"""
+
+# label = frequency rank of the class among training rows (ties by name);
+# vector width per one-hot column = distinct training values + the
+# indexer's unseen bucket + the encoder's invalid slot - the dropped last
+# slot, i.e. distinct + 1; plus x, y, z.
+SQL["onehot_assemble"] = _with(SENSOR, _SPLIT, """lab AS (
+  SELECT gt, row_number() OVER (ORDER BY COUNT(*) DESC, gt) - 1 AS idx
+  FROM split WHERE is_train GROUP BY gt)""", """width AS (
+  SELECT (COUNT(DISTINCT usr) + 1)
+         + (COUNT(DISTINCT CAST(split_part(device, '_', 2) AS INTEGER) - 1) + 1)
+         + (COUNT(DISTINCT hr) + 1) + (COUNT(DISTINCT mi) + 1) + 3 AS n
+  FROM split WHERE is_train)""") + """
+SELECT s."Index", CAST(coalesce(l.idx, (SELECT COUNT(*) FROM lab)) AS DOUBLE) AS label,
+       CAST((SELECT n FROM width) AS INTEGER) AS n_features
+FROM split s LEFT JOIN lab l ON s.gt = l.gt"""

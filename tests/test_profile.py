@@ -110,3 +110,5 @@ def test_hash_split_is_complete_disjoint_and_stable(spark):
     assert 0.66 < len(a) / 5000 < 0.74
     tr2, _ = fe.hash_split(df.repartition(7), "Index")
     assert {r[0] for r in tr2.collect()} == a
+    m_tr, m_te = fe.hash_split(df, "Index", method="md5")
+    assert m_tr.count() + m_te.count() == 5000 and 0.66 < m_tr.count() / 5000 < 0.74
