@@ -82,3 +82,21 @@ def test_users_and_tickets_parse(spark):
     assert t.columns == ["user_id", "movie_id", "n_tickets", "city"]
     bad = t.where(F.col("user_id") == 3).first()
     assert bad["n_tickets"] is None                  # 'x' -> NULL, not an error
+
+
+def test_clean_parse_keeps_apostrophes_and_long_names(spark):
+    line = ("\"[{'cast_id': 1, 'character': 'A', 'credit_id': 'x', 'gender': 1, 'id': 3, "
+            "'name': \"D'Arcy Vole\", 'order': 0, 'profile_path': None}, {'cast_id': 2, "
+            "'character': 'B', 'credit_id': 'y', 'gender': 2, 'id': 4, "
+            "'name': 'Ann Lee Ray', 'order': 1, 'profile_path': None}]\","
+            "\"[{'credit_id': 'z', 'department': 'Directing', 'gender': 2, 'id': 5, "
+            "'job': 'Director', 'name': 'Jo-Ann Kim', 'profile_path': None}]\",77")
+    raw = spark.createDataFrame([(line,)], "`cast,crew,id` string")
+    clean = parsers.parse_credits(raw, mode="clean").first()
+    assert clean["id"] == 77
+    assert clean["actors"] == ["D'Arcy Vole", "Ann Lee Ray"]
+    assert clean["director"] == ["Jo-Ann Kim"]
+    compat = parsers.parse_credits(raw).first()
+    # compat: the apostrophe and the hyphen are separators, names keep two words
+    assert compat["actors"] == ["D Arcy", "Ann Lee"]
+    assert compat["director"] == ["Jo Ann"]
