@@ -633,3 +633,10 @@ def movies_csv_parse_clean(spark, d):
     raw = _csv_roundtrip(spark, dom.movies_raw(spark, d), "movies_csv_clean",
                          schemas.MOVIES_RAW, multiline=True)
     return _as_text(parsers.parse_movies(raw, mode="clean"))
+
+
+@query
+def credits_text_parse_clean(spark, d):
+    c = dom.credits(spark, d, mode="clean")
+    return c.select("id", F.array_join("actors", "|").alias("actors"),
+                    F.array_join("director", "|").alias("director"))

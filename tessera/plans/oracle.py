@@ -590,3 +590,14 @@ SQL["onehot_assemble"] = _with(SENSOR, _SPLIT, """lab AS (
 SELECT s."Index", CAST(coalesce(l.idx, (SELECT COUNT(*) FROM lab)) AS DOUBLE) AS label,
        CAST((SELECT n FROM width) AS INTEGER) AS n_features
 FROM split s LEFT JOIN lab l ON s.gt = l.gt"""
+
+SQL["credits_text_parse_clean"] = _with(CREDITS_RAW, """parts AS (
+  SELECT TRY_CAST(string_split(raw, ',')[-1] AS INTEGER) AS id,
+         regexp_extract(raw, '\\[(.*?)\\]', 0) AS cast_text,
+         '[' || regexp_extract_all(raw, '\\[(.*?)\\]', 1)[2] || ']' AS crew_text
+  FROM credits_raw)""") + """
+SELECT id,
+       array_to_string(regexp_extract_all(cast_text, '''name'': ''([^'']*)''', 1), '|') AS actors,
+       array_to_string(regexp_extract_all(crew_text,
+           '''job'': ''Director'', ''name'': ''([^'']*)''', 1), '|') AS director
+FROM parts"""
