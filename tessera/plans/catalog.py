@@ -640,3 +640,15 @@ def credits_text_parse_clean(spark, d):
     c = dom.credits(spark, d, mode="clean")
     return c.select("id", F.array_join("actors", "|").alias("actors"),
                     F.array_join("director", "|").alias("director"))
+
+
+@query
+def pivot_count_filled(spark, d):
+    """A10 with absent cells as 0 instead of NULL."""
+    return profile.pivot_count(_sensor(spark, d), "User", "gt", GT_VALUES, fill=0)
+
+
+@query
+def demand_scalar_long(spark, d):
+    """Long form of the order-year matrix (scalar mode)."""
+    return matrix.demand_long(dom.searches(spark, d), dom.users(spark, d), "year", mode="scalar")

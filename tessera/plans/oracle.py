@@ -601,3 +601,13 @@ SELECT id,
        array_to_string(regexp_extract_all(crew_text,
            '''job'': ''Director'', ''name'': ''([^'']*)''', 1), '|') AS director
 FROM parts"""
+
+SQL["pivot_count_filled"] = _with(SENSOR) + 'SELECT usr AS "User", ' + ", ".join(
+    f"COUNT(*) FILTER (WHERE gt = {_lit(g)}) AS {_q(g)}" for g in _GT) + """
+FROM sensor GROUP BY usr"""
+
+SQL["demand_scalar_long"] = _with(USERS, SEARCHES) + """
+SELECT u.user_location, s.year AS value, COUNT(*) AS n
+FROM searches s LEFT JOIN users_dim u ON s.id = u.id
+WHERE s.year IS NOT NULL
+GROUP BY u.user_location, s.year"""
