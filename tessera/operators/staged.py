@@ -43,9 +43,10 @@ def groups_always_above(df: DataFrame, threshold: float,
                         fine_keys: Sequence[str] = ("day", "month", "face", "curtain"),
                         pair_keys: Sequence[str] = ("month", "face"),
                         group_key: str = "month", member: str = "face",
-                        value: str = "value") -> DataFrame:
+                        value: str = "value", as_list: bool = True) -> DataFrame:
     """Groups whose *every* fine-key mean is >= ``threshold`` (C17, A26),
-    listed as sorted members per ``group_key`` (A27).
+    listed as sorted members per ``group_key`` (A27), or with
+    ``as_list=False`` as one row per passing (group, member) pair.
 
     "For all" is ``min(mean) >= t`` on the pair key: one aggregate
     instead of a set difference.  The member set per group is bounded
@@ -54,5 +55,9 @@ def groups_always_above(df: DataFrame, threshold: float,
     means = key_means(df, fine_keys, value)
     passing = (means.groupBy(*pair_keys).agg(F.min("mean_value").alias("__lowest"))
                     .where(F.col("__lowest") >= F.lit(threshold)))
+    if not as_list:
+        # one (group, member) row per passing pair: no per-group list, so
+        # a member domain of any size stays distributed
+        return passing.select(group_key, member)
     return passing.groupBy(group_key).agg(
         F.sort_array(F.collect_set(member)).alias(f"{member}s")).orderBy(group_key)

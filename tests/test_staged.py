@@ -33,3 +33,9 @@ def test_two_stage_extremes_wide_and_long(spark):
     long = staged.two_stage_extremes(_curtain(spark), long=True).collect()
     assert len(long) == 2 * len(wide)
     assert {r["kind"] for r in long} == {"max", "min"}
+
+
+def test_groups_always_above_long_form(spark):
+    rows = {(r["month"], r["face"]) for r in
+            staged.groups_always_above(_curtain(spark), 0.05, as_list=False).collect()}
+    assert rows == {(2, "N"), (3, "S")}
