@@ -652,3 +652,8 @@ def pivot_count_filled(spark, d):
 def demand_scalar_long(spark, d):
     """Long form of the order-year matrix (scalar mode)."""
     return matrix.demand_long(dom.searches(spark, d), dom.users(spark, d), "year", mode="scalar")
+
+
+@query
+def groups_always_above_long(spark, d):
+    return staged.groups_always_above(dom.curtain(spark, d), CURTAIN_THRESHOLD, as_list=False)

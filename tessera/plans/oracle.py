@@ -611,3 +611,10 @@ SELECT u.user_location, s.year AS value, COUNT(*) AS n
 FROM searches s LEFT JOIN users_dim u ON s.id = u.id
 WHERE s.year IS NOT NULL
 GROUP BY u.user_location, s.year"""
+
+SQL["groups_always_above_long"] = _with(CURTAIN, """m AS (
+  SELECT day, month, face, curtain, AVG(value) AS mean_value
+  FROM curtain GROUP BY day, month, face, curtain)""") + """
+SELECT DISTINCT month, face FROM m
+EXCEPT
+SELECT DISTINCT month, face FROM m WHERE mean_value < 0.041"""
