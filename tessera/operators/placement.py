@@ -112,5 +112,10 @@ def check_placement(all_ids: DataFrame, placed: DataFrame, key: str = "id"
 
 
 def union_ids(frames: Sequence[DataFrame], key: str = "id") -> DataFrame:
-    """UNION ALL of the key column of several fragments."""
+    """UNION ALL of the key column of several fragments.
+
+    Fragments of one base recompute that base per branch unless it is
+    materialised first (``checkpoint``); :func:`placed_ids` gets the same
+    ids from a single pass.
+    """
     return reduce(lambda a, b: a.unionByName(b), [f.select(key) for f in frames])

@@ -22,7 +22,7 @@ from tessera.operators import learn, matrix, profile, search, staged
 from tessera.operators import placement as pl
 from tessera.plans import domain as dom
 from tessera.plans.tables import table
-from tessera.session import scratch_path
+from tessera.session import ensure_checkpoint_dir, scratch_path
 from tessera.sources import parsers, readers, sinks
 from tessera.streaming import decode, prequential, replay
 
@@ -373,7 +373,10 @@ def placement_site_counts(spark, d):
 
 @query
 def placement_union_ids(spark, d):
-    base = _base(spark, d)
+    # the five fragments share one base: materialise it once (lineage cut
+    # in the checkpoint folder) instead of recomputing the join per branch
+    ensure_checkpoint_dir(spark)
+    base = _base(spark, d).checkpoint(eager=True)
     return pl.union_ids([pl.fragment(base, s) for s in SITES])
 
 
