@@ -1,6 +1,7 @@
 """Driver contract and the Spark-vs-SQL oracle at the smallest scale."""
 
 import __spark_entry__ as entry_mod
+from tessera.plans import catalog
 
 from conftest import SF_SMALL
 from harness import run
@@ -18,7 +19,7 @@ FAST_ROWS_ONLY = {"prequential_forest", "forest_accuracy", "logistic_accuracy"}
 
 
 def test_all_queries_match_oracle_small(spark):
-    names = [n for n in entry_mod.queries() if n not in FAST_ROWS_ONLY]
+    names = [n for n in catalog.REGISTRY if n not in FAST_ROWS_ONLY]
     res = run(spark, SF_SMALL, names)
     bad = {k: v for k, v in res.items() if not v[0]}
     assert not bad, bad

@@ -5,7 +5,7 @@ import contextlib
 import io
 import re
 
-import __spark_entry__ as entry_mod
+from tessera.plans import catalog
 
 from conftest import SF_SMALL
 
@@ -23,7 +23,7 @@ def _plan(df) -> str:
 
 def test_no_forbidden_operators_and_pruned_scans(spark):
     bad = {}
-    for name, fn in entry_mod.queries().items():
+    for name, fn in catalog.REGISTRY.items():
         if name in ("prequential_forest", "forest_accuracy", "logistic_accuracy"):
             continue
         plan = _plan(fn(spark, SF_SMALL))
