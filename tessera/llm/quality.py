@@ -1,8 +1,8 @@
 """Quality rules: surface counts and a hashed n-gram likelihood ratio.
 
 The ratio compares two multinomials over ``buckets`` hashed word unigrams
-and bigrams: the *target* (documents labelled good) and the *raw* corpus
-(every document), both smoothed alike.  A document's verdict is
+and bigrams: the *target* (documents labelled good, at most ``TARGET_DOCS``
+of them, drawn by hash) and the *raw* corpus (every document), both smoothed alike.  A document's verdict is
 its log-likelihood ratio per n-gram against a fixed threshold, so the
 same document under the same model always gets the same answer.
 
@@ -10,7 +10,8 @@ All work is DataFrame expressions.  Counting explodes n-gram buckets and
 sums them with partial aggregation, so a task shuffles at most
 ``buckets`` rows however frequent an n-gram is; the model is ``buckets``
 numbers whatever the size of the corpus and reaches the scoring pass as
-a scalar subquery.  Scoring is one scan without a shuffle.
+a scalar subquery.  The ids of the target sample are broadcast (that many
+at most).  Scoring is one scan without a shuffle.
 
 Defined results: a NULL or blank text has no words, zero counts and
 fails the base rules; with no labelled target the ratio is 0 for every
@@ -30,6 +31,7 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 BUCKETS = 1 << 16
 PSEUDO = 8.0
+TARGET_DOCS = 50_000
 THRESHOLD = -0.12
 
 
@@ -82,32 +84,38 @@ def _duplicate_lines(text: Column) -> Column:
 
 
 
+def target_sample(good_ids: DataFrame, most: int = TARGET_DOCS) -> DataFrame:
+    """At most ``most`` of the good ids (column ``id``): those with the least hashes."""
+    ids = good_ids.select(F.col(good_ids.columns[0]).alias("id")).filter("id is not null").distinct()
+    total = ids.count()
+    place = F.xxhash64("id")
+    if total > most:          # first thin out, so that the sort sees little more than it returns
+        share = int(min(1.0, 1.2 * most / total) * (1 << 20))
+        ids = ids.filter(F.pmod(place, F.lit(1 << 20)) < share)
+    return ids.orderBy(place, "id").limit(most)
+
+
 def ratio_model(corpus: DataFrame, good_ids: DataFrame, id_col: str = "doc_id",
                 text_col: str = "text", buckets: int = BUCKETS,
-                pseudo: float = PSEUDO) -> DataFrame:
+                pseudo: float = PSEUDO, target_docs: int = TARGET_DOCS) -> DataFrame:
     """One row, ``weights``: log target over raw probability of each bucket.
 
     Raw counts are scaled to the size of the target and both sides get
     ``pseudo`` extra counts, so a bucket seen a few times says little.
 
-    ``good_ids(id)`` names the target documents.  Raw counts cover every
-    document of ``corpus``, target counts every good one.
+    ``good_ids(id)`` names the good documents.  Raw counts cover every
+    document of ``corpus``, target counts at most ``target_docs`` good ones.
     """
-    hashed = corpus.select(F.col(id_col).alias("id"),
-                           _hashes(words_of(F.col(text_col))).alias("hashes"))
-
+    good = F.broadcast(target_sample(good_ids, target_docs)).withColumn("good", F.lit(1))
+    flagged = corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
+        .join(good, "id", "left")
+    hashed = flagged.select("good", words_of(F.col("text")).alias("words")) \
+        .select("good", _hashes(F.col("words")).alias("hashes"))
     # explode_outer: explode would add a filter that computes the arrays a second time
-    outer = F.explode_outer
-
-    def counts(rows: DataFrame, name: str) -> DataFrame:
-        return (rows.select(outer(_grams(F.col("hashes"), buckets)).alias("bucket"))
-                .groupBy("bucket").agg(F.count("*").alias(name)))
-
-    good = good_ids.select(F.col(good_ids.columns[0]).alias("id")).distinct()
-    raw, target = counts(hashed, "raw"), counts(hashed.join(good, "id", "left_semi"), "target")
-    spark = corpus.sparkSession
-    table = (spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-             .join(raw, "bucket", "left").join(target, "bucket", "left")
+    counts = (hashed.select("good", F.explode_outer(_grams(F.col("hashes"), buckets)).alias("bucket"))
+              .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good").alias("target")))
+    table = (corpus.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+             .join(counts, "bucket", "left")
              .select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"),
                      F.coalesce("target", F.lit(0)).alias("target")))
     dense = table.agg(F.array_sort(F.collect_list(F.struct("bucket", "raw", "target"))).alias("cells"),
