@@ -36,13 +36,15 @@ other columns are ignored.  ``decode`` returns the text exactly.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
-from itertools import chain
 from itertools import count as count_from
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +57,9 @@ SLICE_CHARS = 4_000_000
 SPACE, LITERAL = "▁", "\ud800"          # LITERAL: the sign itself, in a text
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 _CODE_BITS = 21
+_BUCKET_BITS = 17
+_MASK = (1 << 64) - 1
+_NOISE = 38.0                            # -log(-log u) of the largest number _mix gives, and some
 
 
 class Vocabulary:
@@ -91,15 +96,38 @@ class Vocabulary:
                 piece_at.setdefault(at, -1)
             piece_at[at] = i
         keys = np.array([(a << _CODE_BITS) | ord(c) for a, c in nodes], dtype=np.int64)
-        order = np.argsort(keys)
+        bucket = self._bucket(keys)
+        order = np.argsort(bucket, kind="stable")
         self.keys = keys[order]
-        self.child = np.array(list(nodes.values()), dtype=np.int64)[order]
-        self.root = np.full(1 << 16, -1, dtype=np.int64)         # children of the root by code, where short
+        self.child = np.array(list(nodes.values()), dtype=np.int32)[order]
+        self.bucket = np.searchsorted(bucket[order], np.arange((1 << _BUCKET_BITS) + 1)).astype(np.int32)
+        self.root = np.full(1 << 16, -1, dtype=np.int32)         # children of the root by code, where short
         for (at, ch), node in nodes.items():
             if at == 0 and ord(ch) < 1 << 16:
                 self.root[ord(ch)] = node
         self.piece_at = np.array([piece_at[i] for i in range(len(nodes) + 1)], dtype=np.int64)
 
+    @staticmethod
+    def _bucket(keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - _BUCKET_BITS)).astype(np.int32)
+
+    def children(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The trie node after ``code`` at each node; -1 where there is none."""
+        key = (state.astype(np.int64) << _CODE_BITS) | code
+        bucket = self._bucket(key)
+        at, end = self.bucket[bucket], self.bucket[bucket + 1]
+        out = np.full(len(key), -1, dtype=np.int32)
+        open_ = np.flatnonzero(at < end)
+        at, end = at[open_], end[open_]
+        while len(open_):
+            hit = self.keys[at] == key[open_]
+            out[open_[hit]] = self.child[at[hit]]
+            at += 1
+            go = np.flatnonzero(~hit & (at < end))
+            open_, at, end = open_[go], at[go], end[go]
+        return out
+
     def decode(self, ids: list[int]) -> str:
         """The text of a sequence of ids (of one whole text)."""
         if not ids:
@@ -133,11 +161,55 @@ def vocabulary(path: str = MODEL, alpha: float = ALPHA) -> Vocabulary:
     return _LOADED[path, alpha]
 
 
-def units_of(text: str) -> list[str]:
-    """Units of a text: the dummy space in front, spaces as pieces write them."""
-    if not text:
-        return []
-    return _UNIT.findall(SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE))
+def _code_hashes(codes: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        return x ^ (x >> np.uint64(32))
+
+
+_LOW_HASH = _code_hashes(np.arange(1 << 16))
+
+
+class Units:
+    """The units of a list of texts: occurrences in order, and the distinct ones.
+
+    A text is written as pieces write it, a space in front.  ``of`` names
+    the distinct unit of every occurrence, ``count`` the occurrences per
+    text; ``codes`` and ``lengths`` hold the distinct units one after the
+    other.  Units are told apart by a 64-bit hash of their characters.
+    """
+
+    def __init__(self, texts: list[str]):
+        sizes = np.array([len(t) + 1 if t else 0 for t in texts], dtype=np.int64)
+        codes = np.frombuffer("".join([" " + t for t in texts if t]).encode("utf-32-le"),
+                              dtype="<u4").astype(np.int32)
+        codes[codes == ord(SPACE)] = ord(LITERAL)
+        codes[codes == ord(" ")] = ord(SPACE)
+        begin = np.concatenate([[0], np.cumsum(sizes)])
+        space, line = codes == ord(SPACE), codes == ord("\n")
+        starts = np.ones(len(codes), dtype=bool)
+        starts[1:] = (space[1:] & ~space[:-1]) | line[1:] | line[:-1]
+        starts[begin[:-1][sizes > 0]] = True
+        first = np.flatnonzero(starts)
+        self.count = np.diff(np.searchsorted(first, begin))
+        if not len(first):
+            self.of = np.zeros(0, dtype=np.int64)
+            self.codes, self.lengths = codes, np.zeros(0, dtype=np.int64)
+            return
+        lengths = np.diff(first, append=len(codes))
+        place = np.arange(len(codes)) - np.repeat(first, lengths)
+        with np.errstate(over="ignore"):
+            powers = np.cumprod(np.full(int(lengths.max()), 0xA0761D6478BD642F, dtype=np.uint64))
+            signs = _LOW_HASH[codes] if codes.max() < 1 << 16 else _code_hashes(codes)
+            hashes = np.add.reduceat(signs * powers[place], first)
+        self.of, found = pd.factorize(hashes)
+        shown = np.empty(len(found), dtype=np.int64)
+        shown[self.of[::-1]] = np.arange(len(first))[::-1]
+        self.lengths = lengths[shown]
+        ends = np.cumsum(self.lengths)
+        self.codes = codes[np.repeat(first[shown] - (ends - self.lengths), self.lengths) + np.arange(ends[-1])]
 
 
 class Lattice:
@@ -149,33 +221,28 @@ class Lattice:
     byte pieces), ``to``, ``weight`` and ``upto`` (cumulated probability).
     """
 
-    def __init__(self, vocab: Vocabulary, units: list[str]):
-        lengths = np.array([len(u) for u in units], dtype=np.int64)
-        total = int(lengths.sum())
-        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    def __init__(self, vocab: Vocabulary, codes: np.ndarray, lengths: np.ndarray):
+        total = len(codes)
         ends = np.cumsum(lengths)
         left = (np.repeat(ends, lengths) - np.arange(total)).astype(
             np.int16 if total and lengths.max() < 1 << 15 else np.int64)
         order = np.argsort(left, kind="stable")
-        node_of = np.zeros(total + 1, dtype=np.int64)
-        node_of[order] = np.arange(1, total + 1)
+        node_of = np.zeros(total + 1, dtype=np.int32)
+        node_of[order] = np.arange(1, total + 1, dtype=np.int32)
         self.start = node_of[ends - lengths]
-        self.code = np.zeros(total + 1, dtype=np.int64)
+        self.code = np.zeros(total + 1, dtype=np.int32)
         self.code[node_of[:-1]] = codes
 
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []       # node, node after, piece
-        count = np.zeros(total + 2, dtype=np.int64)
-        at, state, room = np.arange(total), np.zeros(total, dtype=np.int64), left.astype(np.int64)
+        count = np.zeros(total + 2, dtype=np.int32)
+        at, state, room = np.arange(total, dtype=np.int32), np.zeros(total, dtype=np.int32), left
         for length in range(1, vocab.longest + 1):
             if length == 1 and total and codes.max() < 1 << 16:
                 state = vocab.root[codes]
-                hit = state >= 0
-                at, state, room = at[hit], state[hit], room[hit]
             else:
-                key = (state << _CODE_BITS) | codes[at + length - 1]
-                place = np.minimum(np.searchsorted(vocab.keys, key), len(vocab.keys) - 1)
-                hit = vocab.keys[place] == key
-                at, state, room = at[hit], vocab.child[place[hit]], room[hit]
+                state = vocab.children(state, codes[at + (length - 1)])
+            hit = np.flatnonzero(state >= 0)
+            at, state, room = at[hit], state[hit], room[hit]
             piece = vocab.piece_at[state]
             real = piece >= 0
             node = node_of[at[real]]
@@ -186,14 +253,14 @@ class Lattice:
                 pos = order[lone - 1]
                 found.append((lone, np.where(left[pos] > 1, node_of[pos + 1], 0), np.full(len(lone), -1)))
                 count[lone] = 1
-            more = room > length
+            more = np.flatnonzero(room > length)
             at, state, room = at[more], state[more], room[more]
             if not len(at):
                 break
-        self.first = np.concatenate([[0], np.cumsum(count)])[:total + 2]
+        self.first = np.concatenate([[0], np.cumsum(count)])[:total + 2].astype(np.int32)
         arcs = int(self.first[-1])
         self.piece = np.empty(arcs, dtype=np.int32)
-        self.to = np.empty(arcs, dtype=np.int64)
+        self.to = np.empty(arcs, dtype=np.int32)
         self.weight = np.empty(arcs)
         used = self.first.copy()
         for node, after, piece in found:
@@ -220,11 +287,6 @@ class Lattice:
             self.upto[rows] = (run - np.repeat(before, size)) / np.repeat(whole, size)
         self.upto[self.first[2:] - 1] = 2.0                  # the last arc takes all that is left
 
-    def shares(self, node: int) -> np.ndarray:
-        """Probability of each arc of a node."""
-        rows = slice(int(self.first[node]), int(self.first[node + 1]))
-        return np.exp(self.weight[rows] + self.ahead[self.to[rows]] - self.ahead[node])
-
 
 def _utf8_length(code: np.ndarray) -> np.ndarray:
     code = np.where(code == ord(LITERAL), ord(SPACE), code)
@@ -234,43 +296,64 @@ def _utf8_length(code: np.ndarray) -> np.ndarray:
 def _mix(x: np.ndarray) -> np.ndarray:
     """A uniform number in (0, 1) from each 64-bit key (splitmix finaliser)."""
     x = x + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    x = x ^ (x >> np.uint64(31))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    x >>= np.uint64(11)
+    out = x.astype(np.float64)
+    out += 0.5
+    out /= 1 << 53
+    return out
 
 
-def _uniform(seed: np.ndarray, draw: int, word: np.ndarray, step: int) -> np.ndarray:
+def _place(seed: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The key of a unit of a text, to which draw and step are added."""
+    return seed + word.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
+
+
+def _uniform(place: np.ndarray, draw: int, step: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return _mix(seed + np.uint64(draw) * np.uint64(0xD6E8FEB86659FD93)
-                    + word.astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
-                    + np.uint64(step) * np.uint64(0xE7037ED1A0B428DB))
+        return _mix(place + (np.uint64(draw) * np.uint64(0xD6E8FEB86659FD93)
+                             + np.uint64(step) * np.uint64(0xE7037ED1A0B428DB)))
+
+
+def _number(place: int, draw: int, step: int) -> float:
+    """``_uniform`` for a single key."""
+    x = (place + draw * 0xD6E8FEB86659FD93 + step * 0xE7037ED1A0B428DB + 0x9E3779B97F4A7C15) & _MASK
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _MASK
+    return (((x ^ (x >> 31)) >> 11) + 0.5) / (1 << 53)
 
 
 class _Draw:
     """One plain sample of every occurrence: its arcs in order and its log probability."""
 
-    def __init__(self, lattice: Lattice, unit: np.ndarray, seed: np.ndarray, word: np.ndarray, draw: int):
+    def __init__(self, lattice: Lattice, unit: np.ndarray, place: np.ndarray, draw: int):
         n = len(unit)
-        active, node = np.arange(n), lattice.start[unit]
-        pieces = np.zeros(n, dtype=np.int64)
+        active, node = np.arange(n, dtype=np.int32), lattice.start[unit]
+        pieces = np.zeros(n, dtype=np.int32)
         self.logp = -lattice.ahead[node]
         steps = []
         while len(active):
-            u = _uniform(seed[active], draw, word[active], len(steps) + 16)
+            u = _uniform(place, draw, len(steps) + 16)
             arc = lattice.first[node]
-            behind = np.arange(len(active))
+            behind = np.flatnonzero(lattice.upto[arc] < u)
             while len(behind):
-                behind = behind[lattice.upto[arc[behind]] < u[behind]]
                 arc[behind] += 1
-            self.logp[active] += lattice.weight[arc]
-            pieces[active] += 1
+                behind = behind[lattice.upto[arc[behind]] < u[behind]]
+            if len(active) == n:
+                self.logp += lattice.weight[arc]
+                pieces += 1
+            else:
+                self.logp[active] += lattice.weight[arc]
+                pieces[active] += 1
             steps.append((active, arc))
             node = lattice.to[arc]
-            go = node > 0
-            active, node = active[go], node[go]
-        self.first = np.concatenate([[0], np.cumsum(pieces)])
-        self.arc = np.empty(self.first[-1], dtype=np.int64)
+            go = np.flatnonzero(node)
+            active, node, place = active[go], node[go], place[go]
+        self.first = np.concatenate([[0], np.cumsum(pieces, dtype=np.int64)])
+        self.arc = np.empty(self.first[-1], dtype=np.int32)
         for s, (who, arc) in enumerate(steps):
             self.arc[self.first[who] + s] = arc
         np.minimum(self.logp, 0.0, out=self.logp)
@@ -299,29 +382,36 @@ def _another(lattice: Lattice, unit: int, barred: list[tuple[int, ...]], rand: I
     node = int(lattice.start[unit])
     out: list[int] = []
     logp = 0.0
-    below = [(arcs, float(np.exp(_path_logp(lattice, node, arcs)))) for arcs in barred]
+    below = [(arcs, math.exp(_path_logp(lattice, node, arcs))) for arcs in barred]
     while node:
-        begin = int(lattice.first[node])
-        shares = lattice.shares(node)
+        begin, end = int(lattice.first[node]), int(lattice.first[node + 1])
+        whole = float(lattice.ahead[node])
+        after = lattice.to[begin:end].tolist()
+        shares = [math.exp(w + a - whole) for w, a in zip(
+            lattice.weight[begin:end].tolist(), lattice.ahead[after].tolist())]
         mass = shares.copy()
         for arcs, p in below:
             mass[arcs[0] - begin] -= p
-        mass[mass < 1e-13] = 0.0
-        run = np.cumsum(mass)
-        if run[-1] <= 0:
+        mass = [m if m >= 1e-13 else 0.0 for m in mass]
+        left = next(rand) * sum(mass)
+        pick = -1
+        for i, m in enumerate(mass):
+            if m > 0:
+                pick = i
+                left -= m
+                if left < 0:
+                    break
+        if pick < 0:
             return None
-        i = min(int(np.searchsorted(run, next(rand) * run[-1], side="right")), len(mass) - 1)
-        while mass[i] <= 0:
-            i -= 1
-        below = [(arcs[1:], p / shares[i]) for arcs, p in below if arcs[0] == begin + i]
-        logp += float(np.log(shares[i]))
-        out.append(begin + i)
-        node = int(lattice.to[begin + i])
+        below = [(arcs[1:], p / shares[pick]) for arcs, p in below if arcs[0] == begin + pick]
+        logp += math.log(shares[pick])
+        out.append(begin + pick)
+        node = after[pick]
     return tuple(out), min(0.0, logp)
 
 
 def _path_logp(lattice: Lattice, node: int, arcs: tuple[int, ...]) -> float:
-    return min(0.0, float(lattice.weight[list(arcs)].sum() - lattice.ahead[node]))
+    return min(0.0, sum(lattice.weight[list(arcs)].tolist()) - float(lattice.ahead[node]))
 
 
 class _Path:
@@ -341,46 +431,53 @@ class _Path:
         return float(self.groups.max()) if len(self.groups) else -np.inf
 
 
-def _groups(logp: np.ndarray, value: float, seed: np.ndarray, draw: int, word: np.ndarray,
+def _groups(logp: np.ndarray, value: float, place: np.ndarray, draw: int, k: int,
             begin: int = 0) -> np.ndarray:
-    """Maximum of the branches not taken at each unit from ``begin`` on."""
-    out = np.full(len(logp), -np.inf)
-    if begin < len(logp):
-        run = np.cumsum(logp)
-        before = run[begin:] - logp[begin:]
-        out[begin:] = _truncated(before + _log_rest(logp[begin:]), value,
-                                 _uniform(seed[begin:], draw, word[begin:], 1))
+    """Maximum of the branches not taken at each unit from ``begin`` on.
+
+    The masses fall along the text and no noise passes ``_NOISE``, so once
+    a unit's mass plus that is below the ``k``-th largest maximum so far,
+    no later group can be among the ``k`` largest, and the array ends.
+    """
+    stop = begin
+    width = 256
+    out = np.full(begin, -np.inf)
+    at = float(logp[:begin].sum())
+    while stop < len(logp):
+        part = logp[stop:stop + width]
+        run = at + np.cumsum(part)
+        out = np.concatenate([out, _truncated(
+            run - part + _log_rest(part), value, _uniform(place[stop:stop + width], draw, 1))])
+        at, stop, width = float(run[-1]), stop + width, 2 * width
+        if len(out) >= k and at + _NOISE < np.partition(out, -k)[-k]:
+            break
     return out
 
 
 def sample_texts(vocab: Vocabulary, keys: list[bytes], texts: list[str], k: int, seed: int):
     """For each text its samples: lists of (ids, log probability, perturbed, log inclusion)."""
-    split = [units_of(t) for t in texts]
-    every = list(chain.from_iterable(split))
-    index = dict(zip(dict.fromkeys(every), count_from(0)))
-    lattice = Lattice(vocab, list(index))
-    counts = np.array([len(s) for s in split], dtype=np.int64)
+    units = Units(texts)
+    lattice = Lattice(vocab, units.codes, units.lengths)
+    counts, unit = units.count, units.of
     begin = np.concatenate([[0], np.cumsum(counts)])
-    unit = np.fromiter(map(index.__getitem__, every), dtype=np.int64, count=len(every))
     doc_seed = np.array([xxhash.xxh64_intdigest(key, seed) for key in keys], dtype=np.uint64)
-    occ_seed = np.repeat(doc_seed, counts)
-    word = np.arange(len(unit)) - np.repeat(begin[:-1], counts)
-    top = -np.log(-np.log(_uniform(doc_seed, 0, np.zeros(len(texts)), 0)))
+    place = _place(np.repeat(doc_seed, counts), np.arange(len(unit)) - np.repeat(begin[:-1], counts))
+    top = -np.log(-np.log(_uniform(doc_seed, 0, 0)))
 
     paths: list[list[_Path]] = [[] for _ in texts]
     for draw in range(k):
-        fresh = _Draw(lattice, unit, occ_seed, word, draw)
+        fresh = _Draw(lattice, unit, place, draw)
         for d in range(len(texts)):
             a, b = int(begin[d]), int(begin[d + 1])
             f0 = int(fresh.first[a])
             first, arcs = fresh.first[a:b + 1] - f0, fresh.arc[f0:int(fresh.first[b])]
-            noise = (occ_seed[a:b], draw, word[a:b])
+            noise = (place[a:b], draw)
             logp = fresh.logp[a:b]
             if draw == 0:
                 value = float(top[d])
-                paths[d].append(_Path(arcs, first, logp, value, _groups(logp, value, *noise)))
+                paths[d].append(_Path(arcs, first, logp, value, _groups(logp, value, *noise, k)))
             elif len(paths[d]) == draw:
-                new = _next_path(lattice, unit[a:b], paths[d], arcs, first, logp, noise, doc_seed[d:d + 1])
+                new = _next_path(lattice, unit[a:b], paths[d], arcs, first, logp, noise, k)
                 if new is not None:
                     paths[d].append(new)
     out = []
@@ -391,9 +488,9 @@ def sample_texts(vocab: Vocabulary, keys: list[bytes], texts: list[str], k: int,
     return out
 
 
-def _next_path(lattice, unit, own: list[_Path], arcs, first, logp, noise, doc_seed) -> _Path | None:
+def _next_path(lattice, unit, own: list[_Path], arcs, first, logp, noise, k) -> _Path | None:
     """The best segmentation in the groups that a text's paths leave; None if there is none."""
-    draw = noise[1]
+    place, draw = noise
     while True:
         best = max(own, key=_Path.best)
         value = best.best()
@@ -401,7 +498,8 @@ def _next_path(lattice, unit, own: list[_Path], arcs, first, logp, noise, doc_se
             return None
         j = int(best.groups.argmax())
         barred = best.barred.setdefault(j, [best.unit_arcs(j)])
-        numbers = (float(_uniform(doc_seed, draw, np.array([j]), (1 << 24) + i)[0]) for i in count_from(0))
+        key = int(place[j])
+        numbers = (_number(key, draw, (1 << 24) + i) for i in count_from(0))
         found = _another(lattice, int(unit[j]), barred, numbers)
         if found is not None:
             break
@@ -409,14 +507,14 @@ def _next_path(lattice, unit, own: list[_Path], arcs, first, logp, noise, doc_se
     chosen, chosen_logp = found
     head, tail = int(best.first[j]), int(first[j + 1])
     new_logp = np.concatenate([best.logp[:j], [chosen_logp], logp[j + 1:]])
-    new = _Path(np.concatenate([best.arcs[:head], np.array(chosen, dtype=np.int64), arcs[tail:]]),
+    new = _Path(np.concatenate([best.arcs[:head], np.array(chosen, dtype=np.int32), arcs[tail:]]),
                 np.concatenate([best.first[:j + 1], first[j + 1:] - tail + head + len(chosen)]),
-                new_logp, value, _groups(new_logp, value, *noise, begin=j + 1))
+                new_logp, value, _groups(new_logp, value, *noise, k, begin=j + 1))
     # what is left of the group at this unit stays with the path it branched from
     barred.append(chosen)
     start = int(lattice.start[unit[j]])
-    rest = 1.0 - sum(np.exp(_path_logp(lattice, start, b)) for b in barred)
-    u = _uniform(doc_seed, draw, np.array([j]), 2)
+    rest = 1.0 - sum(math.exp(_path_logp(lattice, start, b)) for b in barred)
+    u = _uniform(place[j:j + 1], draw, 2)
     best.groups[j] = -np.inf if rest <= 1e-12 else float(
         _truncated(np.array([best.logp[:j].sum() + np.log(rest)]), value, u)[0])
     return new
@@ -468,16 +566,18 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model, alpha)
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            keys = [b"" if x is None else b"=" + x.encode() for x in batch.column(1).to_pylist()]
-            for a, b in _slices([len(t) for t in texts]):
-                drawn = sample_texts(vocab, keys[a:b], texts[a:b], k, seed)
-                rows = [(a + i, r, *s) for i, found in enumerate(drawn) for r, s in enumerate(found)]
+            sizes = pc.fill_null(pc.utf8_length(batch.column(2)), 0).to_pylist()
+            for a, b in _slices(sizes):
+                texts = [t or "" for t in batch.column(2).slice(a, b - a).to_pylist()]
+                keys = [b"" if x is None else b"=" + x.encode()
+                        for x in batch.column(1).slice(a, b - a).to_pylist()]
+                drawn = sample_texts(vocab, keys, texts, k, seed)
+                rows = [(i, r, *s) for i, found in enumerate(drawn) for r, s in enumerate(found)]
                 flat = [row[2] for row in rows]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)
                 values = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(pa.array([r[0] for r in rows], type=pa.int32())),
+                    batch.column(0).slice(a, b - a).take(pa.array([r[0] for r in rows], type=pa.int32())),
                     pa.array([r[1] for r in rows], type=pa.int32()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32))),
                     pa.array([r[3] for r in rows]), pa.array([r[4] for r in rows]),
