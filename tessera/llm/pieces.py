@@ -53,7 +53,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 1.0
 SEED = 42
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 SPACE, LITERAL = "▁", "\ud800"          # LITERAL: the sign itself, in a text
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 _CODE_BITS = 21
@@ -199,11 +199,12 @@ class Units:
             self.codes, self.lengths = codes, np.zeros(0, dtype=np.int64)
             return
         lengths = np.diff(first, append=len(codes))
-        place = np.arange(len(codes)) - np.repeat(first, lengths)
+        place = np.arange(len(codes), dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
         with np.errstate(over="ignore"):
             powers = np.cumprod(np.full(int(lengths.max()), 0xA0761D6478BD642F, dtype=np.uint64))
             signs = _LOW_HASH[codes] if codes.max() < 1 << 16 else _code_hashes(codes)
-            hashes = np.add.reduceat(signs * powers[place], first)
+            signs *= powers[place]
+            hashes = np.add.reduceat(signs, first)
         self.of, found = pd.factorize(hashes)
         shown = np.empty(len(found), dtype=np.int64)
         shown[self.of[::-1]] = np.arange(len(first))[::-1]
