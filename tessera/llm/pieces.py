@@ -29,7 +29,8 @@ units of a slice of at most ``SLICE_CHARS`` characters (or one text).
 
 Defined results: a NULL or empty text has one segmentation, the empty
 one; a text with fewer than ``k`` segmentations gives all it has, each
-with inclusion 1; rows with the same key and text give the same sample;
+with inclusion 1 (a tail of a unit's segmentations with less than 1e-12
+of its mass is out of reach of double precision and is never drawn); rows with the same key and text give the same sample;
 a NULL key is a key of its own; an empty table gives an empty result;
 other columns are ignored.  ``decode`` returns the text exactly.
 """
