@@ -14,23 +14,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
-# The key names and patterns of the nested-list text format
-# and of the compat parse.  Results must match the source format, so they
-# are stated here, together, as plain text.
+# The key names and patterns of the nested-list text format.
+# Results must match the source format, so they are stated here, together,
+# as plain text.
 NAME_KEY = "name"                 # key whose value is the item name
 LANGUAGE_KEY = "iso_639_1"        # key of the language code
-DIRECTOR_JOB = "'Director'"       # quoted job value that marks a director
-CAST_ID_KEY = "'cast_id': "       # blanked before reading cast names
-DIGITS = "[0-9]"                  # blanked before reading cast names
+JOB_KEY, DIRECTOR = "job", "Director"   # crew entries that are directors
+AFTER_CAST_NAME = "order"         # key that follows the name in a cast entry
+AFTER_CREW_NAME = "profile_path"  # key that follows the name in a crew entry
 NON_WORD = r"\W+"                 # separators between words
 BRACKET_GROUP = r"\[(.*?)\]"      # one non-greedy [...] group
 LIST_LITERAL_CHARS = "[]'"        # characters stripped from a list literal
 LIST_SEPARATOR = ", "             # item separator of a list literal
 # ---------------------------------------------------------------------------
 
-# Our own placeholder word for the director position; any \w+ token
-# that cannot occur in the text works.
-_DIRECTOR_MARK = "qqdirectorqq"
+# Three CSV fields of one line, quoted ones with doubled quotes inside.
+_CSV_LINE = r'^("(?:[^"]++|"")*+"|[^"]*?),("(?:[^"]++|"")*+"|[^"]*?),([^,"]*)$'
+# The same without doubling: two lists and a number, told apart by their brackets.
+_LOOSE_LINE = r'^"?(\[.*?\])"?,"?(\[.*\])"?,([^,"]*)$'
+# Tokens of a Python literal: a quoted text, or whatever stands between.
+_LITERAL_TOKEN = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++"""
+_ENTRIES = "array<map<string,string>>"
 
 
 def _col(c: str | Column) -> Column:
@@ -116,52 +120,75 @@ def with_names_compat(df: DataFrame, col: str, out: str, key: str = NAME_KEY,
     return with_words_after(df, col, key, n, out, squeeze_spaces=squeeze_spaces)
 
 
-def names_clean(c: str | Column, key: str = NAME_KEY) -> Column:
-    """Exact parse of a Python-style list of dicts: the ``key`` values.
+def literal_to_json(c: str | Column) -> Column:
+    """A Python list or dict literal as JSON text, token by token.
 
-    ``None`` becomes JSON ``null`` and single quotes are allowed, so
-    names with spaces, hyphens or apostrophes stay intact.
+    Quotes are turned and escapes rewritten inside quoted texts only, and
+    ``None``, ``True`` and ``False`` are replaced outside them only, so
+    names may hold brackets, apostrophes or the word None.
     """
-    as_json = F.regexp_replace(_col(c), r"\bNone\b", "null")
-    parsed = F.from_json(as_json, "array<map<string,string>>",
-                         {"allowSingleQuotes": "true"})
-    return F.transform(parsed, lambda m: m[key])
+    def turned(t: Column) -> Column:
+        body = F.substring(t, F.lit(2), F.length(t) - 2)
+        body = F.replace(body, F.lit("\\'"), F.lit("'"))
+        body = F.regexp_replace(body, r"\\x([0-9a-f]{2})", r"\\u00$1")
+        single = F.regexp_replace(body, r'(?<!\\)"', r'\\"')
+        quoted = F.concat(F.lit('"'), F.when(F.startswith(t, F.lit("'")), single).otherwise(body),
+                          F.lit('"'))
+        bare = t
+        for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
+            bare = F.regexp_replace(bare, rf"\b{word}\b", value)
+        return F.when(F.rlike(t, F.lit("^['\"]")), quoted).otherwise(bare)
 
+    tokens = F.regexp_extract_all(_col(c), F.lit(_LITERAL_TOKEN), F.lit(0))
+    return F.array_join(F.transform(tokens, turned), "")
 
-def credits_columns(raw: str | Column) -> list[Column]:
-    """Split one raw ``cast,crew,id`` line into ``id``, cast text, crew text.
 
-    Returns ``[id, cast_text, crew_text]`` columns: the id is the last
-    comma token, the cast list is the first bracket group and the crew
-    list the second one.
-    """
-    raw_c = _col(raw)
-    ident = last_token(raw_c, ",").try_cast("int").alias("id")
-    cast_text = first_bracket(raw_c).alias("cast_text")
-    crew_text = F.concat(F.lit("["), nth_bracket_content(raw_c, 2), F.lit("]")).alias("crew_text")
-    return [ident, cast_text, crew_text]
+def entries(c: str | Column) -> Column:
+    """A Python-style list of dicts as an array of maps; NULL if malformed."""
+    return F.from_json(literal_to_json(c), _ENTRIES)
+
+
+def names_clean(c: str | Column, key: str = NAME_KEY) -> Column:
+    """Exact parse of a Python-style list of dicts: the ``key`` values."""
+    return F.transform(entries(c), lambda m: m[key])
+
 
+def _csv_field(line: Column, n: int) -> Column:
+    """The ``n``-th of three CSV fields, unquoted; a line whose quotes are not doubled
+    as CSV wants it is split at its lists."""
+    field = F.regexp_extract(line, _CSV_LINE, n)
+    bare = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+    strict = F.when(F.startswith(field, F.lit('"')), bare).otherwise(field)
+    return F.when(F.rlike(line, F.lit(_CSV_LINE)), strict).otherwise(
+        F.regexp_extract(line, _LOOSE_LINE, n))
 
-def with_credits_parsed(df: DataFrame, raw: str, mode: str = "compat",
+
+def _two_words(name: Column, following: str, drop_digits: bool) -> Column:
+    """The documented truncation: the first two words of a name; one word alone is
+    followed by the key that comes after the name."""
+    plain = F.regexp_replace(name, "[0-9]", " ") if drop_digits else name
+    words = F.filter(F.split(F.regexp_replace(plain, NON_WORD, " "), " "), lambda w: w != "")
+    return F.array_join(F.slice(F.concat(words, F.array(F.lit(following))), 1, 2), " ")
+
+
+def with_credits_parsed(df: DataFrame, raw: str, mode: str = "clean",
                         keep_raw: bool = False) -> DataFrame:
-    """Parse a raw credits line into ``id``, ``actors``, ``director``."""
-    base = df.select(*([F.col(raw)] if keep_raw else []), *credits_columns(raw))
+    """Parse a raw ``cast,crew,id`` line into ``id``, ``actors``, ``director``.
+
+    The line is split as CSV, both lists are parsed exactly, and the
+    directors are the crew entries with that job.  ``mode="compat"`` then
+    cuts every name to two words (cast names without digits).  A line or
+    list that is malformed gives NULL.
+    """
+    line = F.col(raw)
+    people = df.select(
+        *([line] if keep_raw else []),
+        F.trim(_csv_field(line, 3)).try_cast("int").alias("id"),
+        names_clean(_csv_field(line, 1)).alias("actors"),
+        F.transform(F.filter(entries(_csv_field(line, 2)), lambda m: m[JOB_KEY] == DIRECTOR),
+                    lambda m: m[NAME_KEY]).alias("director"))
     if mode == "clean":
-        crew = F.from_json(F.regexp_replace("crew_text", r"\bNone\b", "null"),
-                           "array<map<string,string>>", {"allowSingleQuotes": "true"})
-        out = base.select(
-            *([F.col(raw)] if keep_raw else []), "id",
-            names_clean("cast_text").alias("actors"),
-            F.transform(F.filter(crew, lambda m: m["job"] == F.lit("Director")),
-                        lambda m: m[NAME_KEY]).alias("director"))
-        return out
-    # compat: actors = two words after each 'name'; digits and the cast
-    # id key are blanked first.
-    out = with_words_after(base, "cast_text", NAME_KEY, 2, "actors",
-                           pre_replace=[(CAST_ID_KEY, " "), (DIGITS, " ")])
-    # director: tag the job value, drop ' name', two words after the tag.
-    crew = F.regexp_replace("crew_text", DIRECTOR_JOB, _DIRECTOR_MARK)
-    crew = F.regexp_replace(F.regexp_replace(crew, NON_WORD, " "), " " + NAME_KEY, "")
-    out = out.withColumn("__crew", crew)
-    out = with_words_after(out, "__crew", _DIRECTOR_MARK, 2, "director")
-    return out.select(*([F.col(raw)] if keep_raw else []), "id", "actors", "director")
+        return people
+    return people.withColumns({
+        "actors": F.transform("actors", lambda n: _two_words(n, AFTER_CAST_NAME, True)),
+        "director": F.transform("director", lambda n: _two_words(n, AFTER_CREW_NAME, False))})

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera import schemas
 from tessera.functions import scalars, text
@@ -416,7 +417,7 @@ def tsv_single_column(spark, d):
     raw.write.mode("overwrite").option("header", True).option("quote", "\u0000") \
         .option("delimiter", "\t").csv(path)
     lines = readers.read_single_column_tsv(spark, path)
-    out = parsers.parse_credits(lines, "cast,crew,id")
+    out = parsers.parse_credits(lines, "cast,crew,id", mode="compat")
     return out.select("id", F.array_join("actors", "|").alias("actors"),
                       F.array_join("director", "|").alias("director"))
 
@@ -445,8 +446,8 @@ def _model_rows(spark, d):
 
 
 def _batch_pipeline(train):
-    return fe.bounded_feature_pipeline(train, ["User", "Device", "Hour", "Minutes"],
-                                       ["x", "y", "z"], label_col="gt")
+    columns = ["User", "Device", "Hour", "Minutes"]
+    return fe.feature_pipeline(columns, columns, ["x", "y", "z"], label_col="gt")
 
 
 @query
@@ -523,6 +524,19 @@ def decode_json_bytes(spark, d):
     return decode.decode_json_value(messages, schemas.SENSOR)
 
 
+@query
+def decode_json_corrupt(spark, d):
+    """By event id: cut messages, messages that are not ASCII, and empty objects."""
+    key = F.col("event_id")
+    device = F.when(key % 10 == 1, "dé").otherwise(F.concat(F.lit("dev_"), F.col("user_id").cast("string")))
+    whole = F.concat(F.lit('{"Index": '), key.cast("string"), F.lit(', "Device": "'), device, F.lit('"}'))
+    message = F.when(key % 10 == 0, F.substring(whole, 1, 12)).when(key % 10 == 2, "{}").otherwise(whole)
+    messages = table(spark, d, "events").select(message.cast("binary").alias("value"))
+    out = decode.decode_json_value(messages, T.StructType([
+        T.StructField("Index", T.LongType()), T.StructField("Device", T.StringType())]), keep_raw=True)
+    return out.select("Index", "Device", "raw_text", "is_corrupt")
+
+
 def _sensor_stream(spark, d, name):
     staged_path = scratch_path(spark, f"{name}_source")
     rows = dom.sensor(spark, d).withColumn("block", F.floor(F.col("Index") / BLOCK_EVENTS))

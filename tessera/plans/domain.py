@@ -113,16 +113,26 @@ def movies(spark: SparkSession, d: str) -> DataFrame:
 
 
 def credits_raw(spark: SparkSession, d: str) -> DataFrame:
-    """Raw ``cast,crew,id`` lines built from ``part`` (one text column)."""
+    """Raw ``cast,crew,id`` lines built from ``part`` (one text column).
+
+    By part key some lines hold brackets in a character, a quoted name
+    with an apostrophe (written with doubled quotes) or the word None in
+    a name, so the parse has to be exact.
+    """
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     k = F.col("p_partkey").cast("string")
+    key = F.col("p_partkey")
+    character = F.when(key % 3 == 0, "'Cop [voice]'").when(key % 5 == 0, "\"\"Judge D'Arcy\"\"") \
+        .otherwise("'Lead'")
+    second = F.when(key % 11 == 0, F.concat(F.lit("\"\"O'Neil "), F.col("p_type"), F.lit("\"\""))) \
+        .when(key % 7 == 0, F.concat(F.lit("'"), F.col("p_type"), F.lit(" None'"))) \
+        .otherwise(F.concat(F.lit("'"), F.col("p_type"), F.lit("'")))
     line = F.concat(
-        F.lit("\"[{'cast_id': 1, 'character': 'Lead', 'credit_id': 'c"), k,
+        F.lit("\"[{'cast_id': 1, 'character': "), character, F.lit(", 'credit_id': 'c"), k,
         F.lit("', 'gender': 1, 'id': "), k, F.lit(", 'name': '"), F.col("p_name"),
         F.lit("', 'order': 0, 'profile_path': None}, {'cast_id': 2, 'character': 'Extra', "
-              "'credit_id': 'x"), k, F.lit("', 'gender': 2, 'id': 9, 'name': '"),
-        F.col("p_type"),
-        F.lit("', 'order': 1, 'profile_path': None}]\",\"[{'credit_id': 'd"), k,
+              "'credit_id': 'x"), k, F.lit("', 'gender': 2, 'id': 9, 'name': "), second,
+        F.lit(", 'order': 1, 'profile_path': None}]\",\"[{'credit_id': 'd"), k,
         F.lit("', 'department': 'Directing', 'gender': 2, 'id': 7, 'job': 'Director', "
               "'name': '"), F.col("p_brand"),
         F.lit("', 'profile_path': None}]\","), k)
@@ -150,7 +160,7 @@ def sensor(spark: SparkSession, d: str) -> DataFrame:
     """Sensor readings from ``events``: Arrival_Time = epoch ms of ``ts``,
     Creation_Time = epoch us, User = user id text, gt = event type,
     x = value, y = ``k`` of props, z = x - y, Device = ``dev_1``/``dev_2``
-    by user parity, one Model."""
+    by user parity, Model = ``ev1`` to ``ev3`` by user."""
     ev = table(spark, d, "events")
     y = F.get_json_object("props", "$.k").try_cast("double")
     return ev.select(
@@ -158,7 +168,7 @@ def sensor(spark: SparkSession, d: str) -> DataFrame:
         scalars.epoch_micros("ts").alias("Creation_Time"),
         F.concat(F.lit("dev_"), (F.col("user_id") % 2 + 1).cast("string")).alias("Device"),
         F.col("event_id").alias("Index"),
-        F.lit("ev1").alias("Model"),
+        F.concat(F.lit("ev"), (F.col("user_id") % 3 + 1).cast("string")).alias("Model"),
         F.col("user_id").cast("string").alias("User"),
         F.col("event_type").alias("gt"),
         F.col("value").alias("x"),

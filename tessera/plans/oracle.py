@@ -149,31 +149,30 @@ WITH l AS (SELECT p_partkey,
 SELECT p_partkey, CAST(len(items) AS BIGINT) AS n_items, array_to_string(items, '|') AS items
 FROM l"""
 
-CREDITS_RAW = """credits_raw AS (
-  SELECT '"[{''cast_id'': 1, ''character'': ''Lead'', ''credit_id'': ''c' || p_partkey
-      || ''', ''gender'': 1, ''id'': ' || p_partkey || ', ''name'': ''' || p_name
-      || ''', ''order'': 0, ''profile_path'': None}, {''cast_id'': 2, ''character'': ''Extra'', '
-      || '''credit_id'': ''x' || p_partkey || ''', ''gender'': 2, ''id'': 9, ''name'': '''
-      || p_type || ''', ''order'': 1, ''profile_path'': None}]","[{''credit_id'': ''d'
-      || p_partkey || ''', ''department'': ''Directing'', ''gender'': 2, ''id'': 7, '
-      || '''job'': ''Director'', ''name'': ''' || p_brand || ''', ''profile_path'': None}]",'
-      || p_partkey AS raw
+# The names that the raw lines hold, straight from their columns (no text is parsed here).
+CREDIT_NAMES = """credit_names AS (
+  SELECT CAST(p_partkey AS INTEGER) AS id,
+         [p_name, CASE WHEN p_partkey % 11 = 0 THEN 'O''Neil ' || p_type
+                       WHEN p_partkey % 7 = 0 THEN p_type || ' None' ELSE p_type END] AS actors,
+         [p_brand] AS director
   FROM part)"""
 
-SQL["credits_text_parse"] = _with(CREDITS_RAW, """parts AS (
-  SELECT TRY_CAST(string_split(raw, ',')[-1] AS INTEGER) AS id,
-         regexp_extract(raw, '\\[(.*?)\\]', 0) AS cast_text,
-         '[' || regexp_extract_all(raw, '\\[(.*?)\\]', 1)[2] || ']' AS crew_text
-  FROM credits_raw)""", """words AS (
-  SELECT id,
-         string_split(regexp_replace(regexp_replace(regexp_replace(cast_text,
-             '''cast_id'': ', ' ', 'g'), '[0-9]', ' ', 'g'), '\\W+', ' ', 'g'), ' ') AS aw,
-         string_split(regexp_replace(regexp_replace(regexp_replace(crew_text,
-             '''Director''', 'qqdirectorqq', 'g'), '\\W+', ' ', 'g'), ' name', '', 'g'), ' ') AS dw
-  FROM parts)""") + f"""
-SELECT id, array_to_string({_after_marker_sql('aw', 'name', 2)}, '|') AS actors,
-       array_to_string({_after_marker_sql('dw', 'qqdirectorqq', 2)}, '|') AS director
-FROM words"""
+
+def _two_words_sql(names: str, following: str, digits: str) -> str:
+    plain = f"regexp_replace(n, {_lit(digits)}, ' ', 'g')" if digits else "n"
+    plain = f"regexp_replace({plain}, '\\W+', ' ', 'g')"
+    return (f"list_transform({names}, lambda n: array_to_string((list_filter(string_split({plain}, ' '), "
+            f"lambda w: w <> '') || [{_lit(following)}])[1:2], ' '))")
+
+
+CREDITS = f"""credits AS (
+  SELECT id, {_two_words_sql('actors', 'order', '[0-9]')} AS actors,
+         {_two_words_sql('director', 'profile_path', '')} AS director
+  FROM credit_names)"""
+
+SQL["credits_text_parse"] = _with(CREDIT_NAMES, CREDITS) + """
+SELECT id, array_to_string(actors, '|') AS actors, array_to_string(director, '|') AS director
+FROM credits"""
 
 SQL["date_pattern_year"] = """
 SELECT o_orderkey,
@@ -218,7 +217,7 @@ FROM curtain GROUP BY day, month, face, curtain"""
 
 SENSOR = """sensor AS (
   SELECT event_id AS "Index", epoch_us(ts) // 1000 AS arrival, epoch_us(ts) AS creation,
-         'dev_' || CAST(user_id % 2 + 1 AS VARCHAR) AS device, 'ev1' AS model,
+         'dev_' || CAST(user_id % 2 + 1 AS VARCHAR) AS device, 'ev' || CAST(user_id % 3 + 1 AS VARCHAR) AS model,
          CAST(user_id AS VARCHAR) AS usr, event_type AS gt, value AS x,
          CAST(json_extract(props, '$.k') AS DOUBLE) AS y,
          value - CAST(json_extract(props, '$.k') AS DOUBLE) AS z,
@@ -291,22 +290,7 @@ MOVIES = """movies AS (
     WHERE l.l_quantity >= 45
     GROUP BY l.l_partkey) b ON p.p_partkey = b.l_partkey)"""
 
-CREDITS = """credits AS (
-  SELECT id, """ + _after_marker_sql("aw", "name", 2) + """ AS actors,
-         """ + _after_marker_sql("dw", "qqdirectorqq", 2) + """ AS director
-  FROM words)"""
-
-_CREDITS_CTES = [CREDITS_RAW, """parts AS (
-  SELECT TRY_CAST(string_split(raw, ',')[-1] AS INTEGER) AS id,
-         regexp_extract(raw, '\\[(.*?)\\]', 0) AS cast_text,
-         '[' || regexp_extract_all(raw, '\\[(.*?)\\]', 1)[2] || ']' AS crew_text
-  FROM credits_raw)""", """words AS (
-  SELECT id,
-         string_split(regexp_replace(regexp_replace(regexp_replace(cast_text,
-             '''cast_id'': ', ' ', 'g'), '[0-9]', ' ', 'g'), '\\W+', ' ', 'g'), ' ') AS aw,
-         string_split(regexp_replace(regexp_replace(regexp_replace(crew_text,
-             '''Director''', 'qqdirectorqq', 'g'), '\\W+', ' ', 'g'), ' name', '', 'g'), ' ') AS dw
-  FROM parts)""", CREDITS]
+_CREDITS_CTES = [CREDIT_NAMES, CREDITS]
 
 BASE = """base AS (
   SELECT m.id, m.genres, m.cities, m.release_date, m.year, c.actors, c.director
@@ -591,16 +575,9 @@ SELECT s."Index", CAST(coalesce(l.idx, (SELECT COUNT(*) FROM lab)) AS DOUBLE) AS
        CAST((SELECT n FROM width) AS INTEGER) AS n_features
 FROM split s LEFT JOIN lab l ON s.gt = l.gt"""
 
-SQL["credits_text_parse_clean"] = _with(CREDITS_RAW, """parts AS (
-  SELECT TRY_CAST(string_split(raw, ',')[-1] AS INTEGER) AS id,
-         regexp_extract(raw, '\\[(.*?)\\]', 0) AS cast_text,
-         '[' || regexp_extract_all(raw, '\\[(.*?)\\]', 1)[2] || ']' AS crew_text
-  FROM credits_raw)""") + """
-SELECT id,
-       array_to_string(regexp_extract_all(cast_text, '''name'': ''([^'']*)''', 1), '|') AS actors,
-       array_to_string(regexp_extract_all(crew_text,
-           '''job'': ''Director'', ''name'': ''([^'']*)''', 1), '|') AS director
-FROM parts"""
+SQL["credits_text_parse_clean"] = _with(CREDIT_NAMES) + """
+SELECT id, array_to_string(actors, '|') AS actors, array_to_string(director, '|') AS director
+FROM credit_names"""
 
 SQL["pivot_count_filled"] = _with(SENSOR) + 'SELECT usr AS "User", ' + ", ".join(
     f"COUNT(*) FILTER (WHERE gt = {_lit(g)}) AS {_q(g)}" for g in _GT) + """
@@ -618,3 +595,13 @@ SQL["groups_always_above_long"] = _with(CURTAIN, """m AS (
 SELECT DISTINCT month, face FROM m
 EXCEPT
 SELECT DISTINCT month, face FROM m WHERE mean_value < 0.041"""
+
+SQL["decode_json_corrupt"] = """
+WITH m AS (
+  SELECT event_id, CASE WHEN event_id % 10 = 1 THEN 'dé' ELSE 'dev_' || user_id END AS device FROM events),
+w AS (SELECT *, '{"Index": ' || event_id || ', "Device": "' || device || '"}' AS whole FROM m)
+SELECT CASE WHEN event_id % 10 NOT IN (0, 2) THEN CAST(event_id AS BIGINT) END AS "Index",
+       CASE WHEN event_id % 10 NOT IN (0, 2) THEN device END AS "Device",
+       CASE event_id % 10 WHEN 0 THEN substr(whole, 1, 12) WHEN 2 THEN '{}' ELSE whole END AS raw_text,
+       event_id % 10 = 0 AS is_corrupt
+FROM w"""

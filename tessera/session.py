@@ -50,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder, set from the session conf.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and
-    is used as is.  Only when it is unset (tests) do we create one.
+    is used as is; without it a cluster is refused, as executors would
+    write to disks of their own.  Only a local master gets a temporary
+    folder (tests).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -71,17 +75,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def partition_settings(input_bytes: int, total_cores: int,
-                       target_bytes: int = 128 * 1024 * 1024,
-                       max_partitions: int = 100_000) -> dict[str, str]:
+                       target_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
     """Partition sizing from the input size and the cluster's cores.
 
     Scan splits stay at ``target_bytes``; the initial shuffle partition
     count is the larger of 2x cores and input / target (so a partition of
-    the biggest shuffle fits an executor's memory), capped; AQE then
+    the biggest shuffle fits an executor's memory); AQE then
     coalesces small partitions to the advisory size at runtime.
     """
-    want = max(2 * total_cores, -(-input_bytes // target_bytes))
-    n = str(min(want, max_partitions))
+    n = str(max(2 * total_cores, -(-input_bytes // target_bytes)))
     return {"spark.sql.files.maxPartitionBytes": str(target_bytes),
             "spark.sql.shuffle.partitions": n,
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,

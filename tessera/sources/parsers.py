@@ -70,7 +70,7 @@ def parse_movies(raw: DataFrame, mode: str = "compat") -> DataFrame:
 
 
 def parse_credits(raw: DataFrame, column: str = "cast,crew,id",
-                  mode: str = "compat") -> DataFrame:
+                  mode: str = "clean") -> DataFrame:
     """One raw ``cast,crew,id`` text column -> ``id, actors, director``."""
     return text.with_credits_parsed(raw, column, mode=mode)
 

@@ -25,21 +25,6 @@ def read_csv_quoted(spark: SparkSession, path: str, schema: T.StructType,
             .csv(path))
 
 
-def read_raw_lines(spark: SparkSession, path: str, column: str = "line",
-                   skip_header: bool = True) -> DataFrame:
-    """Each text line as one string column (the clean form of S2).
-
-    With ``skip_header`` the first line of every file is dropped by the
-    reader (``header`` option of the tab-delimited form below).
-    """
-    schema = T.StructType([T.StructField(column, T.StringType(), True)])
-    return (spark.read.schema(schema)
-            .option("header", skip_header)
-            .option("delimiter", "\u0001")
-            .option("quote", "\u0000")
-            .csv(path))
-
-
 def read_single_column_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Tab-delimited read of a comma file: the whole line lands in one
     column named after the header line (S2 compat form)."""

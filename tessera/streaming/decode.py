@@ -10,25 +10,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_CORRUPT = "__corrupt_record"
+
 
 def decode_json_value(df: DataFrame, schema: T.StructType, column: str = "value",
-                      charset: str = "US-ASCII", keep_raw: bool = False) -> DataFrame:
+                      keep_raw: bool = False) -> DataFrame:
     """bytes -> text -> JSON -> top-level columns.
 
-    Malformed text gives a row of NULLs (PERMISSIVE); with ``keep_raw``
-    the text is kept in ``raw_text`` and ``is_corrupt`` flags rows where
-    every field is NULL, so bad messages can be routed aside.
+    Bytes that are not valid UTF-8 become the replacement character, so
+    no message can stop a stream.  A message that is not a whole JSON
+    object gives a row of NULLs; with ``keep_raw`` its text stands in
+    ``raw_text`` and ``is_corrupt`` is true, so bad messages can be
+    routed aside.  ``{}`` is a record without values, not a bad one.
     """
-    text = F.decode(F.col(column), charset) if dict(df.dtypes)[column] == "binary" \
-        else F.col(column)
-    parsed = df.select(text.alias("raw_text")) \
-        .withColumn("__rec", F.from_json("raw_text", schema))
-    fields = [F.col(f"__rec.`{f.name}`").alias(f.name) for f in schema.fields]
+    text = F.make_valid_utf8(F.col(column).cast("string"))
+    wide = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)])
+    parsed = df.select(text.alias("raw_text")).withColumn(
+        "__rec", F.from_json("raw_text", wide, {"columnNameOfCorruptRecord": _CORRUPT}))
+    bad = F.col("raw_text").isNull() | F.col("__rec").isNull() | F.col(f"__rec.{_CORRUPT}").isNotNull()
+    fields = [F.when(~bad, F.col(f"__rec.`{f.name}`")).alias(f.name) for f in schema.fields]
     if not keep_raw:
         return parsed.select(*fields)
-    all_null = F.coalesce(*[F.col(f"__rec.`{f.name}`").cast("string")
-                            for f in schema.fields]).isNull()
-    return parsed.select(*fields, "raw_text", all_null.alias("is_corrupt"))
+    return parsed.select(*fields, "raw_text", bad.alias("is_corrupt"))
 
 
 def encode_json_value(df: DataFrame, column: str = "value") -> DataFrame:

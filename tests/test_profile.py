@@ -64,21 +64,40 @@ def test_decode_roundtrip_and_corrupt_route(spark):
     bad = spark.createDataFrame([(bytearray(b"bad"),)], "value binary")
     r = decode.decode_json_value(bad, schemas.SENSOR, keep_raw=True).first()
     assert r["is_corrupt"] and r["raw_text"] == "bad"
+    mixed = spark.createDataFrame([(bytearray(b),) for b in (
+        '{"Index": 1, "Device": "d\u00e9"}'.encode(), b'{"Index": 2, "Device": "d\xe9"}', b"{}",
+        b'{"Index": 3, "Dev', b"")] + [(None,)], "value binary")
+    got = [(m["Index"], m["Device"], m["is_corrupt"]) for m in
+           decode.decode_json_value(mixed, schemas.SENSOR, keep_raw=True).collect()]
+    assert got == [(1, "d\u00e9", False), (2, "d\ufffd", False), (None, None, False),
+                   (None, None, True), (None, None, True), (None, None, True)]
 
 
-def test_bounded_feature_pipeline_hashes_wide_columns(spark):
+def test_feature_pipelines_keep_every_row_and_category(spark):
     from tessera.operators import features as fe
-    rows = spark.range(2000).select(
+    rows = spark.range(12_000).select(
         F.col("id"), (F.col("id") % 3).cast("string").alias("small"),
         F.col("id").cast("string").alias("wide"), (F.col("id") % 7).cast("double").alias("x"),
         (F.col("id") % 2).cast("string").alias("y"))
-    pipe = fe.bounded_feature_pipeline(rows, ["small", "wide"], ["x"], label_col="y",
-                                       max_categories=100, hash_features=64)
-    kinds = [type(s).__name__ for s in pipe.getStages()]
-    assert "FeatureHasher" in kinds and "OneHotEncoder" in kinds
-    out = pipe.fit(rows).transform(rows)
-    assert out.where(F.col("features").isNull()).count() == 0
-    assert out.select("label").distinct().count() == 2
+    out = fe.feature_pipeline(["small", "wide"], ["small", "wide"], ["x"], "y").fit(rows).transform(rows)
+    assert out.first()["features"].size == 3 + 1 + 12_000 + 1 + 1     # however many categories there are
+    assert out.count() == 12_000
+    hashed = fe.hashed_feature_pipeline(["small", "wide"], ["x"], "y", hash_features=64)
+    out = hashed.fit(rows).transform(rows)
+    assert out.where(F.col("features").isNull()).count() == 0 and out.first()["features"].size == 65
+
+
+def test_unknown_labels_and_nulls_are_scored(spark):
+    from tessera.operators import features as fe
+    from tessera.operators import learn
+    rows = spark.createDataFrame(
+        [("a", "d1", "u1", 1.0), ("b", "d1", "u2", 2.0), ("new", "d9", "u9", 3.0), (None, None, None, None)] * 5,
+        "gt string, dev string, usr string, x double")
+    prepared = fe.fixed_vocabulary_features(rows, "gt", ["a", "b"], {"dev": ["d1"]}, "usr", ["u1", "u2"], ["x"])
+    assert prepared.count() == 20 and {r.label for r in prepared.collect()} == {0.0, 1.0, 2.0}
+    known = prepared.where("label < 2")
+    score = learn.accuracy(learn.random_forest(max_depth=4).fit(known).transform(prepared)).first()
+    assert score["n_rows"] == 20 and score["n_correct"] <= 10          # unknown labels count, as wrong
 
 
 def test_preview_helpers_and_empty_table(spark):

@@ -33,7 +33,7 @@ def test_bracket_helpers(spark):
 def test_credits_compat_and_clean(spark):
     raw = readers.read_single_column_tsv(spark, fixture_path("credits.csv"))
     assert raw.columns == ["cast,crew,id"]
-    compat = {r["id"]: r for r in parsers.parse_credits(raw).collect()}
+    compat = {r["id"]: r for r in parsers.parse_credits(raw, mode="compat").collect()}
     assert compat[862]["actors"] == ["Mira Sol", "Zed order"]
     assert compat[862]["director"] == ["Ivo Lane"]
     assert compat[863]["actors"] == [] and compat[863]["director"] == []
@@ -96,7 +96,25 @@ def test_clean_parse_keeps_apostrophes_and_long_names(spark):
     assert clean["id"] == 77
     assert clean["actors"] == ["D'Arcy Vole", "Ann Lee Ray"]
     assert clean["director"] == ["Jo-Ann Kim"]
-    compat = parsers.parse_credits(raw).first()
+    doubled = line.replace("\"D'Arcy Vole\"", "\"\"D'Arcy Vole\"\"")
+    again = parsers.parse_credits(spark.createDataFrame([(doubled,)], "`cast,crew,id` string")).first()
+    assert tuple(again) == tuple(clean)
+    compat = parsers.parse_credits(raw, mode="compat").first()
     # compat: the apostrophe and the hyphen are separators, names keep two words
     assert compat["actors"] == ["D Arcy", "Ann Lee"]
     assert compat["director"] == ["Jo Ann"]
+
+
+def test_credits_with_brackets_none_escapes_and_malformed_lines(spark):
+    line = ("\"[{'character': 'Cop [voice]', 'name': 'Noah None', 'order': 0, 'profile_path': None}, "
+            "{'character': 'x', 'name': 'qqdirectorqq \\\\ A\\'B', 'order': 1}]\","
+            "\"[{'job': 'Writer', 'name': 'Director'}, {'job': 'Director', 'name': 'Ann Mary Lee'}]\",5")
+    raw = spark.createDataFrame([(line,), ("no lists here",), (None,), ('"[{broken","[]",7',)],
+                                "`cast,crew,id` string")
+    got = {r["id"]: r for r in parsers.parse_credits(raw).collect() if r["id"] is not None}
+    assert got[5]["actors"] == ["Noah None", "qqdirectorqq \\ A'B"]
+    assert got[5]["director"] == ["Ann Mary Lee"]
+    assert got[7]["actors"] is None and got[7]["director"] == []
+    assert parsers.parse_credits(raw).count() == 4
+    compat = {r["id"]: r for r in parsers.parse_credits(raw, mode="compat").collect()}
+    assert compat[5]["director"] == ["Ann Mary"]
