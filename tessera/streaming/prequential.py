@@ -52,7 +52,8 @@ def _model_class(learner):
 def save_model(spark: SparkSession, model, path: str) -> None:
     if isinstance(model, MajorityClassModel):
         # one value: a few bytes of JSON, no Spark job needed
-        write_text(spark, f"{path}/model.json", json.dumps({"value": model.value}))
+        write_text(spark, f"{path}/model.json", json.dumps(
+            {"value": model.value, "counts": list(model.counts.items())}))
     else:
         model.write().overwrite().save(path)
     touch(spark, f"{path}/{_DONE}")
@@ -60,7 +61,8 @@ def save_model(spark: SparkSession, model, path: str) -> None:
 
 def load_model(spark: SparkSession, learner, path: str):
     if isinstance(learner, MajorityClass):
-        return MajorityClassModel(json.loads(read_text(spark, f"{path}/model.json"))["value"])
+        saved = json.loads(read_text(spark, f"{path}/model.json"))
+        return MajorityClassModel(saved["value"], {k: n for k, n in saved["counts"]})
     return _model_class(learner).load(path)
 
 
@@ -91,14 +93,32 @@ class Prequential:
         base = f"{self.state_dir}/{kind}"
         return base if epoch is None else f"{base}/epoch={epoch}"
 
-    def history(self, upto: int) -> DataFrame:
+    def history(self, upto: int, after: int | None = None) -> DataFrame:
+        """Prepared rows of the epochs up to ``upto`` (and after ``after``)."""
         h = self.spark.read.option("basePath", self._path("history")) \
             .parquet(self._path("history"))
         cond = F.col("epoch") <= upto
-        if self.history_epochs:
+        if after is not None:
+            cond = cond & (F.col("epoch") > after)
+        elif self.history_epochs:
             cond = cond & (F.col("epoch") > upto - self.history_epochs)
         return h.where(cond).drop("epoch")
 
+    def _fit(self, epoch: int):
+        """A model of the history: from the rows since the last model where the learner
+        can go on from it, else from all of them."""
+        if not hasattr(self.learner, "update") or self.history_epochs:
+            return self.learner.fit(self.history(epoch))
+        model, at = self._model_before(epoch), self._trained_before(epoch)
+        return self.learner.update(model, self.history(epoch, after=-1 if at is None else at))
+
+    def _trained_before(self, epoch: int) -> int | None:
+        """The last epoch before ``epoch`` that a model was trained at."""
+        if self._latest is not None and self._latest[0] == epoch - 1:
+            return epoch - 1
+        earlier = [e for e in list_epochs(self.spark, self._path("model"), _DONE) if e < epoch]
+        return earlier[-1] if earlier else None
+
     def _model_before(self, epoch: int):
         """Newest model trained on epochs before ``epoch`` (None if none)."""
         if self._latest is not None and self._latest[0] == epoch - 1:
@@ -149,7 +169,7 @@ class Prequential:
             self._totals = (epoch, row["cum_rows"], row["cum_correct"])
         # 3. learn from everything seen so far
         if epoch + 1 < self.retrain_until and epoch % self.retrain_every == 0:
-            fitted = self.learner.fit(self.history(epoch))
+            fitted = self._fit(epoch)
             save_model(spark, fitted, self._path("model", epoch))
             self._latest = (epoch, fitted)
 

@@ -24,7 +24,8 @@ def _plan(df) -> str:
 def test_no_forbidden_operators_and_pruned_scans(spark):
     bad = {}
     for name, fn in catalog.REGISTRY.items():
-        if name in ("prequential_forest", "forest_accuracy", "logistic_accuracy"):
+        if name in ("prequential_forest", "forest_accuracy", "logistic_accuracy",
+                    "logistic_language", "forest_language"):
             continue
         plan = _plan(fn(spark, SF_SMALL))
         hits = [op for op in FORBIDDEN if op in plan]
@@ -35,3 +36,8 @@ def test_no_forbidden_operators_and_pruned_scans(spark):
         if hits:
             bad[name] = hits
     assert not bad, bad
+
+
+def test_plans_without_part_columns_do_not_scan_part(spark):
+    for name in ("demand_scalar_matrix", "demand_scalar_long", "domain_scalar_values", "accounting_totals"):
+        assert "/part.parquet" not in _plan(catalog.REGISTRY[name](spark, SF_SMALL)), name

@@ -120,3 +120,30 @@ def test_kafka_source_builds_where_the_connector_exists(spark):
     assert raw.isStreaming and "value" in raw.columns
     decoded = decode.decode_json_value(raw, schemas.SENSOR)
     assert decoded.columns == [f.name for f in schemas.SENSOR.fields]
+
+
+def test_a_restart_with_a_new_object_continues_and_a_replay_changes_nothing(spark):
+    rows, _ = _stream(spark)
+    blocks = [b.block for b in rows.select("block").distinct().orderBy("block").collect()]
+    batches = [rows.where(F.col("block") == b) for b in blocks]
+    whole = scratch_path(spark, "test_whole")
+    one = prequential.Prequential(spark, _prepare, learn.MajorityClass(), whole)
+    for e, b in enumerate(batches):
+        one.process(b, e)
+    state = scratch_path(spark, "test_restart")
+    for e, b in enumerate(batches):          # a new object, as after a restart, for every batch
+        prequential.Prequential(spark, _prepare, learn.MajorityClass(), state).process(b, e)
+    again = prequential.Prequential(spark, _prepare, learn.MajorityClass(), state)
+    again.process(batches[-1], len(batches) - 1)
+    key = lambda run: sorted(tuple(r) for r in run.metrics().collect())
+    assert key(again) == key(one)
+    assert {e: (n, c) for e, n, c, _, _ in key(one)} == _batch_oracle(rows, 40)
+
+
+def test_first_batch_skipped_row_target_and_trigger(spark):
+    rows, stream = _stream(spark)
+    skip = prequential.Prequential(spark, _prepare, learn.MajorityClass(), scratch_path(spark, "test_skip"),
+                                   first_batch="skip")
+    skip.run(stream, trigger={"processingTime": "1 seconds"}, stop_after_rows=rows.count() - BLOCK, timeout_s=90)
+    got = {r["epoch"]: r["n_rows"] for r in skip.metrics().collect()}
+    assert got[0] == 0 and sum(got.values()) >= rows.count() - BLOCK
