@@ -649,6 +649,12 @@ def search_matches(spark, d):
     return search.match_counts(dom.saved_searches(spark, d), _base(spark, d))
 
 
+@query
+def search_pairs(spark, d):
+    """Every search with each movie it matches; one row without a movie if none does."""
+    return search.match_searches(dom.saved_searches(spark, d), _base(spark, d))
+
+
 @query
 def demand_array_matrix_discovered(spark, d):
     """Value domain discovered in Spark, then the matrix (A20 + A17); only

@@ -486,6 +486,9 @@ FROM s LEFT JOIN base b
  AND list_has_any(coalesce(b.cities, []), s.cities)
  AND b.year >= s.date
 GROUP BY s.search_id"""
+SQL["search_pairs"] = SQL["search_matches"].replace(
+    "COUNT(b.id) AS n_matches", "b.id AS movie_id").replace("GROUP BY s.search_id", "")
+
 
 SQL["demand_array_matrix_discovered"] = SQL["demand_array_matrix"]
 
