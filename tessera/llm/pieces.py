@@ -54,7 +54,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 1.0
 SEED = 42
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 1_500_000
 SPACE, LITERAL = "▁", "\ud800"          # LITERAL: the sign itself, in a text
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+")
 _CODE_BITS = 21
@@ -71,7 +71,7 @@ class Vocabulary:
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         size = sp.vocab_size()
         self.text = [sp.id_to_piece(i) for i in range(size)]
-        self.byte_id = np.zeros(256, dtype=np.int64)
+        self.byte_id = np.zeros(256, dtype=np.int32)
         normal = []
         for i, piece in enumerate(self.text):
             if sp.is_byte(i):
@@ -80,9 +80,12 @@ class Vocabulary:
                 normal.append(i)
         if any(not _UNIT.fullmatch(self.text[i]) for i in normal):
             raise ValueError("a piece crosses the start of a run of spaces or a line end")
-        self.byte_of = {int(i): b for b, i in enumerate(self.byte_id)}
-        self.surface = [chr(self.byte_of[i]) if i in self.byte_of else t for i, t in enumerate(self.text)]
-        self.high = {i for i, b in self.byte_of.items() if b >= 0x80}
+        # what each piece stands for, as bytes: a byte piece for its byte, a space for the space sign
+        byte_of = {int(i): bytes([b]) for b, i in enumerate(self.byte_id)}
+        written = [byte_of[i] if i in byte_of else t.replace(SPACE, " ").encode() for i, t in enumerate(self.text)]
+        self.bytes = np.frombuffer(b"".join(written), dtype=np.uint8)
+        self.byte_count = np.array([len(w) for w in written], dtype=np.int32)
+        self.byte_first = np.cumsum(self.byte_count, dtype=np.int32) - self.byte_count
         self.weight = np.zeros(size)
         for rank, i in enumerate(normal):
             self.weight[i] = -alpha * np.log(2 + rank)
@@ -129,27 +132,15 @@ class Vocabulary:
             open_, at, end = open_[go], at[go], end[go]
         return out
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """The text of a sequence of ids (of one whole text)."""
-        if not ids:
+        if not len(ids):
             return ""
-        if self.high.isdisjoint(ids):                  # no byte of a longer character
-            return "".join(map(self.surface.__getitem__, ids)).replace(SPACE, " ")[1:]
-        parts: list[str] = []
-        pending = bytearray()
-        byte_of, text = self.byte_of, self.text
-        for i in ids:
-            byte = byte_of.get(i)
-            if byte is not None:
-                pending.append(byte)
-                continue
-            if pending:
-                parts.append(pending.decode("utf-8").replace(SPACE, LITERAL))
-                pending.clear()
-            parts.append(text[i])
-        if pending:
-            parts.append(pending.decode("utf-8").replace(SPACE, LITERAL))
-        return "".join(parts).replace(SPACE, " ").replace(LITERAL, SPACE)[1:]
+        size = self.byte_count[ids]
+        ends = np.cumsum(size)
+        place = np.repeat(self.byte_first[ids] - ends + size, size)
+        place += np.arange(len(place), dtype=np.int32)
+        return self.bytes[place].tobytes().decode("utf-8")[1:]
 
 
 _LOADED: dict[tuple[str, float], Vocabulary] = {}
@@ -263,14 +254,15 @@ class Lattice:
         arcs = int(self.first[-1])
         self.piece = np.empty(arcs, dtype=np.int32)
         self.to = np.empty(arcs, dtype=np.int32)
-        self.weight = np.empty(arcs)
         used = self.first.copy()
         for node, after, piece in found:
             row = used[node]
             self.piece[row], self.to[row] = piece, after
-            self.weight[row] = np.where(piece >= 0, vocab.weight[piece],
-                                        vocab.byte_weight * _utf8_length(self.code[node]))
-            used[node] += 1
+            used[node] = row + 1
+        self.weight = vocab.weight[self.piece]
+        lone = np.flatnonzero(self.piece == -1)
+        spelled = np.searchsorted(self.first, lone, side="right") - 1
+        self.weight[lone] = vocab.byte_weight * _utf8_length(self.code[spelled])
 
         self.ahead = np.zeros(total + 1)                     # log of the sum of all ways to the end
         self.upto = np.empty(arcs)
@@ -532,7 +524,7 @@ def _log_inclusion(logp: float, threshold: float) -> float:
 
 def _ids(vocab: Vocabulary, lattice: Lattice, path: _Path) -> np.ndarray:
     """Ids of a path, byte arcs spelled out."""
-    ids = lattice.piece[path.arcs].astype(np.int64)
+    ids = lattice.piece[path.arcs]
     lone = np.flatnonzero(ids == -1)
     if not len(lone):
         return ids
@@ -577,14 +569,14 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
                 rows = [(i, r, *s) for i, found in enumerate(drawn) for r, s in enumerate(found)]
                 flat = [row[2] for row in rows]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)
-                values = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int64)
+                values = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a).take(pa.array([r[0] for r in rows], type=pa.int32())),
                     pa.array([r[1] for r in rows], type=pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
                     pa.array([r[3] for r in rows]), pa.array([r[4] for r in rows]),
                     pa.array([r[5] for r in rows]),
-                    pa.array([vocab.decode(r[2].tolist()) == texts[r[0]] for r in rows])],
+                    pa.array([vocab.decode(r[2]) == texts[r[0]] for r in rows])],
                     names=["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(id_col).cast("string").alias("key"),

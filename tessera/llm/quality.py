@@ -166,7 +166,7 @@ def filter_documents(docs: DataFrame, good_ids: DataFrame, id_col: str = "doc_id
     model = ratio_model(docs, good_ids, id_col, text_col)
     tag = "__quality_"
     out = measured(docs, model, text_col, threshold, prefix=tag)
-    # rand() is never below 0: a verdict that is not deterministic to the optimizer keeps the
-    # filter above the measures, where it reads them instead of computing them again
-    return out.withColumn(f"{tag}kept", F.col(f"{tag}kept") & (F.rand(0) >= 0)) \
-        .filter(F.col(f"{tag}kept")).select(docs.columns)
+    # the verdict passes through a generator of one row, below which the optimizer pushes no
+    # filter: the filter reads the verdict instead of computing all measures again
+    return out.withColumn(f"{tag}verdict", F.explode_outer(F.array(f"{tag}kept"))) \
+        .filter(F.col(f"{tag}verdict")).select(docs.columns)

@@ -50,7 +50,7 @@ def test_log_probabilities_and_whole_enumeration(text):
     assert all(s[3] == 0.0 for s in found)
     values = [s[2] for s in found]
     assert values == sorted(values, reverse=True)
-    assert all(vocab.decode(s[0].tolist()) == text for s in found)
+    assert all(vocab.decode(s[0]) == text for s in found)
 
 
 def test_draws_follow_sampling_without_replacement():
