@@ -129,15 +129,19 @@ def literal_to_json(c: str | Column) -> Column:
     """
     def turned(t: Column) -> Column:
         body = F.substring(t, F.lit(2), F.length(t) - 2)
-        body = F.replace(body, F.lit("\\'"), F.lit("'"))
-        body = F.regexp_replace(body, r"\\x([0-9a-f]{2})", r"\\u00$1")
-        single = F.regexp_replace(body, r'(?<!\\)"', r'\\"')
+        # the plain search first: most tokens need no pattern at all
+        escaped = F.regexp_replace(F.replace(body, F.lit("\\'"), F.lit("'")),
+                                   r"\\x([0-9a-f]{2})", r"\\u00$1")
+        body = F.when(F.contains(body, F.lit("\\")), escaped).otherwise(body)
+        single = F.when(F.contains(body, F.lit('"')), F.regexp_replace(body, r'(?<!\\)"', r'\\"')) \
+            .otherwise(body)
         quoted = F.concat(F.lit('"'), F.when(F.startswith(t, F.lit("'")), single).otherwise(body),
                           F.lit('"'))
-        bare = t
+        json = t
         for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
-            bare = F.regexp_replace(bare, rf"\b{word}\b", value)
-        return F.when(F.rlike(t, F.lit("^['\"]")), quoted).otherwise(bare)
+            json = F.regexp_replace(json, rf"\b{word}\b", value)
+        bare = F.when(F.rlike(t, F.lit("None|True|False")), json).otherwise(t)
+        return F.when(F.startswith(t, F.lit("'")) | F.startswith(t, F.lit('"')), quoted).otherwise(bare)
 
     tokens = F.regexp_extract_all(_col(c), F.lit(_LITERAL_TOKEN), F.lit(0))
     return F.array_join(F.transform(tokens, turned), "")
