@@ -61,3 +61,36 @@ def test_no_rows_and_short_templates(spark, no_docs):
     assert licenses.scan(no_docs).count() == 0
     with pytest.raises(ValueError):
         licenses.scan(no_docs, templates={"x": "too short"})
+
+
+def test_whole_licences_headers_and_wordings(spark):
+    bodies = {n: t for n, t in licenses.LICENSES.items() if n.endswith("-text")}
+    rows = [(1, "x " * 30 + "Redistribution and use in source and binary forms, with or without modification, are "
+                "permitted provided that the following conditions are met:"),
+            (2, "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+                "License, or (at your option) any later version."),
+            (3, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of "
+                "the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+            (4, "Licensed under the MIT License"), (5, "y " * 2_000 + "an ordinary text about nothing at all"),
+            (6, "\n".join("// " + line for line in bodies["gpl-3.0-text"].split("\n")) + " z" * 500),
+            (7, bodies["apache-2.0-text"][:len(bodies["apache-2.0-text"]) // 2])]
+    rows += [(100 + i, f"Copyright {i} someone\n{t}") for i, t in enumerate(bodies.values())]
+    got = found(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {(1, "bsd-conditions"), (2, "gpl-3.0-or-later"), (3, "mpl-2.0-header"), (4, "mit-licensed"),
+            (6, "gpl-3.0-text")} <= set(got)
+    assert {(100 + i, n): 1.0 for i, n in enumerate(bodies)}.items() <= got.items()
+    assert not {k for k in got if k[0] == 5 or k[0] == 7 and k[1] == "apache-2.0-text"}
+    assert not {k for k in got if k[0] == 2 and k[1] != "gpl-3.0-or-later"}      # not another version
+
+
+def test_containment_of_repeats_equals_brute_force(spark):
+    import random
+    rng = random.Random(3)
+    templates = {"a": "p q p q p q p q p q r s", "b": " ".join(rng.choice("pqrs") for _ in range(40)),
+                 "c": "p q r s p"}
+    rows = [(i, " ".join(rng.choice("pqrs") if rng.random() < 0.97 else "t" for _ in range(n)))
+            for i, n in enumerate([5, 6, 9, 40, 80, 200, 400])] + [(50, "t t " + " ".join([templates["a"]] * 5)),
+                                                                   (51, templates["b"] * 2)]
+    frame = with_clashes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found(licenses.scan(frame, templates=templates)) == brute(rows, templates)
