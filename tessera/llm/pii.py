@@ -4,18 +4,23 @@
    fail their check) and of four looser ones (bracketed e-mail forms,
    phone numbers without a country code).
 2. *Votes.* Five labelers say +1, 0 or -1 on each candidate: the pattern
-   it came from, a checksum or range check, a gazetteer (top-level
-   domains, card issuers, calling codes, reserved networks), key words
-   before it, and the characters around it.
+   it came from (nothing on loose ones), a checksum, range or form check,
+   a gazetteer (top-level domains, card issuers, calling and area codes,
+   reserved networks), key words before it, and the characters around it.
 3. *Reliabilities.* Candidates are counted per kind and vote pattern
-   (at most 3^5 patterns a kind, whatever the input); expectation
-   maximisation over those counts estimates, per kind, how often each
-   labeler says what about true and false candidates.
+   (at most 3^5 patterns a kind, whatever the input).  Base spans count as
+   true and base matches that fail their check as false; expectation
+   maximisation over the loose ones estimates, per kind, how often each
+   labeler says what about true and false candidates.  A labeler that
+   says nothing is no evidence.  Each table keeps an anchor
+   (``ANCHORS``) of the weight of all loose candidates, so that no mix of
+   base and loose ones turns a labeler round.
 4. *Classifier.* A logistic regression learns the estimated truth from
    features of the span itself (kind, length, separators, key words,
    neighbours), on the table of distinct feature vectors with counts as
-   weights (at most 2^``N_FEATURES`` rows).  It decides the candidates
-   that the base rules did not accept; base spans always stay.
+   weights (at most 2^``N_FEATURES`` rows); the loose candidates have half
+   of the weight.  It decides the loose candidates; base spans always
+   stay, and base matches that fail their check never come back.
 
 The corpus is scanned once, in DataFrame expressions; candidates go to a
 small scratch table that training and the final pass read.  There is no
@@ -23,8 +28,8 @@ shuffle of texts; the two training tables are partial aggregates.
 
 Defined results: a NULL or empty text has no spans; a match that fails
 its check is dropped and its text is not searched again; a loose
-candidate that overlaps a base span is dropped; without any candidate
-nothing is trained; repeated rows each get their row; an empty table
+candidate that overlaps a base span is dropped; without any loose
+candidate nothing is trained; repeated rows each get their row; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -58,6 +63,10 @@ PHONE_LOOSE = (r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.\x20])[0-9]{3}[-.\
 TLDS = ("com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "eu", "info", "us", "it", "nl")
 ISSUER = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35|30[0-5]|36|38)"
 CALLING = r"^\+(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+AREA = r"^[^0-9]*[2-9][0-8][0-9]"
+# Forms of loose matches: one kind of separator (any after a space or bracket), clean labels.
+PHONE_FORM = r"^(?:\([0-9]{3}\)\x20?|[0-9]{3}\x20|[0-9]{3}([-.])(?=[0-9]{3}\1))"
+EMAIL_FORM = r"[A-Za-z0-9](?:\.|\x20?[\[({](?:dot|DOT)[\])}]\x20?)[A-Za-z]{2,}$"
 RESERVED = r"^0*(?:0|127|255)\."
 CONTEXT = {
     "email": "e-?mail|contact|write|mailto|address",
@@ -68,6 +77,10 @@ CONTEXT = {
 AGAINST = r"order|invoice|serial|isbn|version|\bid\b|ref|part"
 LABELERS = ("pattern", "check", "gazetteer", "context", "edges")
 BEFORE, CHECK_DIGITS = 40, (12, 19)
+# How often each labeler that speaks says +1 of a true and of a false candidate, before any is seen.
+ANCHORS = {kind: ((0.9, 0.1), (0.95, 0.6), (0.9, 0.1) if kind == "email" else (0.95, 0.6),
+                  (0.95, 0.05), (0.95, 0.6)) for kind in KINDS}
+ANCHOR_WEIGHT = 50
 N_FEATURES = 12
 ACCEPT = 0.9
 
@@ -97,7 +110,7 @@ def valid(kind: str, hit: Column) -> Column:
     return long_enough if kind == "phone" else F.when(long_enough, luhn(_digits(hit))).otherwise(False)
 
 
-CANDIDATE = ("array<struct<kind:string,rank:int,start:int,end:int,base:boolean,"
+CANDIDATE = ("array<struct<kind:string,rank:int,start:int,end:int,base:boolean,loose:boolean,"
              "votes:array<int>,features:array<int>>>")
 
 
@@ -119,24 +132,22 @@ def _described(text: Column, s: Column, kind: str, loose: bool) -> Column:
         known = {"email": F.rlike(F.lower(hit), F.lit(r"(?:\.|dot[\])}]\x20?)(?:%s)$" % "|".join(TLDS))),
                  "ip": ~F.rlike(hit, F.lit(RESERVED)),
                  "card": F.rlike(digits, F.lit(ISSUER)),
-                 "phone": F.rlike(hit, F.lit(CALLING)) if not loose else F.lit(False)}[kind]
+                 "phone": F.rlike(hit, F.lit(AREA if loose else CALLING))}[kind]
         here = F.rlike(m["before"], F.lit("(?i)" + CONTEXT[kind]))
         wrong = F.rlike(m["before"], F.lit("(?i)" + AGAINST))
         glued = F.rlike(m["last"], F.lit(r"[\p{L}\p{N}_]")) | F.rlike(m["after"], F.lit(r"[\p{L}\p{N}_]"))
         size = F.length(digits)
-        check = {"email": _vote(F.lit(not loose)), "ip": _vote(m["ok"], ~m["ok"]),
-                 "card": _vote(m["ok"], ~m["ok"]),
-                 "phone": _vote(size.between(9, 15), ~size.between(9, 15))}[kind]
-        votes = F.array(_vote(m["ok"]), check, _vote(known, ~known), _vote(here, wrong),
+        fit = F.rlike(hit, F.lit(EMAIL_FORM if kind == "email" else PHONE_FORM)) if loose else m["ok"]
+        votes = F.array(_vote(m["ok"]), _vote(fit, ~fit), _vote(known, ~known), _vote(here, wrong),
                         _vote(~glued, glued))
         bit = lambda c: F.coalesce(c, F.lit(False)).cast("int")
         features = F.array(*[F.lit(int(k == kind)) for k in KINDS[1:]], F.lit(int(loose)),
-                           bit(m["ok"]), bit(known), bit(here), bit(wrong), bit(glued),
+                           bit(fit), bit(known), bit(here), bit(wrong), bit(glued),
                            bit(size >= 13), bit(F.rlike(hit, F.lit(r"[\x20().-]"))),
                            bit(F.length(hit) >= 20))
         return F.struct(F.lit(kind).alias("kind"), F.lit(KINDS.index(kind)).alias("rank"),
                         s["start"].alias("start"), s["end"].alias("end"), m["ok"].alias("base"),
-                        votes.alias("votes"), features.alias("features"))
+                        F.lit(loose).alias("loose"), votes.alias("votes"), features.alias("features"))
 
     return let(F.struct(ok.alias("ok"), _digits(s["hit"]).alias("digits"), before.alias("before"),
                         last.alias("last"), after.alias("after")), body)
@@ -170,60 +181,95 @@ def candidates(text: Column) -> Column:
     return let(F.concat(*[p.cast(CANDIDATE) for p in parts]), settle)
 
 
+Tables = list[list[list[float]]]
+
+
 def estimate_reliabilities(patterns: dict[tuple[int, ...], float], rounds: int = 60,
-                           smooth: float = 0.5) -> tuple[float, list[list[list[float]]]]:
+                           smooth: float = 0.5, begin: Tables | None = None,
+                           pull: float = 0.0) -> tuple[float, Tables]:
     """EM over counts of vote patterns: prior of truth and P(vote | truth) per labeler.
 
     Votes are -1, 0, 1; ``result[1][j][t][v + 1]`` is labeler j's share of
-    vote v among candidates of truth t.  Starts from the sum of the votes.
+    vote v among candidates of truth t, without those it says nothing on.
+    Starts from the sum of the votes, or, given ``begin`` (counts that are
+    added to each table), from the tables of those.  ``pull`` counts as so
+    many candidates of a prior of one half.
     """
     width = len(LABELERS)
-    belief = {v: 1 / (1 + math.exp(-sum(v))) for v in patterns}
-    prior, tables = 0.5, []
+    begin = begin or [[[0.0] * 3 for _ in range(2)] for _ in range(width)]
+    shares = lambda tables: [[[(c + smooth) / (sum(row) + 3 * smooth) for c in row]
+                              for row in t] for t in tables]
+    prior, tables = 0.5, shares(begin)
+    anchored = any(c for t in begin for row in t for c in row)
+    sure = lambda x: 1 / (1 + math.exp(-max(-700.0, min(700.0, x))))
+    belief = {v: sure(log_odds(v, prior, tables) if anchored else sum(v)) for v in patterns}
     for _ in range(rounds):
         total = sum(patterns.values())
         mass = sum(n * belief[v] for v, n in patterns.items())
-        prior = (mass + smooth) / (total + 2 * smooth)
-        tables = [[[smooth] * 3 for _ in range(2)] for _ in range(width)]
+        prior = (mass + smooth + pull / 2) / (total + 2 * smooth + pull)
+        counts = [[list(row) for row in t] for t in begin]
         for v, n in patterns.items():
             for j, vote in enumerate(v):
-                tables[j][1][vote + 1] += n * belief[v]
-                tables[j][0][vote + 1] += n * (1 - belief[v])
-        tables = [[[c / sum(row) for c in row] for row in t] for t in tables]
-        belief = {v: 1 / (1 + math.exp(-max(-700.0, min(700.0, log_odds(v, prior, tables)))))
-                  for v in patterns}
+                if vote:
+                    counts[j][1][vote + 1] += n * belief[v]
+                    counts[j][0][vote + 1] += n * (1 - belief[v])
+        tables = shares(counts)
+        belief = {v: sure(log_odds(v, prior, tables)) for v in patterns}
     return prior, tables
 
 
-def log_odds(votes: tuple[int, ...], prior: float, tables: list[list[list[float]]]) -> float:
+def log_odds(votes: tuple[int, ...], prior: float, tables: Tables) -> float:
     return math.log(prior / (1 - prior)) + sum(
-        math.log(tables[j][1][v + 1] / tables[j][0][v + 1]) for j, v in enumerate(votes))
+        math.log(tables[j][1][v + 1] / tables[j][0][v + 1]) for j, v in enumerate(votes) if v)
+
+
+def anchored(kind: str, patterns: dict[str, dict[tuple[int, ...], float]]) -> tuple[float, Tables]:
+    """Prior and tables of a kind from the counts of its ``true``, ``false`` and ``loose`` candidates."""
+    loose = patterns.get("loose", {})
+    total = sum(loose.values())
+    begin = [[[(total + ANCHOR_WEIGHT) * (1 - p), 0.0, (total + ANCHOR_WEIGHT) * p] for p in (no, yes)]
+             for yes, no in ANCHORS[kind]]
+    for t, known in enumerate(("false", "true")):
+        for votes, n in patterns.get(known, {}).items():
+            for j, vote in enumerate(votes):
+                if vote and LABELERS[j] not in ("pattern", "check"):     # these two made them known
+                    begin[j][t][vote + 1] += n
+    return estimate_reliabilities(loose, begin=begin, pull=2 * total)
 
 
 def train(found: DataFrame) -> tuple[list[float], float] | None:
-    """Weights and intercept of the span classifier; None without candidates.
+    """Weights and intercept of the span classifier; None without loose candidates.
 
-    What comes to the driver is one row per kind and vote pattern (at most
-    4 * 3^5) and the regression's coefficients.
+    What comes to the driver is one row per kind, group and vote pattern
+    (at most 3 * 4 * 3^5) and the regression's coefficients.
     """
-    spans = found.select(F.explode("found").alias("c")).select("c.kind", "c.votes", "c.features")
-    table = materialise(spans.groupBy("kind", "votes", "features").agg(
+    spans = found.select(F.explode("found").alias("c")).select(
+        "c.kind", "c.votes", "c.features", F.when(F.col("c.loose"), "loose").when(
+            F.col("c.base"), "true").otherwise("false").alias("group"))
+    table = materialise(spans.groupBy("kind", "group", "votes", "features").agg(
         F.count("*").cast("double").alias("n")), "votes")
-    counts: dict[str, dict[tuple[int, ...], float]] = {}
-    for kind, votes, n in sorted(table.groupBy("kind", "votes").agg(F.sum("n")).collect()):
-        counts.setdefault(kind, {})[tuple(votes)] = n
-    if not counts:
+    counts: dict[str, dict[str, dict[tuple[int, ...], float]]] = {}
+    totals = {"loose": 0.0, "known": 0.0}
+    for kind, group, votes, n in sorted(table.groupBy("kind", "group", "votes").agg(F.sum("n")).collect()):
+        counts.setdefault(kind, {}).setdefault(group, {})[tuple(votes)] = n
+        totals["loose" if group == "loose" else "known"] += n
+    if not totals["loose"]:
         return None
-    truth = F.lit(None).cast("double")
-    for kind, patterns in counts.items():
-        prior, tables = estimate_reliabilities(patterns)
+    truth = F.when(F.col("group") == "true", 0.99).otherwise(0.01)
+    for kind in counts:
+        if "loose" not in counts[kind]:
+            continue
+        prior, tables = anchored(kind, counts[kind])
         odds = F.lit(math.log(prior / (1 - prior)))
         for j in range(len(LABELERS)):
-            for v in (-1, 0, 1):
+            for v in (-1, 1):
                 odds = odds + F.when(F.get("votes", F.lit(j)) == v, math.log(
                     tables[j][1][v + 1] / tables[j][0][v + 1])).otherwise(0.0)
-        truth = F.when(F.col("kind") == kind, 1 / (1 + F.exp(-odds))).otherwise(truth)
-    soft = table.select("features", "n", truth.alias("truth"))
+        truth = F.when((F.col("kind") == kind) & (F.col("group") == "loose"),
+                       1 / (1 + F.exp(-odds))).otherwise(truth)
+    scale = F.when(F.col("group") == "loose", 1.0).otherwise(
+        min(1.0, totals["loose"] / max(totals["known"], 1.0)))
+    soft = table.select("features", (F.col("n") * scale / totals["loose"]).alias("n"), truth.alias("truth"))
     soft = soft.groupBy("features").agg(F.sum(F.col("n") * F.col("truth")).alias("yes"),
                                         F.sum(F.col("n") * (1 - F.col("truth"))).alias("no"))
     rows = soft.select(array_to_vector(F.col("features").cast("array<double>")).alias("x"), F.explode(
@@ -252,7 +298,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         weights = F.array(*[F.lit(w) for w in model[0]])
         score = F.aggregate(F.zip_with(weights, c["features"], lambda w, x: w * x),
                             F.lit(model[1]), lambda acc, v: acc + v)
-        return c["base"] | (score >= math.log(accept / (1 - accept)))
+        return c["base"] | (c["loose"] & (score >= math.log(accept / (1 - accept))))
 
     return found.select("doc_id", pick(lambda c: c["base"]).alias("base"),
                         pick(accepted).alias("spans"))

@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import pytest
 from conftest import SF_SMALL
 
 from llm.conftest import edge_rows, table_of, with_clashes
@@ -115,6 +116,25 @@ def test_the_classifier_adds_likely_spans_only(spark):
             assert set(found[i].split(",")) - {""} == base      # numbers that fail their check stay out
 
 
+@pytest.mark.parametrize("base, loose", [(120, 0), (1000, 10), (1000, 100), (100, 1000), (0, 40)])
+def test_loose_spans_are_added_whatever_the_mix(spark, base, loose):
+    rows = [(i, f"call me at +1 (555) 010-{i:04d} or mail a{i}@mail.example.com from 10.0.{i % 200}.7 now")
+            for i in range(base)]
+    rows += [(10_000 + i, f"order id {4000000000000000 + 7 * i + 1} version 300.{i}.2.1 is here") for i in range(base)]
+    rows += [(20_000 + i, f"phone: (555) 010-{i:04d} today") for i in range(loose)]
+    rows += [(30_000 + i, f"write to joe{i} [at] example [dot] com soon") for i in range(loose)]
+    rows += [(40_000 + i, f"order {200 + i % 80}-555-{i:04d} was sent") for i in range(loose)]
+    rows += [(2000, "phone: (555) 010-7788 today"), (2001, "write to joe [at] example [dot] com soon"),
+             (2002, "invoice 212 555 0188 is due")]
+    found = {r.doc_id: r.spans for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    kinds = {i: [(s.kind, s.start, s.end) for s in spans] for i, spans in found.items()}
+    assert kinds[2000] == [("phone", 7, 21)] and kinds[2001] == [("email", 9, 35)] and kinds[2002] == []
+    for i in range(loose):
+        assert len(kinds[20_000 + i]) == len(kinds[30_000 + i]) == 1 and not kinds[40_000 + i]
+    for i in range(base):
+        assert not [k for k in kinds[10_000 + i] if k[0] == "ip"], rows[base + i]
+
+
 def entropy(window):
     return -sum(n / len(window) * math.log2(n / len(window)) for n in
                 (window.count(c) for c in set(window)))
