@@ -1,13 +1,15 @@
 """Secret scans: fixed-pattern spans plus a sliding-window entropy scan.
 
 Base spans are the leftmost non-overlapping matches of three patterns.
-The method adds spans: candidate strings are maximal runs of a character
-class, at least ``WINDOW`` characters long and with a digit; a window of
-``WINDOW`` characters slides over each, its symbol counts and the sum of
+The method adds spans: maximal runs of a character class are split at
+the parts the allow-list names, and what is left between them is a
+candidate if it has ``WINDOW`` characters, is no plain number, and holds
+a digit or letters of mixed case (``CASE_MIX``); a window of ``WINDOW``
+characters slides over each, its symbol counts and the sum of
 c * log2(c) change by the one symbol that enters and the one that
 leaves, and windows whose Shannon entropy reaches the class's threshold
-are joined into a span.  A candidate the allow-list names is passed
-over, and so is a span that lies inside a base span.
+are joined into a span.  A span that lies inside a base span is passed
+over.
 
 Everything is DataFrame expressions over one scan, without a shuffle;
 each text is handled whole, in its own row.
@@ -37,11 +39,15 @@ HEX_SYMBOLS = "0123456789abcdef"
 BASE64_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 HEX_BITS = 3.0
 BASE64_BITS = 3.8
-# A run of at least WINDOW symbols that holds a digit, from where the run begins.
-CANDIDATE = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{%d,}+" % WINDOW)
-# What looks random but is not secret: plain numbers, sample values, alphabets, one repeated sign.
-ALLOW = (r"^[0-9+/_=-]+$|(?i)example|sample|dummy|placeholder|changeme|xxxxxx"
-         r"|abcdefghij|0123456789|(.)\1{9}")
+# A run of at least WINDOW symbols, from where the run begins.
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+" % WINDOW
+# What looks random but is not secret: sample values, alphabets, one repeated sign; plain numbers.
+ALLOW = (r"(?i)example|sample|dummy|placeholder|changeme|x{6,}"
+         r"|abcdefghij|0123456789|([A-Za-z0-9+/_=-])\1{9,}")
+PLAIN = r"^[0-9+/_=-]+$"
+# Least share of the rarer case among the letters of a candidate without digits.  Random letters
+# have a half; identifiers written in capitals or in CamelCase have less.
+CASE_MIX = 0.3
 
 
 def base_spans(text: Column) -> Column:
@@ -107,10 +113,34 @@ def _moved(acc: Column, m: Column, table: Column) -> Column:
     return F.when(same, acc["s"]).otherwise(acc["s"] + grow + shrink)
 
 
+def _pieces(runs: Column) -> Column:
+    """The parts of the runs between what the allow-list names."""
+    def cut(s: Column) -> Column:
+        begin = lambda h: let(F.transform(find_spans(h, ALLOW, "", 0), lambda a: F.struct(
+            a["start"].alias("start"), a["end"].alias("end"))), lambda parts: F.zip_with(
+                F.concat(F.array(F.lit(0)), parts["end"]),
+                F.concat(parts["start"], F.array(F.length(h))),
+                lambda a, b: F.struct(a.alias("at"), F.substring(h, a + 1, b - a).alias("hit"))))
+        whole = F.array(F.struct(F.lit(0).alias("at"), s["hit"].alias("hit")))
+        return F.transform(F.when(F.rlike(s["hit"], F.lit(ALLOW)), begin(s["hit"])).otherwise(whole),
+                           lambda x: F.struct((s["start"] + x["at"]).alias("start"), x["hit"].alias("hit")))
+
+    return F.flatten(F.transform(runs, cut))
+
+
+def _likely(hit: Column) -> Column:
+    """Whether a piece may hold a secret, before its entropy is known."""
+    upper = F.length(F.regexp_replace(hit, "[^A-Z]", ""))
+    lower = F.length(F.regexp_replace(hit, "[^a-z]", ""))
+    mixed = F.least(upper, lower) >= CASE_MIX * (upper + lower)
+    return (F.length(hit) >= WINDOW) & F.when(
+        F.rlike(hit, F.lit("[0-9]")), ~F.rlike(hit, F.lit(PLAIN))).otherwise((upper > 0) & mixed)
+
+
 def entropy_spans(text: Column) -> Column:
     """Spans of high-entropy windows in the candidate strings of ``text``."""
-    candidates = F.filter(find_spans(text, CANDIDATE, "", 0, F.rlike(text, F.lit("[0-9]"))),
-                          lambda s: ~F.rlike(s["hit"], F.lit(ALLOW)))
+    runs = find_spans(text, CANDIDATE, "", 0, F.rlike(text, F.lit(CANDIDATE)))
+    candidates = F.filter(_pieces(runs), lambda s: _likely(s["hit"]))
 
     def scored(s: Column) -> Column:
         hexa = F.rlike(s["hit"], F.lit("^[0-9A-Fa-f]+$"))

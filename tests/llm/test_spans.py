@@ -167,6 +167,25 @@ def test_allow_list(spark):
     assert all(not any(s.kind.startswith("entropy") for s in r.spans) for r in found)
 
 
+def test_allowed_parts_do_not_hide_the_rest_of_a_run(spark):
+    rng = random.Random(8)
+    key = "".join(rng.choice(secrets.BASE64_SYMBOLS[:62]) for _ in range(40))
+    letters = "qRtYwEbNzKpLdFgHjMvXcUsA"
+    rows = [(1, f"sample-db/conn={key}"), (2, f"{'=' * 12}{key} end"), (3, f"é {key}{'A' * 10}/{key}"),
+            (4, f"see {letters} here"), (5, "sample-" * 9), (6, "/usr/local/share/applications/menu"),
+            (7, "AbstractSingletonProxyFactoryBeanDefinition"), (8, "1" * 25 + "sample" + "2" * 25),
+            (9, "MAXIMUM_NUMBER_OF_QUICK_FOX_JUMPS"), (10, "the quick brown fox")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind.startswith("entropy")]
+             for r in secrets.scan(frame).collect()}
+    assert len(found[1]) == 1 and found[1][0][1] == len(rows[0][1]) and 6 <= found[1][0][0] <= 15
+    assert found[2] == [(12, 52)] and found[4] == [(4, 4 + len(letters))]
+    assert len(found[3]) == 2 and found[3][0] == (2, 42) and found[3][1][1] == 93
+    assert not any(found[i] for i in range(5, 11))
+    masked = {r.doc_id: r.text for r in secrets.redact(frame).collect()}
+    assert not any(key in masked[i] for i in (1, 2, 3)) and masked[4] == "see [SECRET] here"
+
+
 def test_redaction(spark, docs, no_docs):
     hexa = "0123456789abcdef0123"
     rows = [(1, f"é token = '{hexa}' and {hexa}", 9), (2, "plain", 5), (3, None, None)]
