@@ -8,7 +8,7 @@ a digit or letters of mixed case (``CASE_MIX``); a window of ``WINDOW``
 characters slides over each, its symbol counts and the sum of
 c * log2(c) change by the one symbol that enters and the one that
 leaves, and windows whose Shannon entropy reaches the class's threshold
-are joined into a span.  A span that lies inside a base span is passed
+are joined into a span where they overlap or touch.  A span that lies inside a base span is passed
 over.
 
 Everything is DataFrame expressions over one scan, without a shuffle;
@@ -35,6 +35,7 @@ HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
 
 WINDOW = 20
+RANGES = "array<struct<first:int,last:int>>"
 HEX_SYMBOLS = "0123456789abcdef"
 BASE64_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 HEX_BITS = 3.0
@@ -67,9 +68,9 @@ def _plog(count: int) -> float:
     return count * math.log2(count) if count else 0.0
 
 
-def entropy_range(symbols: Column, alphabet: str, bits: float, window: int = WINDOW) -> Column:
-    """``(first, last)`` start of the windows of ``symbols`` (an array of single
-    characters) with at least ``bits`` of entropy; (-1, -1) without any.
+def entropy_ranges(symbols: Column, alphabet: str, bits: float, window: int = WINDOW) -> Column:
+    """``(first, last)`` starts of each group of windows of ``symbols`` (an array of
+    single characters) with at least ``bits`` of entropy that overlap or touch.
 
     One pass: each step adds one symbol's count and takes one away, and
     ``s`` (the sum of c * log2(c)) moves by the two differences.
@@ -79,25 +80,35 @@ def entropy_range(symbols: Column, alphabet: str, bits: float, window: int = WIN
 
     def scan(codes: Column) -> Column:
         zero = F.struct(F.array_repeat(F.lit(0), len(alphabet)).alias("n"), F.lit(0.0).alias("s"),
-                        F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("i"))
+                        F.lit(-1).alias("first"), F.lit(-1).alias("last"), F.lit(0).alias("i"),
+                        F.array().cast(RANGES).alias("done"))
 
         def step(acc: Column, code: Column) -> Column:
             gone = F.when(acc["i"] >= window, F.get(codes, acc["i"] - window)).otherwise(F.lit(-1))
             return let(F.struct(gone.alias("gone"), code.alias("new")), lambda m: let(
                 F.transform(acc["n"], lambda c, k: c + F.when(k == m["new"], 1).otherwise(0)
                             - F.when(k == m["gone"], 1).otherwise(0)),
-                lambda n: let(_moved(acc, m, table), lambda s: F.struct(
+                lambda n: let(_moved(acc, m, table), lambda s: let(_hit(acc, s), lambda hot: F.struct(
                     n.alias("n"), s.alias("s"),
-                    F.when((acc["first"] < 0) & _hit(acc, s), acc["i"] - window + 1)
+                    F.when(hot & ((acc["first"] < 0) | _apart(acc)), acc["i"] - window + 1)
                     .otherwise(acc["first"]).alias("first"),
-                    F.when(_hit(acc, s), acc["i"] - window + 1).otherwise(acc["last"]).alias("last"),
-                    (acc["i"] + 1).alias("i")))))
+                    F.when(hot, acc["i"] - window + 1).otherwise(acc["last"]).alias("last"),
+                    (acc["i"] + 1).alias("i"),
+                    F.when(hot & (acc["first"] >= 0) & _apart(acc), _closed(acc))
+                    .otherwise(acc["done"]).alias("done"))))))
+
+        def _apart(acc: Column) -> Column:
+            return acc["i"] - window + 1 > acc["last"] + window
+
+        def _closed(acc: Column) -> Column:
+            return F.concat(acc["done"], F.array(F.struct(
+                acc["first"].alias("first"), acc["last"].alias("last"))))
 
         def _hit(acc: Column, s: Column) -> Column:
             return (acc["i"] >= window - 1) & (F.lit(full) - s / window >= bits - 1e-9)
 
-        return F.aggregate(codes, zero, step,
-                           lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
+        return F.aggregate(codes, zero, step, lambda acc: F.when(
+            acc["first"] >= 0, _closed(acc)).otherwise(acc["done"]))
 
     codes = F.transform(symbols, lambda ch: F.instr(F.lit(alphabet), ch) - 1)
     return let(codes, scan)
@@ -145,15 +156,15 @@ def entropy_spans(text: Column) -> Column:
     def scored(s: Column) -> Column:
         hexa = F.rlike(s["hit"], F.lit("^[0-9A-Fa-f]+$"))
         chars = lambda t: F.split(t, "", -1)
-        found = F.when(hexa, entropy_range(chars(F.lower(s["hit"])), HEX_SYMBOLS, HEX_BITS)) \
-            .otherwise(entropy_range(chars(s["hit"]), BASE64_SYMBOLS, BASE64_BITS))
-        return let(found, lambda f: F.struct(
+        found = F.when(hexa, entropy_ranges(chars(F.lower(s["hit"])), HEX_SYMBOLS, HEX_BITS)) \
+            .otherwise(entropy_ranges(chars(s["hit"]), BASE64_SYMBOLS, BASE64_BITS))
+        return F.transform(found, lambda f: F.struct(
             F.when(hexa, F.lit(KINDS[3])).otherwise(F.lit(KINDS[4])).alias("kind"),
             F.when(hexa, F.lit(3)).otherwise(F.lit(4)).alias("rank"),
-            F.when(f["first"] >= 0, s["start"] + f["first"]).otherwise(F.lit(-1)).alias("start"),
+            (s["start"] + f["first"]).alias("start"),
             (s["start"] + f["last"] + WINDOW).alias("end"), s["hit"].alias("hit")))
 
-    return F.filter(F.transform(candidates, scored), lambda s: s["start"] >= 0)
+    return F.flatten(F.transform(candidates, scored))
 
 
 def scan(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:

@@ -186,6 +186,24 @@ def test_allowed_parts_do_not_hide_the_rest_of_a_run(spark):
     assert not any(key in masked[i] for i in (1, 2, 3)) and masked[4] == "see [SECRET] here"
 
 
+def test_hot_windows_far_apart_are_spans_of_their_own(spark):
+    rng = random.Random(9)
+    one, two = ("".join(rng.choice(secrets.BASE64_SYMBOLS[:62]) for _ in range(40)) for _ in range(2))
+    clean = "/aa/bb" * 30
+    frame = spark.createDataFrame([(1, one + clean + two)], "doc_id long, text string")
+    spans = [(s.start, s.end) for s in secrets.scan(frame).head().spans]
+    run = one + clean + two
+    hot = [k for k in range(len(run) - 19) if entropy(run[k:k + 20]) >= secrets.BASE64_BITS - 1e-9]
+    want = []
+    for k in hot:
+        if want and k <= want[-1][1]:
+            want[-1] = (want[-1][0], k + 20)
+        else:
+            want.append((k, k + 20))
+    assert spans == want and len(spans) == 2
+    assert "/aa/bb" * 20 in secrets.redact(frame).head().text
+
+
 def test_redaction(spark, docs, no_docs):
     hexa = "0123456789abcdef0123"
     rows = [(1, f"é token = '{hexa}' and {hexa}", 9), (2, "plain", 5), (3, None, None)]
