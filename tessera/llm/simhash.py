@@ -145,26 +145,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = materialise(docs.select(
         F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col), shingle).alias("fp")),
         "fingerprints")
+    return _grouped(marked, max_bits, pair_limit).select(
+        F.col("doc_id").alias(id_col), "fp", "component_id")
+
+
+def _grouped(marked: DataFrame, max_bits: int, pair_limit: int = 32) -> DataFrame:
+    """Rows of ``marked(doc_id, fp, ...)`` with the ``root`` of their group and its least id."""
     classes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = connected_components(links(classes.select("fp"), max_bits, pair_limit))
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     rooted = materialise(rooted, "rooted")
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(
-        F.col("doc_id").alias(id_col), F.col("fp"), "component_id")
+    named = rooted.select("fp", "root").join(least, "root")
+    return marked.join(named, "fp")
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with the least id.
+    """``docs`` with one document of each near-duplicate group: the one with the
+    least id and, among those, the least hash of the row.
 
-    Rows that repeat that id count once.  Rows without an id cannot be
-    named as a representative and stay.
+    Rows that are the same in every column count once.  Rows without an id
+    cannot be named as a representative and stay.
     """
-    groups = near_duplicates(docs, id_col, text_col, shingle, max_bits)
-    chosen = groups.filter(F.col("component_id").isNotNull()).select(
-        F.col("component_id").alias(id_col)).distinct()
-    kept = docs.join(chosen, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.filter(F.col(id_col).isNull())).select(docs.columns)
+    tag = "__row_key"
+    keyed = docs.withColumn(tag, F.xxhash64(*docs.columns))
+    marked = materialise(keyed.select(
+        F.col(id_col).alias("doc_id"), F.col(tag).alias("row_key"),
+        fingerprint_column(F.col(text_col), shingle).alias("fp")), "fingerprints")
+    chosen = _grouped(marked, max_bits).filter("doc_id is not null").groupBy("root").agg(
+        F.min(F.struct("doc_id", "row_key")).alias("x")).select(
+            F.col("x.doc_id").alias(id_col), F.col("x.row_key").alias(tag))
+    kept = keyed.join(chosen, [id_col, tag], "left_semi").dropDuplicates([id_col, tag])
+    return kept.select(docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

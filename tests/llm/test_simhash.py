@@ -94,3 +94,14 @@ def test_one_representative_per_group(spark, docs):
     ids = [r.doc_id for r in kept.collect()]
     want = {c for _, _, c in brute_components([r[:2] for r in edge_rows()], 2) if c is not None}
     assert sorted(i for i in ids if i is not None) == sorted(want) and ids.count(None) == 1
+
+
+def test_different_texts_of_one_id_each_have_a_representative(spark):
+    texts = [" ".join(f"{w}{i}" for i in range(60)) for w in ("a", "b", "c")]
+    rows = [(1, texts[0], "x"), (1, texts[1], "y"), (1, texts[1], "y"), (2, texts[0], "z"), (3, texts[2], "x"),
+            (1, texts[0], "w")]
+    frames = [spark.createDataFrame(r, "doc_id long, text string, source string").repartition(n)
+              for r, n in ((rows, 1), (rows[::-1], 4))]
+    kept = [sorted(tuple(r) for r in simhash.keep_representatives(f).collect()) for f in frames]
+    assert kept[0] == kept[1]
+    assert sorted(t for _, t, _ in kept[0]) == sorted(texts) and [i for i, _, _ in kept[0]] == [1, 1, 3]
