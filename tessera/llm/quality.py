@@ -15,8 +15,8 @@ at most).  Scoring is one scan without a shuffle.
 
 Defined results: a NULL or blank text has no words, zero counts and
 fails the base rules; with no labelled target the ratio is 0 for every
-document and only the base rules decide; a repeated label or a repeated
-row counts each time; an empty table gives an empty result; other
+document and only the base rules decide; a repeated label counts once, a
+repeated row each time; an empty table gives an empty result; other
 columns are ignored (``filter_documents`` returns them untouched).
 """
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, let, materialise, words_of
+from tessera.llm.common import let, materialise
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -35,31 +35,40 @@ TARGET_DOCS = 50_000
 THRESHOLD = -0.12
 
 
+def _words(text: Column) -> Column:
+    """The words of ``text`` in order; cheaper than matching each of them."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", -1), "")
+
+
 def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _grams(hashes: Column, buckets: int) -> Column:
-    """Bucket of every word and of every pair of neighbours, from word hashes."""
-    return F.concat(
-        F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int")),
-        F.zip_with(F.slice(hashes, F.lit(1), F.greatest(F.size(hashes) - 1, F.lit(0))),
-                   F.slice(hashes, F.lit(2), F.greatest(F.size(hashes) - 1, F.lit(0))),
-                   lambda a, b: F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int")))
+def _bucket(h: Column, buckets: int) -> Column:
+    """``h`` modulo ``buckets``, never negative."""
+    low = h.bitwiseAND(F.lit(buckets - 1)) if not buckets & (buckets - 1) else F.pmod(h, F.lit(buckets))
+    return low.cast("int")
+
 
+def _pairs(hashes: Column) -> Column:
+    """Hash of every word and its next one, from word hashes.
+
+    ``let``: a filter that the optimizer pushes down would else compute the hashes for each element.
+    """
+    return let(hashes, lambda h: F.transform(
+        F.slice(h, F.lit(1), F.greatest(F.size(h) - 1, F.lit(0))),
+        lambda a, i: F.xxhash64(a, F.get(h, i + 1))))
 
-def _repeated_words(hashes: Column) -> Column:
+
+def _repeated_words(hashes: Column, pairs: Column) -> Column:
     """Words inside three-word windows that occur twice or more in the text.
 
-    Windows are compared by 64-bit hash; sorting (hash, position) puts
-    equal windows side by side.
+    Windows are compared by 64-bit hash (of their first pair and last word);
+    sorting (hash, position) puts equal windows side by side.
     """
-    def windows(h: Column) -> Column:
-        n = F.size(h)
-        return F.zip_with(
-            F.zip_with(F.slice(h, F.lit(1), n - 2), F.slice(h, F.lit(2), n - 2),
-                       lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-            F.slice(h, F.lit(3), n - 2), lambda ab, c: F.xxhash64(ab["a"], ab["b"], c))
+    windows = let(hashes, lambda h: F.transform(
+        F.slice(pairs, F.lit(1), F.greatest(F.size(h) - 2, F.lit(0))),
+        lambda ab, i: F.xxhash64(ab, F.get(h, i + 2))))
 
     def covered(w: Column) -> Column:
         placed = F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
@@ -71,21 +80,23 @@ def _repeated_words(hashes: Column) -> Column:
         return F.size(F.array_distinct(F.flatten(F.transform(hits, lambda e: F.array(
             e["i"], e["i"] + 1, e["i"] + 2, e["ni"], e["ni"] + 1, e["ni"] + 2)))))
 
-    return let(hashes, lambda h: F.when(F.size(h) < 4, F.lit(0)).otherwise(
-        let(windows(h), lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0))
-            .otherwise(covered(w)))))
+    return let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0))
+               .otherwise(covered(w)))
 
 
 def _duplicate_lines(text: Column) -> Column:
-    worded = F.filter(F.split(text, "\n", -1),
-                      lambda line: F.length(F.translate(line, SPACES, "")) > 0)
-    return let(worded, lambda lines: F.size(lines) - F.size(F.array_distinct(lines)))
-
-
+    """Lines with a word that equal an earlier line; most texts have no equal lines at all."""
+    worded = lambda lines: F.filter(lines, lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
+    surplus = lambda lines: F.size(lines) - F.size(F.array_distinct(lines))
+    return let(F.array_remove(F.split(text, "\n", -1), ""), lambda lines: F.when(
+        surplus(lines) == 0, F.lit(0)).otherwise(let(worded(lines), surplus)))
 
 
 def target_sample(good_ids: DataFrame, most: int = TARGET_DOCS) -> DataFrame:
-    """At most ``most`` of the good ids (column ``id``): those with the least hashes."""
+    """At most ``most`` of the good ids (column ``id``), drawn by their hashes alone.
+
+    Of many more ids a class of hashes, sized for a fifth more than ``most``, is looked
+    at first; of those the least hashes are taken."""
     ids = good_ids.select(F.col(good_ids.columns[0]).alias("id")).filter("id is not null").distinct()
     total = ids.count()
     place = F.xxhash64("id")
@@ -109,10 +120,15 @@ def ratio_model(corpus: DataFrame, good_ids: DataFrame, id_col: str = "doc_id",
     good = F.broadcast(target_sample(good_ids, target_docs)).withColumn("good", F.lit(1))
     flagged = corpus.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .join(good, "id", "left")
-    hashed = flagged.select("good", words_of(F.col("text")).alias("words")) \
-        .select("good", _hashes(F.col("words")).alias("hashes"))
-    # explode_outer: explode would add a filter that computes the arrays a second time
-    counts = (hashed.select("good", F.explode_outer(_grams(F.col("hashes"), buckets)).alias("bucket"))
+    # each word as a row, so that hashing and counting are compiled code; posexplode_outer: posexplode
+    # would add a filter that cuts the texts a second time
+    placed = flagged.select("good", _words(F.col("text")).alias("words")) \
+        .select("good", "words", F.posexplode_outer("words").alias("at", "word"))
+    following = F.get("words", F.col("at") + 1)
+    grams = F.array(
+        F.when(F.col("word").isNotNull(), _bucket(F.xxhash64("word"), buckets)),
+        F.when(following.isNotNull(), _bucket(F.xxhash64(F.xxhash64("word"), F.xxhash64(following)), buckets)))
+    counts = (placed.select("good", F.explode_outer(grams).alias("bucket")).filter("bucket IS NOT NULL")
               .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("good").alias("target")))
     table = (corpus.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
              .join(counts, "bucket", "left")
@@ -126,12 +142,13 @@ def ratio_model(corpus: DataFrame, good_ids: DataFrame, id_col: str = "doc_id",
     return materialise(dense.select(F.transform("cells", weight).alias("weights")), "ratio")
 
 
-def _score(hashes: Column, weights: Column, buckets: int) -> Column:
+def _score(hashes: Column, pairs: Column, weights: Column, buckets: int) -> Column:
     """Mean weight of the text's n-grams; 0 for a text without words."""
-    total = F.aggregate(_grams(hashes, buckets), F.lit(0.0),
-                        lambda acc, b: acc + F.get(weights, b))
+    total = lambda begin, grams: F.aggregate(
+        grams, begin, lambda acc, h: acc + F.get(weights, _bucket(h, buckets)))
     n = F.size(hashes)
-    return F.when(n == 0, F.lit(0.0)).otherwise(total / (2 * n - 1))
+    return F.when(n == 0, F.lit(0.0)).otherwise(
+        (total(F.lit(0.0), hashes) + total(F.lit(0.0), pairs)) / (2 * n - 1))
 
 
 def measured(docs: DataFrame, model: DataFrame, text_col: str = "text",
@@ -140,20 +157,22 @@ def measured(docs: DataFrame, model: DataFrame, text_col: str = "text",
     """``docs`` with the counts, ``ratio``, ``base_failed`` and ``kept`` (names under ``prefix``)."""
     p = prefix
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = (docs.withColumn(f"{p}words", words_of(F.col(text_col)))
-           .withColumn(f"{p}hashes", _hashes(F.col(f"{p}words"))))
-    hashes = F.col(f"{p}hashes")
+    own = "__quality_work_"
+    out = (docs.withColumn(f"{own}words", _words(F.col(text_col)))
+           .withColumn(f"{own}hashes", _hashes(F.col(f"{own}words")))
+           .withColumn(f"{own}pairs", _pairs(F.col(f"{own}hashes"))))
+    words, hashes, pairs = (F.col(f"{own}{c}") for c in ("words", "hashes", "pairs"))
     out = out.withColumns({
-        f"{p}n_words": F.size(f"{p}words").cast("long"),
-        f"{p}word_chars": F.length(F.translate(text, SPACES, "")).cast("long"),
-        f"{p}n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
+        f"{p}n_words": F.size(words).cast("long"),
+        f"{p}word_chars": F.length(F.array_join(words, "")).cast("long"),
+        f"{p}n_symbols": F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).cast("long"),
         f"{p}n_dup_lines": _duplicate_lines(text).cast("long"),
-        f"{p}n_repeat_words": _repeated_words(hashes).cast("long")}).drop(f"{p}words")
+        f"{p}n_repeat_words": _repeated_words(hashes, pairs).cast("long")}).drop(f"{own}words")
     # a subquery may not stand inside a higher-order function; as a column of its
     # own, used once, the optimizer folds it into the expression that reads it
-    out = (out.withColumn(f"{p}weights", model.select("weights").scalar())
-           .withColumn(f"{p}ratio", _score(hashes, F.col(f"{p}weights"), buckets))
-           .drop(f"{p}hashes", f"{p}weights"))
+    out = (out.withColumn(f"{own}weights", model.select("weights").scalar())
+           .withColumn(f"{p}ratio", _score(hashes, pairs, F.col(f"{own}weights"), buckets))
+           .drop(*[f"{own}{c}" for c in ("hashes", "pairs", "weights")]))
     failed = (F.col(f"{p}n_words") < MIN_WORDS) | \
         (100 * F.col(f"{p}n_repeat_words") > 50 * F.col(f"{p}n_words"))
     return (out.withColumn(f"{p}base_failed", failed)

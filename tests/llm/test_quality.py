@@ -73,8 +73,11 @@ def test_labelled_documents_are_told_apart(spark):
 def test_edge_cases(spark, docs, no_docs):
     good = spark.createDataFrame([(9,), (9,), (None,), (20,)], "doc_id long")
     model = quality.ratio_model(with_clashes(docs), good, buckets=64)
-    own = with_clashes(docs).drop("words", "hashes")
-    found = quality.measured(own, model, buckets=64, prefix="q_").select("doc_id", "text", "q_n_words", "q_ratio",
+    own = with_clashes(docs)
+    whole = quality.measured(own, model, buckets=64, prefix="q_")
+    assert whole.columns[:len(own.columns)] == own.columns
+    assert whole.filter("words <> 'x' OR hashes <> 'x'").count() == 0
+    found = whole.select("doc_id", "text", "q_n_words", "q_ratio",
                                                                           "q_n_repeat_words", "q_base_failed")
     want = [(i, t, brute_counts(t)[0], ratio, brute_counts(t)[4], brute_counts(t)[5]) for (i, t), (_, ratio) in zip(
         [r[:2] for r in edge_rows()], brute_ratios([r[:2] for r in edge_rows()], {9, 20}, 64))]
