@@ -35,6 +35,14 @@ _LOOSE_LINE = r'^"?(\[.*?\])"?,"?(\[.*\])"?,([^,"]*)$'
 # Tokens of a Python literal: a quoted text, or whatever stands between.
 _LITERAL_TOKEN = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+"|[^'"]++"""
 _ENTRIES = "array<map<string,string>>"
+# Marks that never stand in a text (Unicode noncharacters): fields of a line cut either way, a pair.
+_STRICT, _LOOSE, _PAIR_MARK = "\uffff", "\ufffe", "\uffff"
+_QUOTED = r"""(?:'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+")"""
+_PLAIN = r"(?:None|True|False|-?[0-9]++(?:\.[0-9]++)?(?:[eE][-+]?[0-9]++)?)"
+# What a list of flat dicts looks like once its pairs are marks.
+_FLAT_DICT = rf"\{{\s*+{_PAIR_MARK}(?:\s*+,\s*+{_PAIR_MARK})*+\s*+\}}"
+_FLAT_LIST = rf"^\s*+\[\s*+(?:{_FLAT_DICT}(?:\s*+,\s*+{_FLAT_DICT})*+)?\s*+\]\s*+$"
+_DICT = rf"\{{(?:[^'\"{{}}]++|{_QUOTED})*+\}}"
 
 
 def _col(c: str | Column) -> Column:
@@ -120,6 +128,24 @@ def with_names_compat(df: DataFrame, col: str, out: str, key: str = NAME_KEY,
     return with_words_after(df, col, key, n, out, squeeze_spaces=squeeze_spaces)
 
 
+def _token_to_json(t: Column) -> Column:
+    """A token of a Python literal as JSON: a quoted text, or what stands between two."""
+    body = F.substring(t, F.lit(2), F.length(t) - 2)
+    # the plain search first: most tokens need no pattern at all
+    escaped = F.regexp_replace(F.replace(body, F.lit("\\'"), F.lit("'")),
+                               r"\\x([0-9a-f]{2})", r"\\u00$1")
+    body = F.when(F.contains(body, F.lit("\\")), escaped).otherwise(body)
+    single = F.when(F.contains(body, F.lit('"')), F.regexp_replace(body, r'(?<!\\)"', r'\\"')) \
+        .otherwise(body)
+    quoted = F.concat(F.lit('"'), F.when(F.startswith(t, F.lit("'")), single).otherwise(body),
+                      F.lit('"'))
+    json = t
+    for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
+        json = F.regexp_replace(json, rf"\b{word}\b", value)
+    bare = F.when(F.rlike(t, F.lit("None|True|False")), json).otherwise(t)
+    return F.when(F.startswith(t, F.lit("'")) | F.startswith(t, F.lit('"')), quoted).otherwise(bare)
+
+
 def literal_to_json(c: str | Column) -> Column:
     """A Python list or dict literal as JSON text, token by token.
 
@@ -127,24 +153,23 @@ def literal_to_json(c: str | Column) -> Column:
     ``None``, ``True`` and ``False`` are replaced outside them only, so
     names may hold brackets, apostrophes or the word None.
     """
-    def turned(t: Column) -> Column:
-        body = F.substring(t, F.lit(2), F.length(t) - 2)
-        # the plain search first: most tokens need no pattern at all
-        escaped = F.regexp_replace(F.replace(body, F.lit("\\'"), F.lit("'")),
-                                   r"\\x([0-9a-f]{2})", r"\\u00$1")
-        body = F.when(F.contains(body, F.lit("\\")), escaped).otherwise(body)
-        single = F.when(F.contains(body, F.lit('"')), F.regexp_replace(body, r'(?<!\\)"', r'\\"')) \
-            .otherwise(body)
-        quoted = F.concat(F.lit('"'), F.when(F.startswith(t, F.lit("'")), single).otherwise(body),
-                          F.lit('"'))
-        json = t
-        for word, value in (("None", "null"), ("True", "true"), ("False", "false")):
-            json = F.regexp_replace(json, rf"\b{word}\b", value)
-        bare = F.when(F.rlike(t, F.lit("None|True|False")), json).otherwise(t)
-        return F.when(F.startswith(t, F.lit("'")) | F.startswith(t, F.lit('"')), quoted).otherwise(bare)
-
     tokens = F.regexp_extract_all(_col(c), F.lit(_LITERAL_TOKEN), F.lit(0))
-    return F.array_join(F.transform(tokens, turned), "")
+    return F.array_join(F.transform(tokens, _token_to_json), "")
+
+
+def _once(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _pair(key: str) -> str:
+    """A ``key: value`` pair of a flat dict; group 1 is the quoted value if the key is ``key``."""
+    return rf"""(?:'{key}'|"{key}")\s*+:\s*+({_QUOTED})|{_QUOTED}\s*+:\s*+(?:{_QUOTED}|{_PLAIN})"""
+
+
+def _skeleton(c: Column, key: str) -> Column:
+    """The list with a mark for each pair; only marks and brackets are left of a list of flat dicts."""
+    return F.regexp_replace(c, _pair(key), _PAIR_MARK)
 
 
 def entries(c: str | Column) -> Column:
@@ -153,18 +178,46 @@ def entries(c: str | Column) -> Column:
 
 
 def names_clean(c: str | Column, key: str = NAME_KEY) -> Column:
-    """Exact parse of a Python-style list of dicts: the ``key`` values."""
-    return F.transform(entries(c), lambda m: m[key])
+    """Exact parse of a Python-style list of dicts: the ``key`` values.
+
+    A list of flat dicts that all have a quoted value of the key is read by its pairs; any
+    other goes through :func:`entries` token by token.
+    """
+    def read(c: Column) -> Column:
+        quoted = F.filter(F.regexp_extract_all(c, F.lit(_pair(key)), F.lit(1)), lambda v: v != "")
+        return _once(F.struct(quoted.alias("q"), _skeleton(c, key).alias("s")), lambda x: F.when(
+            F.rlike(x["s"], F.lit(_FLAT_LIST)) & (F.size(x["q"]) == F.regexp_count(x["s"], F.lit(r"\{"))),
+            F.from_json(F.concat(F.lit("["), F.array_join(F.transform(x["q"], _token_to_json), ","), F.lit("]")),
+                        "array<string>")).otherwise(F.transform(entries(c), lambda m: m[key])))
+
+    return _once(_col(c), read)
+
+
+def names_where(c: str | Column, key: str, value: str, name: str = NAME_KEY) -> Column:
+    """The ``name`` of the dicts whose ``key`` is ``value``; of a list of flat dicts only those
+    that hold the value are parsed."""
+    def read(c: Column) -> Column:
+        some = F.filter(F.regexp_extract_all(c, F.lit(_DICT), F.lit(0)), lambda d: F.contains(d, F.lit(value)))
+        parsed = entries(F.when(F.rlike(_skeleton(c, name), F.lit(_FLAT_LIST)),
+                                F.concat(F.lit("["), F.array_join(some, ","), F.lit("]"))).otherwise(c))
+        return F.transform(F.filter(parsed, lambda m: m[key] == value), lambda m: m[name])
+
+    return _once(_col(c), read)
+
 
+def _csv_fields(line: Column) -> Column:
+    """The three CSV fields of a line, unquoted; a line whose quotes are not doubled as CSV
+    wants it is split at its lists, and one that is neither has empty fields."""
+    def cut(pattern: str, mark: str) -> Column:
+        return F.regexp_replace(line, pattern, f"{mark}$1{mark}$2{mark}$3")
 
-def _csv_field(line: Column, n: int) -> Column:
-    """The ``n``-th of three CSV fields, unquoted; a line whose quotes are not doubled
-    as CSV wants it is split at its lists."""
-    field = F.regexp_extract(line, _CSV_LINE, n)
-    bare = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
-    strict = F.when(F.startswith(field, F.lit('"')), bare).otherwise(field)
-    return F.when(F.rlike(line, F.lit(_CSV_LINE)), strict).otherwise(
-        F.regexp_extract(line, _LOOSE_LINE, n))
+    bare = lambda f: F.when(F.startswith(f, F.lit('"')), F.replace(
+        F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))).otherwise(f)
+    none = F.array(*[F.lit("")] * 3)
+    loose = _once(cut(_LOOSE_LINE, _LOOSE), lambda x: F.when(
+        F.startswith(x, F.lit(_LOOSE)), F.slice(F.split(x, _LOOSE, -1), 2, 3)).otherwise(none))
+    return _once(cut(_CSV_LINE, _STRICT), lambda x: F.when(
+        F.startswith(x, F.lit(_STRICT)), F.transform(F.slice(F.split(x, _STRICT, -1), 2, 3), bare)).otherwise(loose))
 
 
 def _two_words(name: Column, following: str, drop_digits: bool) -> Column:
@@ -184,13 +237,13 @@ def with_credits_parsed(df: DataFrame, raw: str, mode: str = "clean",
     cuts every name to two words (cast names without digits).  A line or
     list that is malformed gives NULL.
     """
-    line = F.col(raw)
-    people = df.select(
+    line, fields = F.col(raw), F.col("__fields")
+    cut = df.select(line, F.when(line.isNotNull(), _csv_fields(line)).alias("__fields"))   # once per line
+    people = cut.select(
         *([line] if keep_raw else []),
-        F.trim(_csv_field(line, 3)).try_cast("int").alias("id"),
-        names_clean(_csv_field(line, 1)).alias("actors"),
-        F.transform(F.filter(entries(_csv_field(line, 2)), lambda m: m[JOB_KEY] == DIRECTOR),
-                    lambda m: m[NAME_KEY]).alias("director"))
+        F.trim(F.get(fields, F.lit(2))).try_cast("int").alias("id"),
+        names_clean(F.get(fields, F.lit(0))).alias("actors"),
+        names_where(F.get(fields, F.lit(1)), JOB_KEY, DIRECTOR).alias("director"))
     if mode == "clean":
         return people
     return people.withColumns({

@@ -38,6 +38,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.ranking import numbered
+
 DEFAULT_MAX_VALUES = 1000
 
 _N = "__n_facts"
@@ -173,6 +175,37 @@ def demand_long(facts: DataFrame, users: DataFrame, column: str, mode: str = "ar
     return joined.groupBy(location, "value").agg(F.sum(_N).alias("n"))
 
 
+def demand_rows(facts: DataFrame, users: DataFrame, column: str, mode: str = "array",
+                measure: str | Column | None = None, fact_key: str = "id", user_key: str = "id",
+                location: str = "user_location") -> DataFrame:
+    """The whole matrix, one row per location: ``cells``, sorted (value, n, average) of the values
+    that occur there, and ``n_rows``, the rows of the FULL OUTER join (C8, A17-A19).
+
+    There is no limit on the number of values, and none reaches the driver.  ``n`` counts
+    fact rows that hold the value, or sums ``measure`` over them; ``average`` is ``n`` over the
+    location's fact rows.  What is grouped last is one row per location and value.
+    """
+    c = F.col(column)
+    m = (F.col(measure) if isinstance(measure, str) else measure) if mode == "measure" else F.lit(1)
+    value = F.array_distinct(c) if mode == "array" else F.array(c)
+    dim = users.select(F.col(user_key).alias(_UK), F.col(location).alias(location))
+    # NULL stands for the row itself: it is counted, whatever it holds
+    kind = facts.select(value.alias("v")).schema["v"].dataType
+    whole = F.array(F.lit(None).cast(kind.elementType))
+    exploded = facts.select(F.col(fact_key).alias(_FK), m.alias("__m"), F.explode(F.concat(
+        whole, F.coalesce(F.filter(value, lambda v: v.isNotNull()), F.array().cast(kind)))).alias("value"))
+    per_user = exploded.groupBy(_FK, "value").agg(F.count(F.lit(1)).alias(_N), F.sum("__m").alias("__s"))
+    joined = per_user.join(dim, per_user[_FK] == dim[_UK], "full_outer")
+    cells = joined.groupBy(location, "value").agg(
+        F.sum(F.coalesce(F.col(_N), F.lit(1))).alias("n_all"), F.sum(_N).alias("n_facts"), F.sum("__s").alias("n"))
+    rows = F.col("value").isNull()
+    return cells.groupBy(location).agg(
+        F.sum(F.when(rows, F.col("n_all"))).alias("n_rows"), F.sum(F.when(rows, F.col("n_facts"))).alias("__facts"),
+        F.array_sort(F.collect_list(F.when(~rows, F.struct("value", "n")))).alias("cells")) \
+        .select(location, "n_rows", F.transform("cells", lambda x: F.struct(
+            x["value"].alias("value"), x["n"].alias("n"), (x["n"] / F.col("__facts")).alias("average"))).alias("cells"))
+
+
 def demand_profile(facts: DataFrame, users: DataFrame, column: str, values: Sequence,
                    mode: str = "array", fact_key: str = "id", user_key: str = "id",
                    location: str = "user_location", how: str = "full_outer",
@@ -235,6 +268,16 @@ def array_domain(df: DataFrame, column: str, alias: str = "value") -> DataFrame:
               .distinct())
 
 
+def first_seen_domain(df: DataFrame, column: str, position: Sequence[str], name: str = "place") -> DataFrame:
+    """(value, place): distinct non-empty elements of an array column in the order they are
+    first seen (A20).  ``position`` are columns that order the rows, such as those of
+    :func:`tessera.sources.readers.with_position`; within a row the list's order counts."""
+    seen = df.select(F.posexplode(F.col(column)).alias("__at", "value"), *position) \
+        .where(F.col("value").isNotNull() & (F.col("value") != ""))
+    first = seen.groupBy("value").agg(F.min(F.struct(*position, "__at")).alias("first"))
+    return numbered(first, [F.asc("first")], name).select("value", name)
+
+
 def scalar_domain(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
     """Distinct non-NULL values of a scalar column."""
     alias = alias or column

@@ -86,3 +86,20 @@ def distinct_count(df: DataFrame, column: str, alias: str = "n_distinct",
     """Number of distinct values (A25); ``approx`` uses HyperLogLog++."""
     agg = F.approx_count_distinct(column) if approx else F.count_distinct(column)
     return df.agg(agg.alias(alias))
+
+
+# --- distinct counts that can be merged (A25) --------------------------------
+
+SKETCH_BITS = 16
+
+
+def distinct_sketches(df: DataFrame, keys: Sequence[str], column: str, bits: int = SKETCH_BITS) -> DataFrame:
+    """One HyperLogLog sketch of ``column`` per key, to be stored: later counts over any
+    union of keys need the sketches only."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(column, bits).alias("sketch"))
+
+
+def merged_distinct(sketches: DataFrame, keys: Sequence[str], alias: str = "n_distinct") -> DataFrame:
+    """Distinct values per (coarser) key from stored sketches; the relative error is about
+    1.04 / 2 ** (bits / 2), and counts far below 2 ** bits are exact."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(alias))

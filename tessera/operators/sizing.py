@@ -22,3 +22,10 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_ROW_LIMIT) -> DataFrame:
     """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``."""
     return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the session's cores if it has fewer partitions than those (a small
+    file of one row group, say), before work that is heavy per row; else ``df``."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

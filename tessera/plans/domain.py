@@ -15,9 +15,12 @@ Mapping (the SQL in ``oracle.py`` builds the same tables independently):
                     (returned line), else ``[]``.
 * ticket          = one ``lineitem`` row: user = order's customer,
                     movie = part, units = quantity, city = supplier region.
-* movie           = one ``part``: ``genres`` = name words; ``cities`` =
-                    supplier regions of its bulk sales (quantity >= 45);
-                    release = first bulk ship date.
+* movie           = one ``part``: ``genres`` = name words; ``cities`` = the
+                    supplier regions that sold at least a quarter of its
+                    units (NULL if none did); ``countries`` = nations of its suppliers;
+                    ``languages`` = first two letters of the cities;
+                    ``prod_comp`` = its brand's film company; release =
+                    ship date of its largest sale (ties: the latest).
 * credits         = a raw ``cast,crew,id`` text line built from ``part``.
 * curtain reading = one ``lineitem`` row: ``StartedOn`` = ship date as
                     ``d/M/yyyy HH:mm`` text, value = discount, face =
@@ -31,10 +34,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars, text
-from tessera.operators.sizing import broadcast_if_bounded
+from tessera.operators.sizing import broadcast_if_bounded, spread
 from tessera.plans.tables import table
 
-BULK_QUANTITY = 45.0
 ACTOR_DISCOUNT = 0.05
 
 
@@ -121,21 +123,39 @@ def tickets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, d: str) -> DataFrame:
-    """One row per part; parts without bulk sales have NULL cities/date."""
-    li = table(spark, d, "lineitem").where(F.col("l_quantity") >= BULK_QUANTITY) \
-        .select("l_partkey", "l_suppkey", "l_shipdate")
+    """One row per part; parts without sales have NULL cities and date."""
+    li = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
     sr = supplier_region(spark, d)
-    # (part, region) pairs first: bounded sets, partial-aggregated.
-    pairs = li.join(sr, li.l_suppkey == sr.s_suppkey) \
-        .groupBy("l_partkey").agg(F.sort_array(F.collect_set("r_name")).alias("cities"),
-                                  F.min("l_shipdate").alias("first_ship"))
+    # (part, region) sums first: bounded sets, partial-aggregated.
+    sold = li.join(sr, li.l_suppkey == sr.s_suppkey).groupBy("l_partkey", "r_name").agg(
+        F.sum("l_quantity").alias("units"), F.max(F.struct("l_quantity", "l_shipdate")).alias("largest"))
+    per_part = sold.groupBy("l_partkey").agg(
+        F.collect_list(F.struct("r_name", "units")).alias("regions"), F.sum("units").alias("units"),
+        F.max("largest")["l_shipdate"].alias("shipped"))
+    cities = F.array_sort(F.transform(
+        F.filter("regions", lambda r: 4 * r["units"] >= F.col("units")), lambda r: r["r_name"]))
+    sales = per_part.select("l_partkey", F.when(F.size(cities) > 0, cities).alias("cities"), "shipped")
     p = table(spark, d, "part").select("p_partkey", "p_name")
-    m = p.join(pairs, p.p_partkey == pairs.l_partkey, "left")
+    m = p.join(sales, p.p_partkey == sales.l_partkey, "left")
     return m.select(F.col("p_partkey").alias("id"),
                     F.split("p_name", " ").alias("genres"),
                     "cities",
-                    F.to_date("first_ship").alias("release_date"),
-                    F.year("first_ship").alias("year"))
+                    F.to_date("shipped").alias("release_date"),
+                    F.year("shipped").alias("year"))
+
+
+def searchable_movies(spark: SparkSession, d: str) -> DataFrame:
+    """Every movie with the seven lists that saved searches constrain."""
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    li = table(spark, d, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    nations = li.join(s, li.l_suppkey == s.s_suppkey).join(broadcast_if_bounded(n), F.col("s_nationkey") == n.n_nationkey) \
+        .groupBy("l_partkey").agg(F.array_sort(F.collect_set("n_name")).alias("countries"))
+    p = table(spark, d, "part").select("p_partkey", F.array(F.concat("p_brand", F.lit(" Films"))).alias("prod_comp"))
+    m = movies(spark, d).join(credits(spark, d), "id").join(nations, F.col("id") == nations.l_partkey, "left")
+    return m.join(p, m.id == p.p_partkey).select(
+        "id", "year", "genres", "cities", "actors", "director", "prod_comp", "countries",
+        F.array_distinct(F.transform("cities", lambda c: F.lower(F.substring(c, 1, 2)))).alias("languages"))
 
 
 def credits_raw(spark: SparkSession, d: str) -> DataFrame:
@@ -166,7 +186,7 @@ def credits_raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def credits(spark: SparkSession, d: str, mode: str = "compat") -> DataFrame:
-    return text.with_credits_parsed(credits_raw(spark, d), "cast,crew,id", mode=mode)
+    return text.with_credits_parsed(spread(credits_raw(spark, d)), "cast,crew,id", mode=mode)
 
 
 def curtain_text(spark: SparkSession, d: str) -> DataFrame:
@@ -203,35 +223,36 @@ def sensor(spark: SparkSession, d: str) -> DataFrame:
 
 
 def saved_searches(spark: SparkSession, d: str) -> DataFrame:
-    """One saved search per order, described by its first line (smallest
-    line number, then part, then supplier):
-    all-of actors = [part name]; all-of director = [part brand as the
-    credits parse renders it] for urgent orders only; any-of cities =
-    [supplier region]; other lists empty; released in or after the
-    order year - 4."""
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey",
-                                            "l_suppkey")
-    # line numbers repeat within an order: take the smallest
-    # (line, part, supplier) triple so "first line" is one row
-    first = li.groupBy("l_orderkey").agg(
-        F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("f")) \
-        .select("l_orderkey", F.col("f.l_partkey").alias("partkey"),
-                F.col("f.l_suppkey").alias("suppkey"))
-    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    """One saved search per order line: any-of genres = words of the part's name; released in
+    or after the order year - 4; by return flag all-of director = [the brand] (R), all-of
+    actors = [the name] (A) or any-of company = [the brand's company] (N), brand and name as the
+    credits parse renders them; by line status any-of cities = [supplier region] (O) or any-of
+    country = [supplier nation, customer nation] (F); on discounted lines any-of lang = the first
+    two letters of the supplier region.  Lists that are not set hold an empty string."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                            "l_returnflag", "l_linestatus", "l_discount")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_brand")
-    sr = supplier_region(spark, d)
-    j = o.join(first, o.o_orderkey == first.l_orderkey) \
-        .join(p, F.col("partkey") == p.p_partkey) \
-        .join(sr, F.col("suppkey") == sr.s_suppkey)
-    empty = F.array(F.lit(""))
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    n = broadcast_if_bounded(table(spark, d, "nation").select("n_nationkey", "n_name"))
+    home = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", F.col("n_name").alias("home"))
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    r = nation_region(spark, d)
+    seller = s.join(r, s.s_nationkey == r.n_nationkey).select("s_suppkey", "s_nationkey", "r_name")
+    seller = seller.join(n, seller.s_nationkey == n.n_nationkey).select("s_suppkey", "r_name", "n_name")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey) \
+        .join(seller, li.l_suppkey == seller.s_suppkey).join(home, F.col("o_custkey") == home.c_custkey)
+    only = lambda cond, *values: F.when(cond, F.array(*values)).otherwise(F.array(F.lit("")))
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
     return j.select(
-        F.col("o_orderkey").alias("search_id"),
-        F.array("p_name").alias("actors"),
-        F.when(F.col("o_orderpriority") == "1-URGENT",
-               F.array(F.regexp_replace("p_brand", "#", " "))).otherwise(empty).alias("director"),
-        F.array("r_name").alias("cities"),
-        empty.alias("genres"), empty.alias("lang"), empty.alias("country"),
-        empty.alias("company"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("search_id"),
+        only(flag == "A", F.col("p_name")).alias("actors"),
+        only(flag == "R", F.regexp_replace("p_brand", "#", " ")).alias("director"),
+        only(flag == "N", F.concat("p_brand", F.lit(" Films"))).alias("company"),
+        only(status == "O", F.col("r_name")).alias("cities"),
+        only(status == "F", F.col("n_name"), F.col("home")).alias("country"),
+        only(F.col("l_discount") >= ACTOR_DISCOUNT, F.lower(F.substring("r_name", 1, 2))).alias("lang"),
+        F.split("p_name", " ").alias("genres"),
         (F.year("o_orderdate") - 4).alias("date"))
 
 

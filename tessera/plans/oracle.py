@@ -129,6 +129,37 @@ SELECT SUM(units) AS total_units FROM (
   GROUP BY u.user_location)"""
 
 
+SQL["user_facts_outer"] = _with(USERS) + """
+SELECT e.user_id AS fact_user, e.event_type, u.id, u.user_location
+FROM events e FULL OUTER JOIN users_dim u ON e.user_id = u.id"""
+
+# the part table is stored by key
+SQL["domain_first_seen"] = """
+SELECT value, row_number() OVER (ORDER BY first) - 1 AS place FROM (
+  SELECT value, MIN({'k': p_partkey, 'i': i}) AS first FROM (
+    SELECT p_partkey, unnest(string_split(p_name, ' ')) AS value,
+           generate_subscripts(string_split(p_name, ' '), 1) AS i FROM part) GROUP BY value)"""
+
+_LOCATION_ROWS = """rows_of AS (
+  SELECT u.user_location, COUNT(*) AS n_rows, COUNT({f}.{k}) AS n_facts
+  FROM {f} FULL OUTER JOIN users_dim u ON {f}.{k} = u.id GROUP BY u.user_location)"""
+
+SQL["demand_sparse_rows"] = _with(USERS, TICKETS, _LOCATION_ROWS.format(f="tickets", k="user_id")) + """
+SELECT c.user_location, r.n_rows, c.value, c.n, ROUND(c.n / r.n_facts, 6) AS average FROM (
+  SELECT u.user_location, t.movie_id AS value, SUM(t.n_tickets) AS n
+  FROM tickets t LEFT JOIN users_dim u ON t.user_id = u.id GROUP BY u.user_location, t.movie_id) c
+JOIN rows_of r ON c.user_location IS NOT DISTINCT FROM r.user_location"""
+
+SQL["demand_sparse_counts"] = _with(USERS, SEARCHES, _LOCATION_ROWS.format(f="searches", k="id")) + """
+SELECT c.user_location, c.mode, r.n_rows, c.value, c.n, ROUND(c.n / r.n_facts, 6) AS average FROM (
+  SELECT u.user_location, 'array' AS mode, v.value, COUNT(*) AS n
+  FROM (SELECT id, unnest(list_distinct(genres)) AS value FROM searches) v LEFT JOIN users_dim u ON v.id = u.id
+  GROUP BY u.user_location, v.value
+  UNION ALL
+  SELECT u.user_location, 'scalar', CAST(s.year AS VARCHAR), COUNT(*)
+  FROM searches s LEFT JOIN users_dim u ON s.id = u.id GROUP BY u.user_location, s.year) c
+JOIN rows_of r ON c.user_location IS NOT DISTINCT FROM r.user_location"""
+
 # --- text ------------------------------------------------------------------
 
 def _after_marker_sql(words: str, marker: str, n: int) -> str:
@@ -271,6 +302,10 @@ FROM sensor"""
 
 SQL["distinct_models"] = _with(SENSOR) + "SELECT COUNT(DISTINCT model) AS n_models FROM sensor"
 
+SQL["distinct_users_merged"] = """
+SELECT event_type, COUNT(DISTINCT user_id) AS n_users FROM events GROUP BY event_type
+UNION ALL SELECT 'all', COUNT(DISTINCT user_id) FROM events"""
+
 SQL["distinct_devices"] = _with(SENSOR) + 'SELECT DISTINCT device AS "Device" FROM sensor'
 
 SQL["device_counts"] = _with(SENSOR) + """
@@ -279,18 +314,27 @@ SELECT device AS "Device", COUNT(*) AS n FROM sensor GROUP BY device"""
 
 # --- placement -------------------------------------------------------------
 
-MOVIES = """movies AS (
-  SELECT p.p_partkey AS id, string_split(p.p_name, ' ') AS genres, b.cities,
-         CAST(b.first_ship AS DATE) AS release_date, CAST(year(b.first_ship) AS INTEGER) AS year
-  FROM part p LEFT JOIN (
-    SELECT l.l_partkey, list_sort(list(DISTINCT r.r_name)) AS cities,
-           MIN(l.l_shipdate) AS first_ship
-    FROM lineitem l
-    JOIN supplier s ON l.l_suppkey = s.s_suppkey
-    JOIN nation n ON s.s_nationkey = n.n_nationkey
-    JOIN region r ON n.n_regionkey = r.r_regionkey
-    WHERE l.l_quantity >= 45
-    GROUP BY l.l_partkey) b ON p.p_partkey = b.l_partkey)"""
+MOVIES = """sold AS (
+  SELECT l.l_partkey, l.l_quantity, l.l_shipdate, r.r_name
+  FROM lineitem l
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey),
+part_cities AS (
+  SELECT l_partkey, list_sort(list(r_name)) AS cities FROM (
+    SELECT l_partkey, r_name, SUM(l_quantity) AS units,
+           SUM(SUM(l_quantity)) OVER (PARTITION BY l_partkey) AS whole
+    FROM sold GROUP BY l_partkey, r_name) WHERE 4 * units >= whole GROUP BY l_partkey),
+part_release AS (
+  SELECT l_partkey, l_shipdate AS shipped FROM (
+    SELECT l_partkey, l_shipdate,
+           row_number() OVER (PARTITION BY l_partkey ORDER BY l_quantity DESC, l_shipdate DESC) AS rk
+    FROM sold) WHERE rk = 1),
+movies AS (
+  SELECT p.p_partkey AS id, string_split(p.p_name, ' ') AS genres, c.cities,
+         CAST(r.shipped AS DATE) AS release_date, CAST(year(r.shipped) AS INTEGER) AS year
+  FROM part p LEFT JOIN part_cities c ON p.p_partkey = c.l_partkey
+  LEFT JOIN part_release r ON p.p_partkey = r.l_partkey)"""
 
 _CREDITS_CTES = [CREDIT_NAMES, CREDITS]
 
@@ -362,11 +406,33 @@ SQL["placement_lost"] = _base_sql(_PLACED) + """
 SELECT DISTINCT id FROM movies EXCEPT SELECT DISTINCT id FROM placed"""
 
 SQL["placement_orphan"] = _base_sql(_PLACED) + """
-SELECT DISTINCT id FROM placed EXCEPT SELECT DISTINCT id FROM movies WHERE id % 17 <> 0"""
+SELECT DISTINCT id FROM placed EXCEPT SELECT doc_id FROM documents"""
 
 SQL["placement_site_counts"] = _base_sql(_PLACED) + """
 SELECT site, COUNT(DISTINCT id) AS n_ids FROM placed GROUP BY site"""
 
+def _pieces_sql() -> str:
+    parts = []
+    for site, (rows, year, drop, split) in _SITES_SQL.items():
+        cols = [f"NULL AS {c}" if c in drop else _txt(c) for c in ("genres", "cities")] + [
+            "release_date", "year"] + [f"NULL AS {c}" if c in drop else _txt(c) for c in ("actors", "director")]
+        head = f"SELECT {_lit(site)} AS site, %s AS piece, id, {', '.join(cols)} FROM base WHERE " + _site_where(rows, year)
+        if split:
+            own = "list_has_any(genres, [" + ", ".join(_lit(v) for v in split) + "])"
+            parts.append(head % "'part'" + f" AND {own}")
+            parts.append("SELECT * FROM (" + head % "'rest'" + " EXCEPT " + head % "'rest'" + f" AND {own})")
+        else:
+            parts.append(head % "'all'")
+        if site != "north":
+            parts.append(f"SELECT {_lit(site)}, 'details', c.id, NULL, NULL, NULL, NULL, array_to_string(c.actors, '|'), "
+                         f"array_to_string(c.director, '|') FROM credits c WHERE c.id IN "
+                         f"(SELECT id FROM base WHERE {_site_where(rows, year)})")
+    return " UNION ALL ".join(parts)
+
+
+SQL["placement_written"] = _base_sql() + _pieces_sql()
+SQL["placement_manifest"] = _base_sql() + f"SELECT site, piece, COUNT(*) AS n_rows FROM ({_pieces_sql()}) GROUP BY site, piece"
+
 SQL["placement_union_ids"] = _base_sql(_PLACED) + "SELECT id FROM placed"
 
 # --- file round trips ------------------------------------------------------
@@ -398,6 +464,25 @@ SQL["string_index"] = _with(SENSOR) + """
 SELECT gt, CAST(row_number() OVER (ORDER BY COUNT(*) DESC, gt) - 1 AS DOUBLE) AS gt_index
 FROM sensor GROUP BY gt"""
 
+SQL["user_index"] = _with(SENSOR) + """
+SELECT usr AS value, COUNT(*) AS n, row_number() OVER (ORDER BY COUNT(*) DESC, usr) - 1 AS user_index
+FROM sensor GROUP BY usr"""
+
+SQL["user_index_rows"] = _with(SENSOR, """codes AS (
+  SELECT usr, row_number() OVER (ORDER BY COUNT(*) DESC, usr) - 1 AS code FROM sensor GROUP BY usr)""") + """
+SELECT "Index", code FROM sensor JOIN codes USING (usr)"""
+
+SQL["value_ranks"] = _with(SENSOR) + """
+SELECT "Index", x, rank() OVER (ORDER BY x DESC) AS rank, dense_rank() OVER (ORDER BY x DESC) AS dense_rank
+FROM sensor"""
+
+SQL["sorted_positions"] = _with(SENSOR) + """
+SELECT "Index", gt, x, row_number() OVER (ORDER BY gt, x DESC, "Index") AS position FROM sensor"""
+
+SQL["sorted_page"] = _with(SENSOR) + """
+SELECT "Index", gt, x, 100 + row_number() OVER (ORDER BY gt, x DESC, "Index") AS position FROM (
+  SELECT * FROM sensor ORDER BY gt, x DESC, "Index" LIMIT 50 OFFSET 100)"""
+
 SQL["device_suffix"] = _with(SENSOR) + """
 SELECT "Index", device AS "Device", TRY_CAST(split_part(device, '_', 2) AS INTEGER) - 1 AS device_code
 FROM sensor"""
@@ -409,9 +494,9 @@ SQL["code_lookup"] = _with(SENSOR) + 'SELECT "Index", CASE gt ' + " ".join(
        CASE device WHEN 'dev_1' THEN 0.0 WHEN 'dev_2' THEN 1.0 END::DOUBLE AS device_index
 FROM sensor"""
 
-SQL["user_onehot"] = _with(SENSOR) + 'SELECT "Index", ' + ", ".join(
-    f"CASE WHEN usr = '{i}' THEN 1 ELSE 0 END AS {_q('User_ID_' + str(i))}" for i in range(9)) + \
-    " FROM sensor"
+SQL["user_onehot"] = _with(SENSOR, """codes AS (
+  SELECT usr, row_number() OVER (ORDER BY MIN("Index" // 4000), usr) - 1 AS code FROM sensor GROUP BY usr)""") + """
+SELECT "Index", code, 1 AS value FROM sensor JOIN codes USING (usr)"""
 
 SQL["decode_json_bytes"] = SQL["json_scan"]
 
@@ -439,11 +524,22 @@ FROM per_epoch"""
 SQL["prequential_metrics_wide"] = SQL["prequential_metrics"].replace("// 2500", "// 100000")
 
 _LANGUAGE = """
-SELECT CASE WHEN CAST('0x' || substr(md5('42:' || doc_id), 1, 8) AS BIGINT) % 100 < 70 THEN 'train'
-            ELSE 'test' END AS split, COUNT(*) AS n_rows, TRUE AS meets_target
-FROM documents WHERE lang IS NOT NULL GROUP BY 1"""
+SELECT split, CAST(SUM(n) AS BIGINT) AS n_rows, ROUND(MAX(n) / SUM(n), 6) AS majority_share, TRUE AS beats_majority
+FROM (SELECT CASE WHEN CAST('0x' || substr(md5('42:' || doc_id), 1, 8) AS BIGINT) % 100 < 70 THEN 'train'
+                  ELSE 'test' END AS split, lang, COUNT(*) AS n
+      FROM documents WHERE lang IS NOT NULL GROUP BY 1, 2) GROUP BY split"""
 SQL["logistic_language"] = SQL["forest_language"] = _LANGUAGE
 
+SQL["prequential_forest"] = """
+SELECT epoch, n_rows, CAST(SUM(n_rows) OVER (ORDER BY epoch) AS BIGINT) AS cum_rows, TRUE AS scored
+FROM (SELECT event_id // 2500 AS epoch, COUNT(*) AS n_rows FROM events GROUP BY 1)"""
+
+SQL["prequential_tree"] = """
+SELECT epoch, n_rows, CAST(SUM(n_rows) OVER (ORDER BY epoch) AS BIGINT) AS cum_rows,
+       (SELECT ROUND(MAX(n) / SUM(n), 6) FROM (SELECT COUNT(*) AS n FROM documents
+        WHERE lang IS NOT NULL GROUP BY lang)) AS majority_share, TRUE AS beats_majority
+FROM (SELECT doc_id // 250 AS epoch, COUNT(*) AS n_rows FROM documents WHERE lang IS NOT NULL GROUP BY 1)"""
+
 # --- generic aggregates ----------------------------------------------------
 
 SQL["numeric_means_by_class"] = _with(SENSOR) + """
@@ -463,31 +559,48 @@ SELECT (SELECT COUNT(*) FROM searches) AS n_searches, (SELECT COUNT(*) FROM user
 
 # --- saved-search matching (brute force: every search against every movie) ---
 
-SQL["search_matches"] = _base_sql("""first_line AS (
-  SELECT l_orderkey, l_partkey AS partkey, l_suppkey AS suppkey FROM (
-    SELECT l_orderkey, l_partkey, l_suppkey,
-           row_number() OVER (PARTITION BY l_orderkey
-                              ORDER BY l_linenumber, l_partkey, l_suppkey) AS rk
-    FROM lineitem) WHERE rk = 1)""", """s AS (
-  SELECT o.o_orderkey AS search_id, [p.p_name] AS actors,
-         CASE WHEN o.o_orderpriority = '1-URGENT' THEN [replace(p.p_brand, '#', ' ')]
-              ELSE [] END AS director,
-         [r.r_name] AS cities, CAST(year(o.o_orderdate) AS INTEGER) - 4 AS date
-  FROM orders o
-  JOIN first_line f ON o.o_orderkey = f.l_orderkey
-  JOIN part p ON f.partkey = p.p_partkey
-  JOIN supplier su ON f.suppkey = su.s_suppkey
+_SEARCH = _base_sql("""nations AS (
+  SELECT l.l_partkey, list(DISTINCT n.n_name) AS countries
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY l.l_partkey)""", """m AS (
+  SELECT b.*, [p.p_brand || ' Films'] AS prod_comp, coalesce(n.countries, []) AS countries,
+         list_transform(coalesce(b.cities, []), lambda c: lower(substr(c, 1, 2))) AS languages
+  FROM base b JOIN part p ON b.id = p.p_partkey LEFT JOIN nations n ON b.id = n.l_partkey)""", """s AS (
+  SELECT l.l_orderkey * 10 + l.l_linenumber AS search_id, string_split(p.p_name, ' ') AS genres,
+         CASE WHEN l.l_returnflag = 'A' THEN [p.p_name] ELSE [] END AS actors,
+         CASE WHEN l.l_returnflag = 'R' THEN [replace(p.p_brand, '#', ' ')] ELSE [] END AS director,
+         CASE WHEN l.l_returnflag = 'N' THEN [p.p_brand || ' Films'] ELSE [] END AS company,
+         CASE WHEN l.l_linestatus = 'O' THEN [r.r_name] ELSE [] END AS cities,
+         CASE WHEN l.l_linestatus = 'F' THEN [n.n_name, hn.n_name] ELSE [] END AS country,
+         CASE WHEN l.l_discount >= 0.05 THEN [lower(substr(r.r_name, 1, 2))] ELSE [] END AS lang,
+         CAST(year(o.o_orderdate) AS INTEGER) - 4 AS date
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+  JOIN supplier su ON l.l_suppkey = su.s_suppkey
   JOIN nation n ON su.s_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey)""") + """
-SELECT s.search_id, COUNT(b.id) AS n_matches
-FROM s LEFT JOIN base b
-  ON list_has_all(coalesce(b.actors, []), s.actors)
- AND list_has_all(coalesce(b.director, []), s.director)
- AND list_has_any(coalesce(b.cities, []), s.cities)
- AND b.year >= s.date
-GROUP BY s.search_id"""
-SQL["search_pairs"] = SQL["search_matches"].replace(
-    "COUNT(b.id) AS n_matches", "b.id AS movie_id").replace("GROUP BY s.search_id", "")
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation hn ON c.c_nationkey = hn.n_nationkey)""", """keyed AS (
+  SELECT search_id, to_json([genres, actors, director, company, cities, country, lang, [CAST(date AS VARCHAR)]]) AS k,
+         genres, actors, director, company, cities, country, lang, date FROM s)""", """sets AS (
+  SELECT k, any_value(genres) AS genres, any_value(actors) AS actors, any_value(director) AS director,
+         any_value(company) AS company, any_value(cities) AS cities, any_value(country) AS country,
+         any_value(lang) AS lang, any_value(date) AS date FROM keyed GROUP BY k)""", """hits AS (
+  SELECT DISTINCT s.k, m.id
+  FROM (SELECT *, unnest(genres) AS word FROM sets) s
+  JOIN (SELECT *, unnest(genres) AS word FROM m) m ON s.word = m.word
+   AND m.year >= s.date
+   AND list_has_all(coalesce(m.actors, []), s.actors)
+   AND list_has_all(coalesce(m.director, []), s.director)
+   AND (len(s.company) = 0 OR list_has_any(m.prod_comp, s.company))
+   AND (len(s.cities) = 0 OR list_has_any(coalesce(m.cities, []), s.cities))
+   AND (len(s.country) = 0 OR list_has_any(m.countries, s.country))
+   AND (len(s.lang) = 0 OR list_has_any(m.languages, s.lang)))""")
+SQL["search_matches"] = _SEARCH + """
+SELECT keyed.search_id, coalesce(n.n_matches, 0) AS n_matches
+FROM keyed LEFT JOIN (SELECT k, COUNT(*) AS n_matches FROM hits GROUP BY k) n USING (k)"""
+SQL["search_pairs"] = _SEARCH + """
+SELECT keyed.search_id, hits.id AS movie_id FROM keyed LEFT JOIN hits USING (k)"""
 
 
 SQL["demand_array_matrix_discovered"] = SQL["demand_array_matrix"]
@@ -617,3 +730,6 @@ SELECT CASE WHEN event_id % 10 NOT IN (0, 2) THEN CAST(event_id AS BIGINT) END A
        CASE event_id % 10 WHEN 0 THEN substr(whole, 1, 12) WHEN 2 THEN '{}' ELSE whole END AS raw_text,
        event_id % 10 = 0 AS is_corrupt
 FROM w"""
+
+SQL["stream_dead_letters"] = f"""
+SELECT "Index", "Device", CASE WHEN is_corrupt THEN raw_text END AS raw_text FROM ({SQL['decode_json_corrupt']})"""

@@ -7,6 +7,7 @@ the data and a streaming source needs the schema up front anyway.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -69,3 +70,8 @@ def read_kafka(spark: SparkSession, servers: str, topic: str,
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A typed table with no rows."""
     return spark.createDataFrame([], schema)
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """A Parquet scan with ``__file`` and ``__row``: where each row stands in the input."""
+    return df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))

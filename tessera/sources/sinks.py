@@ -3,13 +3,19 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import placement as pl
+from tessera.session import scratch_path
+from tessera.streaming.replay import read_text, write_text
+
+_MANIFEST = "_manifest.json"
 
 
 def arrays_as_text(df: DataFrame) -> DataFrame:
@@ -64,3 +70,73 @@ def write_placement(base: DataFrame, details: DataFrame, specs: Sequence[pl.Frag
             write_table(df, path, fmt)
             out[f"{spec.site}/{name}"] = path
     return out
+
+
+def pieces_of(spec: pl.FragmentSpec) -> list[str]:
+    """The pieces a site stores."""
+    return (["part", "rest"] if spec.split_any_of else ["all"]) + (["details"] if spec.store_details else [])
+
+
+def write_pieces(base: DataFrame, details: DataFrame, specs: Sequence[pl.FragmentSpec], root: str,
+                 key: str = "id") -> dict[str, int]:
+    """Every site's pieces in one pass: ``root/site=<site>/piece=<piece>``.
+
+    Each row of the base table is tagged with the pieces it belongs to and exploded
+    once, and one job writes all of them.  Equal rows of a rest are one row (EXCEPT);
+    attributes a site does not store are NULL there, and :func:`read_piece` leaves them
+    out.  Detail rows follow the sites of their key.  The counts come from an
+    ``Observation`` of that job and are kept as a manifest; "<site>/<piece>" -> rows.
+    """
+    spark = base.sparkSession
+    path = scratch_path(spark, "placement_base")
+    base.write.parquet(path)                              # parsed and joined once
+    stored = spark.read.schema(base.schema).parquet(path)
+    tags, owners = [], []
+    for spec in specs:
+        here = F.coalesce(pl.site_condition(spec), F.lit(False))
+        tag = lambda cond, piece: F.when(cond, F.struct(
+            F.lit(spec.site).alias("site"), F.lit(piece).alias("piece")))
+        if spec.split_any_of:
+            own = F.coalesce(pl._any_of(spec.split_column, spec.split_any_of), F.lit(False))
+            tags += [tag(here & own, "part"), tag(here & ~own, "rest")]
+        else:
+            tags.append(tag(here, "all"))
+        if spec.store_details:
+            owners.append(F.when(here, F.lit(spec.site)))
+    present = lambda values: F.filter(F.array(*values), lambda x: x.isNotNull())
+    dropped = {c: [s.site for s in specs if c in s.drop] for c in base.columns}
+    kept = [F.when(F.col("t.site").isin(sites), None).otherwise(F.col(c)).alias(c) if sites else F.col(c)
+            for c, sites in dropped.items()]
+    rows = stored.withColumn("t", F.explode(present(tags))).select("t.site", "t.piece", *kept)
+    rows = rows.groupBy("site", "piece", *base.columns).agg(F.count(F.lit(1)).alias("__times"))
+    times = F.when(F.col("piece") == "rest", 1).otherwise(F.col("__times").cast("int"))
+    rows = rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).drop("__times", "__copy")
+    if owners:
+        sites = stored.select(key, F.explode(present(owners)).alias("site")).distinct()
+        rows = rows.unionByName(details.join(sites, key).withColumn("piece", F.lit("details")), allowMissingColumns=True)
+    names = [(s.site, p) for s in specs for p in pieces_of(s)]
+    seen = Observation(f"pieces_{uuid.uuid4().hex[:8]}")
+    rows.observe(seen, *[F.count(F.when((F.col("site") == s) & (F.col("piece") == p), 1)).alias(f"n{i}")
+                         for i, (s, p) in enumerate(names)]) \
+        .write.mode("overwrite").partitionBy("site", "piece").parquet(root)
+    counts = {f"{s}/{p}": seen.get[f"n{i}"] for i, (s, p) in enumerate(names)}
+    schema = rows.drop("site", "piece").schema
+    write_text(spark, f"{root}/{_MANIFEST}", json.dumps({"counts": counts, "schema": schema.json()}))
+    return counts
+
+
+def manifest(spark: SparkSession, root: str) -> dict[str, int]:
+    """"<site>/<piece>" -> rows, as written."""
+    return json.loads(read_text(spark, f"{root}/{_MANIFEST}"))["counts"]
+
+
+def read_piece(spark: SparkSession, root: str, spec: pl.FragmentSpec, piece: str,
+               columns: Sequence[str] | None = None) -> DataFrame:
+    """One piece with the columns its site stores (of ``columns``, default all)."""
+    told = json.loads(read_text(spark, f"{root}/{_MANIFEST}"))
+    schema = T.StructType.fromJson(json.loads(told["schema"]))
+    drop = () if piece == "details" else spec.drop
+    wanted = [c for c in (columns or schema.names) if c not in drop]
+    if not told["counts"][f"{spec.site}/{piece}"]:        # nothing written, no folder
+        return spark.createDataFrame([], schema).select(wanted)
+    return spark.read.schema(schema).parquet(f"{root}/site={spec.site}/piece={piece}").select(wanted)

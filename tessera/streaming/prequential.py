@@ -50,7 +50,9 @@ def _model_class(learner):
 
 
 def save_model(spark: SparkSession, model, path: str) -> None:
-    if isinstance(model, MajorityClassModel):
+    if hasattr(model, "to_json"):
+        write_text(spark, f"{path}/model.json", model.to_json())
+    elif isinstance(model, MajorityClassModel):
         # one value: a few bytes of JSON, no Spark job needed
         write_text(spark, f"{path}/model.json", json.dumps(
             {"value": model.value, "counts": list(model.counts.items())}))
@@ -60,6 +62,8 @@ def save_model(spark: SparkSession, model, path: str) -> None:
 
 
 def load_model(spark: SparkSession, learner, path: str):
+    if hasattr(learner, "load"):
+        return learner.load(read_text(spark, f"{path}/model.json"))
     if isinstance(learner, MajorityClass):
         saved = json.loads(read_text(spark, f"{path}/model.json"))
         return MajorityClassModel(saved["value"], {k: n for k, n in saved["counts"]})
