@@ -68,6 +68,65 @@ def cumulative_starts(pieces: Column, matches: Column) -> Column:
         F.array().cast("array<int>")))
 
 
+CHUNK = 1024
+
+
+def chunked(text: Column) -> Column:
+    """The text in pieces of ``CHUNK`` code points, cut in one pass."""
+    return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+
+
+def cut(chunks: Column, begin: Column, end: Column) -> Column:
+    """Code points ``begin`` to ``end`` (exclusive) of a chunked text.
+
+    Costs no more than the part and two chunks; ``substring`` of the whole text would
+    count from its start each time.
+    """
+    a, b = (begin / CHUNK).cast("int"), (end / CHUNK).cast("int")
+    skip = begin - a * CHUNK
+    part = lambda i: F.coalesce(F.get(chunks, i), F.lit(""))
+    return F.when(a == b, F.substring(part(a), skip + 1, end - begin)).otherwise(F.concat(
+        F.substring(part(a), skip + 1, F.lit(CHUNK)), F.array_join(F.slice(chunks, a + 2, b - a - 1), ""),
+        F.substring(part(b), F.lit(1), end - b * CHUNK)))
+
+
+def running_max(values: Column) -> Column:
+    """For each number of an array the greatest one up to it, in blocks as :func:`cumulative_starts`."""
+    block = 256
+    number, numbers = "int", "array<int>"
+
+    def run(chunk: Column, most: Column) -> Column:
+        zero = F.struct(most.cast(number).alias("most"), F.array().cast(numbers).alias("out"))
+        return F.aggregate(chunk, zero, lambda acc, v: let(F.greatest(acc["most"], v), lambda m: F.struct(
+            m.alias("most"), F.concat(acc["out"], F.array(m)).alias("out"))))
+
+    def blocks(every: Column) -> Column:
+        count = F.ceil(F.size(every) / F.lit(block)).cast("int")
+        chunks = F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(every, b * block + 1, F.lit(block)))
+        zero = F.struct(F.lit(-1).alias("most"), F.array().cast("array<array<int>>").alias("parts"))
+        return F.flatten(F.aggregate(chunks, zero, lambda acc, c: let(run(c, acc["most"]), lambda r: F.struct(
+            r["most"].alias("most"), F.concat(acc["parts"], F.array(r["out"])).alias("parts"))))["parts"])
+
+    return let(values.cast(numbers), lambda v: F.when(F.size(v) > 0, blocks(v)).otherwise(F.array().cast(numbers)))
+
+
+def reaches(spans: Column, places: Column, inclusive: bool) -> Column:
+    """For each of ``places`` the greatest end of the spans that start before it (or at it, if
+    ``inclusive``), -1 for none.  One sort and one pass, however many there are."""
+    first, second = (0, 1) if inclusive else (1, 0)
+    event = lambda at, order, end, i: F.struct(
+        at.cast("int").alias("at"), F.lit(order).alias("order"), end.cast("int").alias("end"), i.cast("int").alias("i"))
+    events = F.sort_array(F.concat(
+        F.transform(spans, lambda s: event(s["start"], first, s["end"], F.lit(-1))),
+        F.transform(places, lambda p, i: event(p, second, F.lit(-1), i))))
+    told = let(events, lambda e: F.filter(F.zip_with(
+        e, running_max(F.transform(e, lambda x: x["end"])),
+        lambda x, m: F.struct(x["i"].alias("i"), m.alias("reach"))), lambda x: x["i"] >= 0))
+    found = F.transform(F.sort_array(told), lambda x: x["reach"])
+    none = F.transform(places, lambda p: F.lit(-1))
+    return F.when(F.size(spans) == 0, none).otherwise(found)
+
+
 SPAN = "array<struct<kind:string,rank:int,start:int,end:int,hit:string>>"
 
 

@@ -42,7 +42,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPAN, find_spans, let, materialise, sort_spans
+from tessera.llm.common import (SPAN, chunked, cut, find_spans, let, materialise, reaches,
+                                sort_spans)
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -119,12 +120,11 @@ def _vote(yes: Column, no: Column | None = None) -> Column:
     return (vote.when(no, -1) if no is not None else vote).otherwise(0)
 
 
-def _described(text: Column, s: Column, kind: str, loose: bool) -> Column:
+def _described(chunks: Column, s: Column, kind: str, loose: bool) -> Column:
     """A match with its votes and features."""
     ok = F.lit(False) if loose else valid(kind, s["hit"])
-    before = F.substring(text, F.greatest(s["start"] - BEFORE, F.lit(0)) + 1,
-                         F.least(s["start"], F.lit(BEFORE)))
-    after = F.substring(text, s["end"] + 1, F.lit(1))
+    before = cut(chunks, F.greatest(s["start"] - BEFORE, F.lit(0)), s["start"])
+    after = cut(chunks, s["end"], s["end"] + 1)
     last = F.right(before, F.lit(1))
 
     def body(m: Column) -> Column:
@@ -153,8 +153,8 @@ def _described(text: Column, s: Column, kind: str, loose: bool) -> Column:
                         last.alias("last"), after.alias("after")), body)
 
 
-def _describe_all(text: Column, spans: Column, kind: str, loose: bool) -> Column:
-    return F.transform(spans, lambda s: _described(text, s, kind, loose))
+def _describe_all(chunks: Column, spans: Column, kind: str, loose: bool) -> Column:
+    return F.transform(spans, lambda s: _described(chunks, s, kind, loose))
 
 
 def candidates(text: Column) -> Column:
@@ -166,19 +166,28 @@ def candidates(text: Column) -> Column:
                ("phone", PHONE, False, F.contains(text, F.lit("+"))),
                ("email", EMAIL_LOOSE, True, has(r"[\[({](?:at|AT|@)[\])}]")),
                ("phone", PHONE_LOOSE, True, has(r"[0-9]{3}[-.\x20][0-9]{4}"))]
-    parts = []
-    for kind, pattern, loose, gate in sources:
-        spans = find_spans(text, pattern, kind, 0, gate)
-        if kind == "card":        # short numbers are no candidates at all
-            spans = F.filter(spans, lambda s: F.length(_digits(s["hit"])).between(*CHECK_DIGITS))
-        parts.append(_describe_all(text, spans, kind, loose))
+    def described(chunks: Column) -> Column:
+        parts = []
+        for kind, pattern, loose, gate in sources:
+            spans = find_spans(text, pattern, kind, 0, gate)
+            if kind == "card":        # short numbers are no candidates at all
+                spans = F.filter(spans, lambda s: F.length(_digits(s["hit"])).between(*CHECK_DIGITS))
+            parts.append(_describe_all(chunks, spans, kind, loose).cast(CANDIDATE))
+        return F.concat(*parts)
 
     def settle(every: Column) -> Column:
-        base = F.filter(every, lambda c: c["base"])
-        return let(base, lambda b: F.filter(every, lambda c: c["base"] | ~F.exists(
-            b, lambda k: (k["start"] < c["end"]) & (c["start"] < k["end"]))))
-
-    return let(F.concat(*[p.cast(CANDIDATE) for p in parts]), settle)
+        """Without the loose ones that overlap a base span."""
+        return let(F.filter(every, lambda c: c["loose"]), lambda loose: F.when(F.size(loose) == 0, every).otherwise(
+            let(F.filter(every, lambda c: c["base"]), lambda base: let(
+                reaches(base, F.transform(loose, lambda c: c["end"]), False), lambda reach: F.concat(
+                    F.filter(every, lambda c: ~c["loose"]),
+                    F.filter(loose, lambda c, i: F.get(reach, i) <= c["start"]))))))
+
+    empty = F.array().cast(CANDIDATE)
+    some = F.lit(False)
+    for _, _, _, gate in sources:
+        some = some | gate
+    return F.when(some, let(chunked(text), lambda chunks: let(described(chunks), settle))).otherwise(empty)
 
 
 Tables = list[list[list[float]]]

@@ -16,7 +16,8 @@ each text is handled whole, in its own row.
 
 Defined results: a NULL or empty text has no spans; the run of a very
 long text is scanned whole; repeated rows each get their row; an empty
-table gives an empty result; other columns are left as they are.
+table gives an empty result; other columns are left as they are, but for one
+that has the name of a result column.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPAN, find_spans, join_spans, let, sort_spans
+from tessera.llm.common import (SPAN, chunked, cut, find_spans, join_spans, let, reaches,
+                                running_max, sort_spans)
 
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
           r"([A-Za-z0-9+/_.=-]+)")
@@ -170,10 +172,11 @@ def entropy_spans(text: Column) -> Column:
 def scan(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with ``base`` and ``spans`` (arrays of kind, rank, start, end in code points)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    b, a = f"{prefix}base", f"{prefix}added"
-    out = docs.withColumn(b, sort_spans(base_spans(text))).withColumn(a, entropy_spans(text))
-    outside = F.filter(F.col(a), lambda s: ~F.exists(
-        F.col(b), lambda k: (k["start"] <= s["start"]) & (s["end"] <= k["end"])))
+    b, a = f"{prefix}base", "__secret_added"
+    out = docs.withColumns({f"{prefix}base": sort_spans(base_spans(text)), a: entropy_spans(text)})
+    inside = reaches(F.col(b), F.transform(a, lambda s: s["start"]), True)
+    outside = F.when(F.size(a) == 0, F.col(a)).otherwise(let(inside, lambda reach: F.filter(
+        F.col(a), lambda s, i: F.get(reach, i) < s["end"])))
     return out.withColumn(f"{prefix}spans", sort_spans(F.concat(
         F.transform(F.col(b), lambda s: F.struct(s["kind"], s["rank"], s["start"], s["end"],
                                                  F.lit("").alias("hit"))).cast(SPAN),
@@ -188,6 +191,19 @@ def digest(scanned: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
                           join_spans(F.col("spans")).alias("spans"))
 
 
+def merged(spans: Column) -> Column:
+    """(start, end) of what sorted spans cover, one for those that overlap."""
+    def heads(spans: Column, reach: Column) -> Column:
+        last = F.size(spans) - 1
+        first = F.filter(F.sequence(F.lit(0), last), lambda i: (i == 0) | (
+            F.get(spans, i)["start"] >= F.get(reach, i - 1)))
+        return let(first, lambda f: F.transform(f, lambda i, k: F.struct(
+            F.get(spans, i)["start"].alias("start"),
+            F.get(reach, F.coalesce(F.get(f, k + 1) - 1, last)).alias("end"))))
+
+    return let(spans, lambda s: let(running_max(F.transform(s, lambda x: x["end"])), lambda reach: heads(s, reach)))
+
+
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars",
            mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span of the text replaced by ``mask``.
@@ -197,15 +213,19 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """
     tag = "__secret_"
     text, spans = F.col(text_col), F.col(f"{tag}spans")
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    step = lambda acc, s: F.when(s["start"] < acc["at"], F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))).otherwise(F.struct(
-            s["end"].alias("at"), F.concat(acc["out"], F.array(
-                F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).alias("out")))
-    cut = F.aggregate(spans, zero, step, lambda acc: F.concat(
-        F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+
+    def masked(chunks: Column) -> Column:
+        def joined(m: Column) -> Column:
+            """The texts between the masks, from the end of one to the start of the next."""
+            begins = F.concat(F.array(F.lit(0)), F.transform(m, lambda x: x["end"]))
+            ends = F.concat(F.transform(m, lambda x: x["start"]), F.array(F.length(text)))
+            return F.array_join(F.zip_with(begins, ends, lambda a, b: cut(chunks, a, b)), mask)
+
+        return let(merged(spans), joined)
+
+    cut_text = let(chunked(text), masked)
     out = scan(docs, text_col, tag).withColumn(
-        f"{tag}text", F.when(F.size(spans) > 0, cut).otherwise(text))
+        f"{tag}text", F.when(F.size(spans) > 0, cut_text).otherwise(text))
     changes = {text_col: F.col(f"{tag}text")}
     if length_col in docs.columns:
         changes[length_col] = F.when(F.size(spans) > 0, F.length(f"{tag}text").cast(
