@@ -33,6 +33,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from tessera.operators.ranking import value_codes, with_codes
 
 LEAST, NORMAL, MOST = 16, 64, 256
 STRICT, LOOSE = 0xFF00, 0xF000          # 8 and 4 of the upper bits of a 16-bit hash
@@ -137,12 +140,19 @@ def _range_of(bounds: np.ndarray):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  ranges: int | None = None) -> DataFrame:
-    """Per row: id (an integer), length, digest of the edited text, both fingerprints, and how
+    """Per row: id, length, digest of the edited text, both fingerprints, and how
     much of the row's fingerprint that of the edited text and of the next document contains.
 
     ``ranges`` (default: twice the session's shuffle partitions) only spreads the work.
+    Ids that are no integers are numbered in their order first.
     """
     spark = docs.sparkSession
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        codes = value_codes(docs.select(id_col), id_col, by_frequency=False)
+        rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        found = fingerprints(with_codes(rows, "id", codes).select("code", "text"), "code", "text", ranges)
+        names = codes.select(F.col("code").alias("doc_id"), F.col("value").alias("__id"))
+        return found.join(names, "doc_id", "left").select(F.col("__id").alias("doc_id"), *_COLUMNS)
     kind = docs.schema[id_col].dataType.simpleString()
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
@@ -168,9 +178,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pd.Series([[r, g] if f else [r] for r, g, f in zip(at.tolist(), goes[at].tolist(), first)])
 
     dealt = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.col(id_col).alias("doc_id"), F.make_valid_utf8(F.coalesce(F.col(text_col), F.lit(""))).alias("text"),
         F.posexplode_outer(homes(F.col(id_col).cast("long"))).alias("lead", "range"))
-    dealt = dealt.repartition(parts, "range").sortWithinPartitions(
+    dealt = dealt.repartitionByRange(parts, "range").sortWithinPartitions(
         F.col("range"), F.col("lead"), F.col("doc_id").desc_nulls_last(), F.col("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -580,6 +580,25 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
                     names=["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(id_col).cast("string").alias("key"),
-                       F.col(text_col).alias("text")).mapInArrow(
+                       F.make_valid_utf8(F.col(text_col)).alias("text")).mapInArrow(
         run, f"doc_id {kind}, rank int, ids array<int>, log_prob double, perturbed double, "
              "log_inclusion double, round_trip boolean")
+
+
+def decode(tokens: DataFrame, ids_col: str = "ids", out: str = "text", model: str = MODEL) -> DataFrame:
+    """``tokens`` with the text that each row's piece ids stand for; NULL for NULL ids.
+
+    A column of the name ``out`` gives way to the text.  Ids that are no pieces are an error.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(model, ALPHA)
+        at = names.index(ids_col)
+        for batch in batches:
+            texts = [None if ids is None else vocab.decode(np.asarray(ids, dtype=np.int64))
+                     for ids in batch.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, out])
+
+    kept = tokens.drop(out)
+    names = kept.columns
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
+    return kept.mapInArrow(run, f"{fields}, `{out}` string")

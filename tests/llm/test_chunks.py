@@ -64,3 +64,14 @@ def test_edge_cases_in_any_number_of_ranges(spark, docs, no_docs):
     assert chunks.fingerprints(no_docs).count() == 0
     for rows in ([(5, "only one row here")], [(None, "a"), (None, None)], [(1, "b"), (1, "a"), (1, "a")]):
         assert table_of(chunks.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+def test_ids_of_any_type_and_texts_that_are_not_utf8(spark):
+    rows = [("b", "one two three " * 40), ("a", "one two three " * 40), (None, "x"), ("aa", "")]
+    named = spark.createDataFrame(rows, "doc_id string, text string")
+    number = {"b": 2, "aa": 1, "a": 0, None: None}
+    found = {(number[r.doc_id], *r[1:]) for r in chunks.fingerprints(named).collect()}
+    plain = spark.createDataFrame([(number[i], t) for i, t in rows], "doc_id long, text string")
+    assert found == {tuple(r) for r in chunks.fingerprints(plain).collect()} and len(found) == 4
+    broken = spark.sql("SELECT 1L AS doc_id, CAST(unhex('61FF62') AS STRING) AS text")
+    assert chunks.fingerprints(broken).first().n_chars == 3

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from llm.conftest import edge_rows, table_of, with_clashes
 from tessera.llm import pieces, queries
@@ -105,3 +106,15 @@ def test_query(spark):
     assert rows.count() == 2 * spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     assert table_of(rows.filter("doc_id < 20")) == table_of(
         pieces.sample(spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("doc_id < 20").repartition(5)))
+
+
+def test_decoding_and_texts_that_are_not_utf8(spark, docs):
+    drawn = pieces.sample(docs.filter("doc_id <> 7 OR doc_id IS NULL"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    decoded = pieces.decode(drawn.withColumn("text", F.lit("x"))).collect()
+    assert decoded and all(r.text == texts[r.doc_id] for r in decoded)
+    assert pieces.decode(drawn.limit(0)).count() == 0
+    none = spark.createDataFrame([(1, None), (2, [])], "k int, ids array<int>")
+    assert sorted((r.k, r.text) for r in pieces.decode(none).collect()) == [(1, None), (2, "")]
+    broken = spark.sql("SELECT 1L AS doc_id, CAST(unhex('61FF62') AS STRING) AS text")
+    assert {r.text for r in pieces.decode(pieces.sample(broken)).collect()} == {"a\ufffdb"}
