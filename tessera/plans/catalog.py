@@ -445,7 +445,7 @@ def placement_written(spark, d):
 def placement_manifest(spark, d):
     root, counts = _written(spark, d)
     if counts != sinks.manifest(spark, root):
-        raise RuntimeError("the stored manifest differs from the counts of the job")
+        raise RuntimeError("the stored manifest differs from the counts told")
     return spark.createDataFrame([(*k.split("/"), n) for k, n in counts.items()],
                                  "site string, piece string, n_rows long")
 

@@ -4,10 +4,9 @@
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,8 +83,9 @@ def write_pieces(base: DataFrame, details: DataFrame, specs: Sequence[pl.Fragmen
     Each row of the base table is tagged with the pieces it belongs to and exploded
     once, and one job writes all of them.  Equal rows of a rest are one row (EXCEPT);
     attributes a site does not store are NULL there, and :func:`read_piece` leaves them
-    out.  Detail rows follow the sites of their key.  The counts come from an
-    ``Observation`` of that job and are kept as a manifest; "<site>/<piece>" -> rows.
+    out.  Detail rows follow the sites of their key.  The manifest, "<site>/<piece>" -> rows,
+    counts what is stored, by the folders' names (an ``Observation`` would also count
+    the rows of tasks that ran twice).
     """
     spark = base.sparkSession
     path = scratch_path(spark, "placement_base")
@@ -114,12 +114,10 @@ def write_pieces(base: DataFrame, details: DataFrame, specs: Sequence[pl.Fragmen
     if owners:
         sites = stored.select(key, F.explode(present(owners)).alias("site")).distinct()
         rows = rows.unionByName(details.join(sites, key).withColumn("piece", F.lit("details")), allowMissingColumns=True)
-    names = [(s.site, p) for s in specs for p in pieces_of(s)]
-    seen = Observation(f"pieces_{uuid.uuid4().hex[:8]}")
-    rows.observe(seen, *[F.count(F.when((F.col("site") == s) & (F.col("piece") == p), 1)).alias(f"n{i}")
-                         for i, (s, p) in enumerate(names)]) \
-        .write.mode("overwrite").partitionBy("site", "piece").parquet(root)
-    counts = {f"{s}/{p}": seen.get[f"n{i}"] for i, (s, p) in enumerate(names)}
+    rows.write.mode("overwrite").partitionBy("site", "piece").parquet(root)
+    written = spark.read.schema(rows.schema).parquet(root).groupBy("site", "piece").count()
+    counts = {f"{s.site}/{p}": 0 for s in specs for p in pieces_of(s)}
+    counts.update({f"{s}/{p}": n for s, p, n in written.collect()})          # one row per piece
     schema = rows.drop("site", "piece").schema
     write_text(spark, f"{root}/{_MANIFEST}", json.dumps({"counts": counts, "schema": schema.json()}))
     return counts
