@@ -557,27 +557,30 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: i
     ``log_inclusion`` and ``round_trip`` (whether the ids decode to the text)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
+    def drawn_of(vocab: Vocabulary, part: pa.RecordBatch) -> pa.RecordBatch:
+        """The samples of a slice; in a function of its own, so that nothing of it outlives it."""
+        texts = [t or "" for t in part.column(2).to_pylist()]
+        keys = [b"" if x is None else b"=" + x.encode() for x in part.column(1).to_pylist()]
+        drawn = sample_texts(vocab, keys, texts, k, seed)
+        rows = [(i, r, *s) for i, found in enumerate(drawn) for r, s in enumerate(found)]
+        flat = [row[2] for row in rows]
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)
+        values = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int32)
+        return pa.RecordBatch.from_arrays([
+            part.column(0).take(pa.array([r[0] for r in rows], type=pa.int32())),
+            pa.array([r[1] for r in rows], type=pa.int32()),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+            pa.array([r[3] for r in rows]), pa.array([r[4] for r in rows]),
+            pa.array([r[5] for r in rows]),
+            pa.array([vocab.decode(r[2]) == texts[r[0]] for r in rows])],
+            names=["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model, alpha)
         for batch in batches:
             sizes = pc.fill_null(pc.utf8_length(batch.column(2)), 0).to_pylist()
             for a, b in _slices(sizes):
-                texts = [t or "" for t in batch.column(2).slice(a, b - a).to_pylist()]
-                keys = [b"" if x is None else b"=" + x.encode()
-                        for x in batch.column(1).slice(a, b - a).to_pylist()]
-                drawn = sample_texts(vocab, keys, texts, k, seed)
-                rows = [(i, r, *s) for i, found in enumerate(drawn) for r, s in enumerate(found)]
-                flat = [row[2] for row in rows]
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in flat])]).astype(np.int32)
-                values = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a).take(pa.array([r[0] for r in rows], type=pa.int32())),
-                    pa.array([r[1] for r in rows], type=pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                    pa.array([r[3] for r in rows]), pa.array([r[4] for r in rows]),
-                    pa.array([r[5] for r in rows]),
-                    pa.array([vocab.decode(r[2]) == texts[r[0]] for r in rows])],
-                    names=["doc_id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "round_trip"])
+                yield drawn_of(vocab, batch.slice(a, b - a))
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(id_col).cast("string").alias("key"),
                        F.make_valid_utf8(F.col(text_col)).alias("text")).mapInArrow(
