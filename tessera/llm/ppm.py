@@ -15,12 +15,12 @@ Beside it stands a word model with add-0.1 smoothing (``base_score``).
 Scale: one pass counts words (as 64-bit hashes) and byte strings of
 length ``ORDER`` + 1 per task, in numpy with bounded tables, and Spark
 sums them.  The trie's probabilities are joins and sums over its arcs.
-A second pass scores the texts.  Arcs are sent to every task only up to
-``MAX_ARCS`` of them (a size check); beyond that the byte strings of the
-documents are joined with the arcs instead, with the same result.  Words
-that make up at least 1 / ``FREQUENT`` of all tokens, of which there can
-be no more than ``FREQUENT``, are also sent; the other words of each
-document are joined with their counts, so no hot word enters the join.
+A second pass scores the texts.  The strings that occur most often, at
+most ``MAX_ARCS``, are sent to every task with their probabilities; the
+other strings of each document, of which there are few, are joined with
+theirs.  Words that make up at least 1 / ``FREQUENT`` of all tokens, of
+which there can be no more than ``FREQUENT``, are sent as well and the
+other words joined, so no hot string or word enters a join.
 
 Defined results: a NULL or empty text has one token, the end; a NULL id
 counts as the empty text when documents are dealt out to training; with
@@ -197,10 +197,18 @@ def trie(strings: DataFrame, order: int) -> DataFrame:
 
 
 def _scorer(order: int, frequent, model):
-    """Per row: tokens, known frequent words and their sum, other words, byte score or strings."""
+    """Per row: tokens, known frequent words and their sum, other words, sum over the
+    frequent strings, other strings."""
+    def found(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(keys):
+            return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
+        at = np.searchsorted(keys, wanted)
+        at[at == len(keys)] = 0
+        return at, keys[at] == wanted
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, gain = frequent.value
-        keys, logs = model.value if model is not None else (None, None)
+        keys, logs = model.value
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for a, b in slices([len(t) for t in texts]):
@@ -209,25 +217,21 @@ def _scorer(order: int, frequent, model):
                 counts = np.array([len(w) for w in words], dtype=np.int64)
                 hashes = word_hashes([w for ws in words for w in ws])
                 doc = np.repeat(np.arange(len(own)), counts)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-                    hit = common[at] == hashes
-                else:
-                    at, hit = np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=bool)
+                at, hit = found(common, hashes)
                 n_common = np.bincount(doc[hit], minlength=len(own))
                 total = np.bincount(doc[hit], weights=gain[at[hit]] if len(common) else None,
                                     minlength=len(own))
                 others = hashes[~hit]
                 n_others = np.concatenate([[0], np.cumsum(counts - n_common)]).astype(np.int32)
                 packed, first = grams(own, order)
-                none = np.zeros(len(own) + 1, dtype=np.int32)
-                if keys is not None:
-                    value = np.add.reduceat(logs[np.searchsorted(keys, packed)], first)
-                    strings, offsets = np.zeros(0, dtype=np.int64), none
-                else:
-                    value = np.zeros(len(own))
-                    strings = packed.astype(np.int64)
-                    offsets = np.concatenate([first, [len(packed)]]).astype(np.int32)
+                at, hit = found(keys, packed)
+                each = logs[at] if len(keys) else np.zeros(len(packed))
+                each[~hit] = 0.0
+                value = np.add.reduceat(each, first)
+                strings = packed[~hit].astype(np.int64)
+                offsets = np.concatenate([[0], np.cumsum(np.add.reduceat((~hit).astype(np.int64), first))]
+                                         ).astype(np.int32)
+                del packed, at, hit, each
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a),
                     pa.array(counts + 1), pa.array(n_common.astype(np.int64)),
@@ -245,6 +249,18 @@ def held_out_flag(key: Column) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 10 == 0
 
 
+def _frequent_from(strings: DataFrame, most: int) -> int:
+    """The least power of two so that at most ``most`` strings occur that often."""
+    bits = F.length(F.bin("every")) - 1
+    sizes = dict(strings.groupBy(bits.alias("bits")).count().collect())      # at most 64 rows
+    held = 0
+    for bit in range(63, -1, -1):
+        held += sizes.get(bit, 0)
+        if held > most:
+            return 1 << (bit + 1)
+    return 1
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
           max_arcs: int = MAX_ARCS, frequent: int = FREQUENT) -> DataFrame:
     """Per row: ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
@@ -257,7 +273,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
         F.make_valid_utf8(F.coalesce(F.col(text_col), F.lit(""))).cast("binary").alias("text"))
     counted = rows.select("text", "held_out").mapInArrow(
         _counter(order), "kind int, key long, trained long, every long")
-    counts = materialise(counted.groupBy("kind", "key").agg(F.sum("trained").alias("n")), "counts")
+    counts = materialise(counted.groupBy("kind", "key").agg(
+        F.sum("trained").alias("n"), F.sum("every").alias("every")), "counts")
     words = counts.filter(F.col("kind") == WORD).select("key", "n")
     ends = counts.filter(F.col("kind") == DOCS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     distinct, total = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -270,12 +287,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     head = words.filter(F.col("n") >= floor).select("key", gain.alias("gain")).sort("key").toArrow()
     common = spark.sparkContext.broadcast((head["key"].to_numpy(), head["gain"].to_numpy()))
 
-    model = materialise(trie(counts.filter(F.col("kind") == GRAM).select("key", "n"), order), "trie")
-    arcs = None
-    if model.count() <= max_arcs:
-        table = model.sort("key").toArrow()
-        packed = table["key"].to_numpy().astype(np.uint32 if order <= 3 else np.uint64)
-        arcs = spark.sparkContext.broadcast((packed, table["log10"].to_numpy()))
+    strings = counts.filter(F.col("kind") == GRAM)
+    model = materialise(trie(strings.select("key", "n"), order), "trie")
+    often = _frequent_from(strings, max_arcs)
+    table = (model.join(strings.filter(F.col("every") >= often).select("key"), "key", "left_semi")
+             .sort("key").toArrow())
+    arcs = spark.sparkContext.broadcast(
+        (table["key"].to_numpy().astype(np.uint32 if order <= 3 else np.uint64), table["log10"].to_numpy()))
 
     scored = materialise(rows.mapInArrow(
         _scorer(order, common, arcs),
@@ -285,15 +303,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     rare = (scored.select("row", F.explode("others").alias("key"))
             .join(words.filter(F.col("n") < floor), "key")
             .groupBy("row").agg(F.count("*").alias("n_rare"), F.sum(gain).alias("rare_gain")))
-    out = scored.drop("others").join(rare, "row", "left")
-    if arcs is None:
-        strings = (scored.select("row", F.explode("strings").alias("key")).groupBy("row", "key").count()
-                   .join(model, "key").groupBy("row").agg(F.sum(F.col("count") * F.col("log10")).alias("whole")))
-        out = out.join(strings, "row").withColumn("score", F.col("whole"))
+    rest = (scored.select("row", F.explode("strings").alias("key"))
+            .join(model.join(strings.filter(F.col("every") < often).select("key"), "key", "left_semi"), "key")
+            .groupBy("row").agg(F.sum("log10").alias("rest")))
+    out = scored.drop("others", "strings").join(rare, "row", "left").join(rest, "row", "left")
     end_gain = float(np.log10((ends + SMOOTH) / SMOOTH)) if ends else 0.0
     return out.select(
         F.col("doc_id").alias(id_col), "held_out", "n_tokens",
         (F.col("n_common") + F.coalesce("n_rare", F.lit(0)) + (1 if ends else 0)).alias("n_known"),
         F.lit(train_tokens).cast("long").alias("train_tokens"),
         (F.col("n_tokens") * float(np.log10(SMOOTH / unit)) + F.col("common_gain")
-         + F.coalesce("rare_gain", F.lit(0.0)) + end_gain).alias("base_score"), "score")
+         + F.coalesce("rare_gain", F.lit(0.0)) + end_gain).alias("base_score"),
+        (F.col("score") + F.coalesce("rest", F.lit(0.0))).alias("score"))

@@ -58,11 +58,12 @@ def test_query_equals_brute_force(spark):
     compare(queries.op8_lm_scoring(spark, SF_SMALL), brute(rows, ppm.ORDER))
 
 
-@pytest.mark.parametrize("options", [{"order": 2}, {"order": 3, "max_arcs": 0}, {"order": 1, "frequent": 4}])
+@pytest.mark.parametrize("options", [{"order": 2}, {"order": 3, "max_arcs": 0},
+                                     {"max_arcs": 40}, {"order": 3, "max_arcs": 300}, {"order": 1, "frequent": 4}])
 def test_edge_cases_and_both_ways_to_score(spark, docs, options):
     """Without arcs to send, and with few frequent words, the joins give the same result."""
     compare(ppm.score(with_clashes(docs), **options),
-            brute([r[:2] for r in edge_rows()], options["order"]))
+            brute([r[:2] for r in edge_rows()], options.get("order", ppm.ORDER)))
 
 
 def test_no_documents_and_no_training(spark, no_docs):
