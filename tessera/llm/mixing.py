@@ -9,15 +9,20 @@ patterns and sources alone.  It says how many words each pattern gives:
 whole passes over the pattern plus a remainder, which goes to documents
 in the order of a seeded hash.
 
-Scale: what reaches the driver is one row per pattern (checked against
-``MAX_PATTERNS``), never a document.  The remainder's cut is found with a
+Scale: sources are numbered and their targets found by Spark, with a few
+sums on the driver.  A source that no document shares with another gives
+its target by a join; only patterns that share sources need a flow, and
+each connected group of them is routed by a task of its own.  No pattern
+and no document reaches the driver.  The remainder's cut is found with a
 histogram of hash ranges: only the documents of one range in
 4,096 per pattern are sorted, so a source with a third of all rows
 needs no task that sees a third of the rows.  The decisions are one row
-per pattern, applied to documents as a broadcast of that checked size.
+per pattern; they are broadcast up to ``MAX_BROADCAST`` rows and joined
+by the session's skew-join rules beyond.
 
 Defined results: a NULL text has size 0; NULL is a source of its own,
-last in order; with repeated rows of one id a cut falls before or after
+last in order; a document of no source is not taken; a source without a
+given weight weighs 0; with repeated rows of one id a cut falls before or after
 all of them; documents of size 0 are taken with 0 words; an empty table
 gives an empty result; other columns are left as they are.  The same
 input, seed and parameters give the same mix.
@@ -27,40 +32,51 @@ from __future__ import annotations
 
 from collections import deque
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import WORD, materialise
+from tessera.llm.graph import connected_components
+from tessera.operators.ranking import numbered
+from tessera.operators.sizing import broadcast_if_bounded
 
-MAX_PATTERNS = 100_000
+MAX_BROADCAST = 100_000
 RANGE_BITS = 12          # 4,096 hash ranges a pattern
 MAX_REPEAT = 3
 
 Source = str | None
 
 
-def source_order(sources: list[Source]) -> list[Source]:
-    """By code point, NULL last."""
-    return sorted(sources, key=lambda s: (s is None, s or ""))
+def targets(sources: DataFrame, weights: dict[Source, float] | None = None,
+            max_repeat: int = MAX_REPEAT, budget: int | None = None) -> DataFrame:
+    """``sources(source, size)``, one row each, with ``number`` (by code point, NULL last),
+    ``weight`` and ``target``: the share of ``budget`` (default: all sizes) by weight,
+    at most ``max_repeat`` times the size, the excess shared again until none is above.
 
-
-def targets(sizes: dict[Source, int], budget: float, weights: dict[Source, float],
-            max_repeat: int = MAX_REPEAT) -> dict[Source, float]:
-    """Shares of ``budget`` by weight; none above ``max_repeat`` times its source's
-    size, the excess shared again by weight until none is above."""
-    out: dict[Source, float] = {}
-    open_ = list(sizes)
-    left = float(budget)
-    while open_:
-        unit = left / sum(weights[s] for s in open_)
-        over = [s for s in open_ if unit * weights[s] > max_repeat * sizes[s]]
-        if not over:
-            return out | {s: unit * weights[s] for s in open_}
-        for s in over:
-            out[s] = float(max_repeat * sizes[s])
-            left -= out[s]
-        open_ = [s for s in open_ if s not in out]
-    return out
+    One sum per round; a round ends only if it closes at least one source more.
+    """
+    rows = numbered(sources, [F.asc_nulls_last("source")])
+    if weights is None:
+        rows = rows.withColumn("weight", (F.col("number") % 3 + 1).cast("double"))
+    else:
+        given = sources.sparkSession.createDataFrame(list(weights.items()), "named string, weight double")
+        rows = rows.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("named")), "left").select(
+            "source", "size", "number", F.coalesce("weight", F.lit(0.0)).alias("weight"))
+    rows = materialise(rows, "weights")
+    most = F.col("size") * max_repeat
+    if budget is None:
+        budget = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    unit, closed = 0.0, -1
+    while True:
+        above = F.col("weight") * unit > most
+        exact = F.col("weight").cast("decimal(38,12)")
+        n, used, open_ = rows.agg(F.count_if(above), F.coalesce(F.sum(F.when(above, most)), F.lit(0)),
+                                  F.sum(F.when(~above, exact))).first()
+        if n == closed:
+            return rows.withColumn("target", F.when(above, most.cast("double")).otherwise(
+                F.col("weight") * unit))
+        closed, unit = n, (budget - used) / float(open_) if open_ else 0.0
 
 
 def route(supply: list[int], member_of: list[list[int]], quota: list[int],
@@ -132,13 +148,14 @@ def route(supply: list[int], member_of: list[list[int]], quota: list[int],
     return given
 
 
-def _whole(shares: list[float]) -> list[int]:
-    """Whole numbers with the sum of the shares, the largest remainders rounded up."""
-    floors = [int(s) for s in shares]
-    order = sorted(range(len(shares)), key=lambda i: (floors[i] - shares[i], i))
-    for i in order[:round(sum(shares)) - sum(floors)]:
-        floors[i] += 1
-    return floors
+def _route_group(rows: pd.DataFrame) -> pd.DataFrame:
+    """The flow of one connected group of patterns ``(key, size, numbers, quotas)``."""
+    rows = rows.sort_values("key")
+    quota = {int(n): int(q) for ns, qs in zip(rows["numbers"], rows["quotas"]) for n, q in zip(ns, qs)}
+    index = {n: i for i, n in enumerate(sorted(quota))}
+    given = route([int(n) for n in rows["size"]], [[index[int(n)] for n in ns] for ns in rows["numbers"]],
+                  [quota[n] for n in index], int(rows["most"].iloc[0]))
+    return pd.DataFrame({"key": rows["key"].to_numpy(), "given": given})
 
 
 def _keyed(docs: DataFrame, source_col: str, text_col: str, id_col: str, seed: int,
@@ -157,27 +174,40 @@ def _keyed(docs: DataFrame, source_col: str, text_col: str, id_col: str, seed: i
 
 def _passes(slim: DataFrame, weights: dict[Source, float] | None, max_repeat: int) -> DataFrame:
     """One row per pattern: whole passes, remainder, target and source size."""
-    stats = slim.groupBy("key").agg(F.first("pattern").alias("pattern"), F.sum("size").alias("size"))
-    rows = stats.limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
-    rows = sorted(rows, key=lambda r: r["key"])
-    sizes: dict[Source, int] = {}
-    for r in rows:
-        for s in r["pattern"]:
-            sizes[s] = sizes.get(s, 0) + r["size"]
-    names = source_order(list(sizes))
-    weights = weights or {s: float(i % 3 + 1) for i, s in enumerate(names)}
-    goal = targets(sizes, sum(r["size"] for r in rows), weights, max_repeat)
-    index = {s: i for i, s in enumerate(names)}
-    given = route([r["size"] for r in rows], [[index[s] for s in r["pattern"]] for r in rows],
-                  _whole([goal[s] for s in names]), max_repeat)
-    table = [(r["key"], *(divmod(g, r["size"]) if r["size"] else (0, 0)),
-              float(sum(goal[s] for s in r["pattern"])), sum(sizes[s] for s in r["pattern"]))
-             for r, g in zip(rows, given)]
-    return materialise(slim.sparkSession.createDataFrame(
-        table, "key string, passes long, remainder long, target double, source_size long")
-        .coalesce(1), "passes")
+    stats = materialise(slim.groupBy("key").agg(F.first("pattern").alias("pattern"),
+                                                F.sum("size").alias("size")), "patterns")
+    named = F.to_json(F.array("source"))
+    members = stats.select("key", "size", F.size("pattern").alias("width"), F.explode("pattern").alias("source"))
+    budget = stats.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    goals = materialise(targets(members.groupBy("source").agg(F.sum("size").alias("size")), weights,
+                                max_repeat, budget)
+                        .select(named.alias("name"), "number", "target", F.col("size").alias("source_size"),
+                                F.round("target").cast("long").alias("quota")), "targets")
+    members = members.withColumn("name", named).join(broadcast_if_bounded(goals, MAX_BROADCAST), "name")
+    one = F.struct("number", "target", "source_size", "quota")
+    patterns = materialise(members.groupBy("key").agg(
+        F.first("size").alias("size"), F.array_sort(F.collect_list(one)).alias("of")), "members")
+    shared = patterns.filter(F.size("of") > 1)
+    alone = patterns.select("key", F.get("of", F.lit(0))["quota"].alias("given"))
+    if not shared.isEmpty():
+        first = F.get("of", F.lit(0))["number"]
+        groups = materialise(connected_components(shared.select(
+            first.alias("a"), F.explode(F.col("of")["number"]).alias("b"))), "groups")
+        tied = patterns.withColumn("node", first).join(groups, "node")
+        routed = materialise(tied.select(
+            "root", "key", "size", F.lit(max_repeat).alias("most"), F.col("of")["number"].alias("numbers"),
+            F.col("of")["quota"].alias("quotas")).groupBy("root").applyInPandas(
+                _route_group, "key string, given long"), "routed")
+        alone = alone.join(routed.select("key"), "key", "left_anti").unionByName(routed)
+    total = lambda c, zero: F.aggregate(F.col("of")[c], zero, lambda a, v: a + v)
+    sums = patterns.select("key", total("target", F.lit(0.0)).alias("target"),
+                           total("source_size", F.lit(0).cast("long")).alias("source_size"))
+    given = F.coalesce("given", F.lit(0).cast("long"))
+    return materialise(stats.join(alone, "key", "left").join(sums, "key", "left").select(
+        "key", F.when(F.col("size") > 0, F.expr("coalesce(given, 0) div size")).otherwise(0).cast("long").alias("passes"),
+        F.when(F.col("size") > 0, given % F.col("size")).otherwise(0).cast("long").alias("remainder"),
+        F.coalesce("target", F.lit(0.0)).alias("target"),
+        F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size")), "passes")
 
 
 def _running(*keys: str):
@@ -194,11 +224,12 @@ def decide(slim: DataFrame, weights: dict[Source, float] | None = None,
     by_range = slim.groupBy("key", "range").agg(F.sum("size").alias("size"))
     edges = materialise(
         by_range.withColumn("upto", F.sum("size").over(_running("range")))
-        .join(F.broadcast(passes.filter("remainder > 0").select("key", "remainder")), "key")
+        .join(broadcast_if_bounded(passes.filter("remainder > 0").select("key", "remainder"), MAX_BROADCAST), "key")
         .filter("upto >= remainder").groupBy("key")
         .agg(F.min(F.struct("range", (F.col("upto") - F.col("size")).alias("before"),
                             "remainder")).alias("e")).select("key", "e.*"), "edges")
-    near = slim.select("id", "key", "size", "place", "range").join(F.broadcast(edges), ["key", "range"])
+    near = slim.select("id", "key", "size", "place", "range").join(broadcast_if_bounded(edges, MAX_BROADCAST),
+                                                                      ["key", "range"])
     last = (near.withColumn("upto", F.col("before") + F.sum("size").over(_running("place", "id")))
             .filter(F.col("upto") - F.col("size") / 2 <= F.col("remainder"))
             .groupBy("key").agg(F.max(F.struct("place", "id")).alias("last")))
@@ -213,7 +244,7 @@ def _repeats(rows: DataFrame, decided: DataFrame, id_col: str, tag: str) -> tupl
     at, cut = F.col(f"{tag}range"), F.col(f"{tag}d_range")
     here = F.struct(F.col(f"{tag}place").alias("place"), F.col(id_col).alias("id"))
     extra = (at < cut) | ((at == cut) & (here <= F.col(f"{tag}d_last")))
-    joined = rows.join(F.broadcast(named), f"{tag}key")      # one row per pattern, at most MAX_PATTERNS
+    joined = rows.join(broadcast_if_bounded(named, MAX_BROADCAST), f"{tag}key")
     return joined, F.col(f"{tag}d_passes") + F.coalesce(extra, F.lit(False)).cast("int")
 
 

@@ -7,12 +7,66 @@ from llm.conftest import edge_rows, table_of, with_clashes
 from tessera.llm import mixing, queries
 
 
-def test_targets_share_the_excess_again():
+def brute_targets(sizes, budget, weights, most=3):
+    out, left, open_ = {}, float(budget), list(sizes)
+    while open_:
+        unit = left / sum(weights[s] for s in open_)
+        over = [s for s in open_ if unit * weights[s] > most * sizes[s]]
+        if not over:
+            return out | {s: unit * weights[s] for s in open_}
+        for s in over:
+            out[s] = float(most * sizes[s])
+            left -= out[s]
+        open_ = [s for s in open_ if s not in out]
+    return out
+
+
+def found_targets(spark, sizes, weights=None, budget=None):
+    table = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    return {r.source: r for r in mixing.targets(table, weights, budget=budget).collect()}
+
+
+def test_targets_share_the_excess_again(spark):
     sizes, weights = {"a": 10, "b": 100, None: 1000}, {"a": 1.0, "b": 2.0, None: 3.0}
-    got = mixing.targets(sizes, 1110, weights)
-    assert got["a"] == 30 and got["b"] == 300 and abs(got[None] - 780) < 1e-9
-    assert mixing.targets({"a": 0}, 0, {"a": 1.0}) == {"a": 0.0}
-    assert mixing.source_order(["b", None, "a", "é", ""]) == ["", "a", "b", "é", None]
+    got = found_targets(spark, sizes, weights)
+    assert got["a"].target == 30 and got["b"].target == 300 and abs(got[None].target - 780) < 1e-9
+    assert found_targets(spark, {"a": 0}, {"a": 1.0})["a"].target == 0.0
+    order = found_targets(spark, {"b": 1, None: 1, "a": 1, "é": 1, "": 1})
+    assert sorted(order, key=lambda s: order[s].number) == ["", "a", "b", "é", None]
+    rng = random.Random(4)
+    sizes = {f"s{i:02}": int(10 ** rng.uniform(0, 6)) for i in range(40)}
+    weights = {s: float(i % 3 + 1) for i, s in enumerate(sizes)}
+    got, want = found_targets(spark, sizes), brute_targets(sizes, sum(sizes.values()), weights)
+    assert all(abs(got[s].target - want[s]) <= 1e-9 * want[s] for s in sizes)
+
+
+def test_sources_past_the_broadcast_and_groups_of_overlaps(spark):
+    """Many sources of their own beside overlapping ones, with and without broadcasts."""
+    rows = [(i, [f"own{i % 700}"], "w " * (1 + i % 5)) for i in range(1400)] + \
+        [(2000 + i, [f"left{i % 9}", f"right{i % 9}"] if i % 2 else [f"left{i % 9}"], "w " * 7) for i in range(90)] + \
+        [(3000, [], "w w")]
+    frame = spark.createDataFrame(rows, "doc_id long, source array<string>, text string")
+    found = mixing.mix(frame).collect()
+    assert len(found) == len(rows) and next(r.taken for r in found if r.doc_id == 3000) == 0
+    sizes = {}
+    for _, names, text in rows:
+        for name in names:
+            sizes[name] = sizes.get(name, 0) + len(text.split())
+    weights = {s: float(i % 3 + 1) for i, s in enumerate(sorted(sizes))}
+    goal = brute_targets(sizes, sum(len(t.split()) for _, _, t in rows), weights)
+    taken = {}
+    for r, (_, names, _) in zip(sorted(found, key=lambda r: r.doc_id), rows):
+        assert r.repeats <= 3 and abs(r.target - sum(goal[s] for s in names)) < 1e-6
+        if len(names) == 1 and names[0].startswith("own"):
+            taken[names[0]] = taken.get(names[0], 0) + r.taken
+    assert all(abs(taken[s] - goal[s]) <= 5 for s in taken) and len(taken) == 700
+    before = mixing.MAX_BROADCAST
+    mixing.MAX_BROADCAST = 3
+    try:
+        assert table_of(mixing.mix(frame)) == sorted(
+            (tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in found), key=repr)
+    finally:
+        mixing.MAX_BROADCAST = before
 
 
 def brute_flow(supply, member_of, quota, most):
