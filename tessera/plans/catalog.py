@@ -25,7 +25,7 @@ from tessera.operators import placement as pl
 from tessera.plans import domain as dom
 from tessera.plans.tables import table
 from tessera.session import scratch_path
-from tessera.sources import parsers, readers, sinks
+from tessera.sources import multiline, parsers, readers, sinks
 from tessera.streaming import deadletter, decode, dictionary, prequential, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -600,6 +600,20 @@ def onehot_assemble(spark, d):
                            F.size(vector_to_array("features")).alias("n_features"))
 
 
+@query
+def onehot_vectors(spark, d):
+    """The assembled vectors themselves: the places that hold a one, and the numbers after them."""
+    rows = _model_rows(spark, d)
+    train, _ = fe.hash_split(rows, "Index", method="md5")
+    prepared = _batch_pipeline(train).fit(train).transform(rows)
+    cells = F.transform(vector_to_array("features"), lambda v, i: F.struct(i.alias("i"), v.alias("v")))
+    width = F.size("cells")
+    hot = F.filter("cells", lambda c: (c["v"] != 0) & (c["i"] < width - 3))
+    return prepared.select("Index", cells.alias("cells")).select(
+        "Index", F.array_join(F.transform(hot, lambda c: F.concat_ws("=", c["i"], c["v"].cast("int"))), ",").alias("hot"),
+        *[F.element_at("cells", n - 3)["v"].alias(name) for n, name in enumerate(("x", "y", "z"))])
+
+
 @query
 def hash_split_counts(spark, d):
     train, test = fe.hash_split(_model_rows(spark, d), "Index", method="md5")
@@ -835,10 +849,10 @@ def demand_array_matrix_discovered(spark, d):
 
 # --- C1, C4, C6: source-format text -> CSV -> parsed tables ------------------
 
-def _csv_roundtrip(spark, raw, name, schema, multiline=False):
+def _csv_roundtrip(spark, raw, name, schema, reader=readers.read_csv_quoted):
     path = scratch_path(spark, name)
     sinks.write_csv(raw, path)
-    return readers.read_csv_quoted(spark, path, schema, multiline=multiline)
+    return reader(spark, path, schema)
 
 
 @query
@@ -857,14 +871,14 @@ def searches_csv_parse(spark, d):
 @query
 def movies_csv_parse(spark, d):
     raw = _csv_roundtrip(spark, dom.movies_raw(spark, d), "movies_csv", schemas.MOVIES_RAW,
-                         multiline=True)
+                         multiline.read_csv_multiline)
     return _as_text(parsers.parse_movies(raw))
 
 
 @query
 def movies_csv_parse_clean(spark, d):
     raw = _csv_roundtrip(spark, dom.movies_raw(spark, d), "movies_csv_clean",
-                         schemas.MOVIES_RAW, multiline=True)
+                         schemas.MOVIES_RAW, multiline.read_csv_multiline)
     return _as_text(parsers.parse_movies(raw, mode="clean"))
 
 

@@ -700,6 +700,19 @@ SELECT s."Index", CAST(coalesce(l.idx, (SELECT COUNT(*) FROM lab)) AS DOUBLE) AS
        CAST((SELECT n FROM width) AS INTEGER) AS n_features
 FROM split s LEFT JOIN lab l ON s.gt = l.gt"""
 
+# places: users first, then devices, hours and minutes, each by frequency
+# among training rows (ties by text), values not seen there in one place more.
+_PLACED = (("u", "usr"), ("d", "CAST(split_part(device, '_', 2) AS INTEGER) - 1"), ("h", "hr"), ("m", "mi"))
+_CODES = [f"""{a} AS (
+  SELECT CAST({e} AS VARCHAR) AS v, row_number() OVER (ORDER BY COUNT(*) DESC, CAST({e} AS VARCHAR)) - 1 AS idx
+  FROM split WHERE is_train GROUP BY 1)""" for a, e in _PLACED]
+_PLACES, _BEFORE = [], "0"
+for _a, _ in _PLACED:
+    _PLACES.append(f"CAST({_BEFORE} + coalesce({_a}.idx, (SELECT COUNT(*) FROM {_a})) AS VARCHAR) || '=1'")
+    _BEFORE += f" + (SELECT COUNT(*) + 1 FROM {_a})"
+SQL["onehot_vectors"] = _with(SENSOR, _SPLIT, *_CODES) + f"""
+SELECT s."Index", {" || ',' || ".join(_PLACES)} AS hot, s.x, s.y, s.z
+FROM split s """ + " ".join(f"LEFT JOIN {a} ON CAST({e} AS VARCHAR) = {a}.v" for a, e in _PLACED)
 SQL["credits_text_parse_clean"] = _with(CREDIT_NAMES) + """
 SELECT id, array_to_string(actors, '|') AS actors, array_to_string(director, '|') AS director
 FROM credit_names"""

@@ -16,7 +16,8 @@ def read_csv_quoted(spark: SparkSession, path: str, schema: T.StructType,
     """Header CSV with ``"`` quoting/escaping.
 
     ``multiline`` allows line breaks inside quoted fields; it makes each
-    file a single split, so it is off unless the data needs it.
+    file a single split (:mod:`tessera.sources.multiline` reads such files
+    by several tasks).
     """
     return (spark.read.schema(schema)
             .option("header", True)
