@@ -12,9 +12,11 @@
    true and base matches that fail their check as false; expectation
    maximisation over the loose ones estimates, per kind, how often each
    labeler says what about true and false candidates.  A labeler that
-   says nothing is no evidence.  Each table keeps an anchor
-   (``ANCHORS``) of the weight of all loose candidates, so that no mix of
-   base and loose ones turns a labeler round.
+   says nothing is no evidence.  Each table starts from an anchor
+   (``ANCHORS``) of a quarter of the loose candidates' weight: they
+   outweigh it four to one, and it weighs the same at every size (an anchor
+   of a fixed weight fades as the input grows, and large groups of equal
+   votes would then decide for themselves).
 4. *Classifier.* A logistic regression learns the estimated truth from
    features of the span itself (kind, length, separators, key words,
    neighbours), on the table of distinct feature vectors with counts as
@@ -61,9 +63,14 @@ PHONE_LOOSE = (r"(?<![0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.\x20])[0-9]{3}[-.\
                r"(?![0-9])")
 
 # Gazetteers and key words (fixed values).
-TLDS = ("com", "org", "net", "edu", "gov", "io", "de", "fr", "es", "uk", "eu", "info", "us", "it", "nl")
+# Country suffixes are all two-letter ones; the others are the generic and sponsored suffixes in common use.
+SUFFIX = (r"(?:[a-z]{2}|com|org|net|edu|gov|mil|int|arpa|info|biz|name|pro|aero|coop|museum|jobs|mobi|travel|cat|tel|"
+          r"post|asia|xxx|app|dev|cloud|online|shop|site|store|tech|xyz|blog|email|live|news|top|club|agency|work)")
 ISSUER = r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65|35|30[0-5]|36|38)"
-CALLING = r"^\+(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
+# Calling codes in use: one and two digits, then three digits by their first two.
+CALLING = (r"^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|21[12368]|22[0-9]|23[0-9]|24[0-9]|"
+           r"25[0-8]|26[0-9]|29[01789]|35[0-9]|37[0-9]|38[0-35-79]|42[013]|50[0-9]|59[0-9]|67[02-9]|68[0-35-9]|"
+           r"69[0-2]|80[08]|85[02356]|87[08]|88[0-368]|96[0-8]|97[0-79]|99[2-68])")
 AREA = r"^[^0-9]*[2-9][0-8][0-9]"
 # Forms of loose matches: one kind of separator (any after a space or bracket), clean labels.
 PHONE_FORM = r"^(?:\([0-9]{3}\)\x20?|[0-9]{3}\x20|[0-9]{3}([-.])(?=[0-9]{3}\1))"
@@ -81,7 +88,7 @@ BEFORE, CHECK_DIGITS = 40, (12, 19)
 # How often each labeler that speaks says +1 of a true and of a false candidate, before any is seen.
 ANCHORS = {kind: ((0.9, 0.1), (0.95, 0.6), (0.9, 0.1) if kind == "email" else (0.95, 0.6),
                   (0.95, 0.05), (0.95, 0.6)) for kind in KINDS}
-ANCHOR_WEIGHT = 50
+ANCHOR_WEIGHT, ANCHOR_SHARE, PRIOR_SHARE = 50, 0.25, 1.0    # candidates, and shares of the loose ones
 N_FEATURES = 12
 ACCEPT = 0.9
 
@@ -129,7 +136,7 @@ def _described(chunks: Column, s: Column, kind: str, loose: bool) -> Column:
 
     def body(m: Column) -> Column:
         hit, digits = s["hit"], m["digits"]
-        known = {"email": F.rlike(F.lower(hit), F.lit(r"(?:\.|dot[\])}]\x20?)(?:%s)$" % "|".join(TLDS))),
+        known = {"email": F.rlike(F.lower(hit), F.lit(rf"(?:\.|dot[\])}}]\x20?){SUFFIX}$")),
                  "ip": ~F.rlike(hit, F.lit(RESERVED)),
                  "card": F.rlike(digits, F.lit(ISSUER)),
                  "phone": F.rlike(hit, F.lit(AREA if loose else CALLING))}[kind]
@@ -236,14 +243,14 @@ def anchored(kind: str, patterns: dict[str, dict[tuple[int, ...], float]]) -> tu
     """Prior and tables of a kind from the counts of its ``true``, ``false`` and ``loose`` candidates."""
     loose = patterns.get("loose", {})
     total = sum(loose.values())
-    begin = [[[(total + ANCHOR_WEIGHT) * (1 - p), 0.0, (total + ANCHOR_WEIGHT) * p] for p in (no, yes)]
-             for yes, no in ANCHORS[kind]]
+    weight = ANCHOR_WEIGHT + ANCHOR_SHARE * total
+    begin = [[[weight * (1 - p), 0.0, weight * p] for p in (no, yes)] for yes, no in ANCHORS[kind]]
     for t, known in enumerate(("false", "true")):
         for votes, n in patterns.get(known, {}).items():
             for j, vote in enumerate(votes):
                 if vote and LABELERS[j] not in ("pattern", "check"):     # these two made them known
                     begin[j][t][vote + 1] += n
-    return estimate_reliabilities(loose, begin=begin, pull=2 * total)
+    return estimate_reliabilities(loose, begin=begin, pull=2 * ANCHOR_WEIGHT + PRIOR_SHARE * total)
 
 
 def train(found: DataFrame) -> tuple[list[float], float] | None:

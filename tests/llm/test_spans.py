@@ -135,6 +135,47 @@ def test_loose_spans_are_added_whatever_the_mix(spark, base, loose):
         assert not [k for k in kinds[10_000 + i] if k[0] == "ip"], rows[base + i]
 
 
+def test_em_finds_a_labeler_worse_than_its_anchor():
+    """Edges say +1 of nine true candidates in ten and of six false ones by their anchor; here they say the
+    reverse.  Key words, checks and codes speak as they should."""
+    rng, counts = random.Random(5), {}
+    for _ in range(6000):
+        true = rng.random() < 0.5
+        says = lambda yes, no: 1 if rng.random() < (yes if true else no) else -1  # noqa: E731, B023
+        votes = (0, says(0.9, 0.3), says(0.9, 0.2), says(0.9, 0.1), says(0.2, 0.8))
+        counts[votes] = counts.get(votes, 0.0) + 1
+    prior, tables = pii.anchored("phone", {"loose": counts, "true": {(1, 1, 1, 1, 1): 20.0}})
+    assert abs(prior - 0.5) < 0.05
+    assert tables[4][1][2] < 0.55 and tables[4][0][2] > 0.65          # anchored at 0.95 and 0.6
+    assert pii.log_odds((0, 1, 1, 1, -1), prior, tables) > pii.log_odds((0, 1, 1, 1, 1), prior, tables)
+
+
+@pytest.mark.parametrize("n", [1_000, 1_000_000, 1_000_000_000])
+def test_beliefs_are_alike_at_every_size(n):
+    phones = {(0, 1, 1, 1, 1): 1.0 * n, (0, 1, 1, -1, 1): 0.01 * n, (0, 1, 1, 0, 1): 5.0 * n}
+    prior, tables = pii.anchored("phone", {"loose": phones, "true": {(1, 1, 1, 1, 1): 0.1 * n}})
+    told, against, silent = (1 / (1 + math.exp(-pii.log_odds(v, prior, tables))) for v in phones)
+    assert told > pii.ACCEPT > silent > against and abs(silent - 0.83) < 0.01
+    mails = {(0, 1, 1, 1, 1): 1.0 * n, (0, 1, 1, 0, 1): 1.0 * n}
+    prior, tables = pii.anchored("email", {"loose": mails, "true": {(1, 0, 1, 1, 1): 1.0 * n}})
+    assert all(1 / (1 + math.exp(-pii.log_odds(v, prior, tables))) > 0.95 for v in mails)
+
+
+@pytest.mark.parametrize("known, lone", [(360_000, 11), (360_000, 3300), (0, 1_000_000)])
+def test_form_alone_is_no_evidence_at_any_size(known, lone):
+    """Loose phone numbers without a key word stay below the bar, however many there are."""
+    prior, tables = pii.anchored("phone", {"loose": {(0, 1, 1, 0, 1): float(lone)}, "true": {(1, 1, 1, 1, 1): float(known)}})
+    assert 1 / (1 + math.exp(-pii.log_odds((0, 1, 1, 0, 1), prior, tables))) < pii.ACCEPT
+
+
+def test_gazetteers_know_suffixes_and_codes():
+    suffix, code = re.compile(pii.SUFFIX + r"\Z"), re.compile(pii.CALLING)
+    assert all(suffix.fullmatch(s) for s in ("com", "jp", "museum", "br", "travel"))
+    assert not any(suffix.fullmatch(s) for s in ("local", "c", "invalid", "example"))
+    assert all(code.match("+" + c) for c in ("1", "44", "353", "971", "886", "420", "598"))
+    assert not any(code.match("+" + c + "5") for c in ("0", "210", "259", "384", "422", "969", "991", "83"))
+
+
 def entropy(window):
     return -sum(n / len(window) * math.log2(n / len(window)) for n in
                 (window.count(c) for c in set(window)))
