@@ -147,3 +147,27 @@ def test_first_batch_skipped_row_target_and_trigger(spark):
     skip.run(stream, trigger={"processingTime": "1 seconds"}, stop_after_rows=rows.count() - BLOCK, timeout_s=90)
     got = {r["epoch"]: r["n_rows"] for r in skip.metrics().collect()}
     assert got[0] == 0 and sum(got.values()) >= rows.count() - BLOCK
+
+
+def test_blocks_after_the_last_training_share_micro_batches(spark, monkeypatch):
+    """One micro-batch per block while the model learns, then many blocks in one; the rows are the same."""
+    from tessera.plans import catalog
+    rows = spark.range(1200).select((F.floor(F.col("id") / 10) * 3).alias("block"),
+                                    F.when(F.col("id") % 7 < 4, "a").when(F.col("id") < 300, "b").otherwise("c").alias("gt"))
+    monkeypatch.setattr(replay, "FILES_PER_BATCH", 2)
+    calls = []
+    single, many = prequential.Prequential.process, prequential.Prequential.process_frozen
+    monkeypatch.setattr(prequential.Prequential, "process", lambda s, b, e: calls.append("one") or single(s, b, e))
+    monkeypatch.setattr(prequential.Prequential, "process_frozen", lambda s, b, e: calls.append("many") or many(s, b, e))
+    run = prequential.Prequential(spark, lambda b: b.select(F.col("gt").alias("label"), *catalog._kept_epoch(b)),
+                                  learn.MajorityClass(), scratch_path(spark, "test_frozen"), retrain_until=5)
+    got = sorted(tuple(r) for r in catalog._run_blocks(run, rows, "test_frozen").collect())
+    assert calls.count("one") == 5 and calls.count("many") == 2
+    want = _batch_oracle(rows.withColumn("block", (F.col("block") / 3).cast("int")), 5)
+    assert {e: (n, k) for e, n, k, _, _ in got} == want
+    n = k = 0
+    for e, rows_e, correct_e, cum_rows, cum_correct in got:
+        n, k = n + rows_e, k + correct_e
+        assert (cum_rows, cum_correct) == (n, k)
+    batch = spark.createDataFrame([(119, "a")] * 10, "epoch long, gt string")
+    assert spark.read.parquet(f"{run.state_dir}/frozen").where("epoch = 119").count() == batch.count()
