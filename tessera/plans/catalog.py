@@ -803,8 +803,9 @@ def stream_dead_letters(spark, d):
     """A stream of messages, some of them broken: records and dead letters of committed batches."""
     path = scratch_path(spark, "messages")
     raw = table(spark, d, "events").select("event_id", _message().cast("binary").alias("value"))
-    replay.stage_blocks(raw.withColumn("block", F.floor(F.col("event_id") / DEAD_BLOCK)), "block", path)
-    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    block = F.floor(F.col("event_id") / DEAD_BLOCK)
+    replay.stage_blocks(raw.withColumn("pack", replay.pack_of(block)), "pack", path)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", replay.FILES_PER_BATCH).parquet(path)
     sink = deadletter.DeadLetterSink(spark, _MESSAGE, scratch_path(spark, "dead_letters"))
     sink.run(stream)
     return sink.good().withColumn("raw_text", F.lit(None).cast("string")) \

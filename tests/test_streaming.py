@@ -171,3 +171,20 @@ def test_blocks_after_the_last_training_share_micro_batches(spark, monkeypatch):
         assert (cum_rows, cum_correct) == (n, k)
     batch = spark.createDataFrame([(119, "a")] * 10, "epoch long, gt string")
     assert spark.read.parquet(f"{run.state_dir}/frozen").where("epoch = 119").count() == batch.count()
+
+
+def test_dead_letter_blocks_share_micro_batches(spark, monkeypatch, tmp_path):
+    """50 blocks of messages come in two micro-batches; every message comes out once."""
+    from tessera.plans import catalog
+    from tessera.streaming import deadletter
+    spark.range(200).select((F.col("id") * 1000).alias("event_id"), F.col("id").alias("user_id")) \
+        .unionByName(spark.range(1, 40).select(F.col("id").alias("event_id"), F.lit(5).cast("long").alias("user_id"))) \
+        .write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(replay, "FILES_PER_BATCH", 1)
+    seen, process = [], deadletter.DeadLetterSink.process
+    monkeypatch.setattr(deadletter.DeadLetterSink, "process", lambda s, b, e: seen.append(e) or process(s, b, e))
+    got = catalog.stream_dead_letters(spark, str(tmp_path))
+    want = catalog.decode_json_corrupt(spark, str(tmp_path)).select(
+        "Index", "Device", F.when(F.col("is_corrupt"), F.col("raw_text")).alias("raw_text"))
+    assert got.count() == 239 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert len(set(seen)) == 2
