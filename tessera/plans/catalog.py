@@ -586,9 +586,7 @@ def user_onehot(spark, d):
     """One-hot encoding in long form, (row, user's code, 1): the codes grow block by block."""
     rows = _sensor(spark, d).select("Index", "User").withColumn("block", F.floor(F.col("Index") / DICTIONARY_BLOCK))
     users = dictionary.GrowingDictionary(spark, scratch_path(spark, "user_codes"), "User")
-    last = rows.agg(F.max("block")).first()[0]
-    for epoch in range(-1 if last is None else last + 1):
-        users.extend(rows.where(F.col("block") == epoch), epoch)
+    users.extend(rows.where("block >= 0"), 0, by="block")
     return users.encode(rows).select("Index", "code", F.lit(1).alias("value"))
 
 

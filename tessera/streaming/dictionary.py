@@ -51,13 +51,18 @@ class GrowingDictionary:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*[self._path(e) for e in done])
 
-    def extend(self, batch: DataFrame, epoch: int) -> int:
-        """Numbers the new values of a batch; how many there are.  NULL gets no number."""
+    def extend(self, batch: DataFrame, epoch: int, by: str | None = None) -> int:
+        """Numbers the new values of a batch; how many there are.  NULL gets no number.
+
+        A batch of many blocks (column ``by``) gives the numbers that the blocks would give one after
+        the other: a value's place is told by the first block that has it, and then by the value.
+        """
         known = self.codes(before=epoch)
-        new = batch.select(F.col(self.column).alias("value")).where("value IS NOT NULL").distinct() \
-            .join(known, "value", "left_anti")
+        first = F.min(by) if by else F.lit(0)
+        new = batch.where(F.col(self.column).isNotNull()).groupBy(F.col(self.column).alias("value")) \
+            .agg(first.alias("__first")).join(known, "value", "left_anti")
         start = self.size(before=epoch)
-        numbered(new, [F.asc("value")], "code").select("value", (F.col("code") + start).alias("code")) \
+        numbered(new, [F.asc("__first"), F.asc("value")], "code").select("value", (F.col("code") + start).alias("code")) \
             .write.mode("overwrite").parquet(self._path(epoch))
         found = self.spark.read.parquet(self._path(epoch)).count()
         write_text(self.spark, f"{self.state_dir}/sizes/{epoch}.json", json.dumps({"size": start + found}))

@@ -70,6 +70,17 @@ def test_dictionary_grows_and_replays(spark):
     assert books.size() == 5 and books.size(before=1) == 2
 
 
+def test_a_batch_of_many_blocks_numbers_as_block_by_block(spark):
+    rows = spark.createDataFrame([(2, "a"), (0, "z"), (0, "m"), (1, "b"), (1, "z"), (2, None), (5, "aa"), (2, "c")],
+                                 "block int, v string")
+    one = GrowingDictionary(spark, scratch_path(spark, "codes"), "v")
+    for epoch in range(6):
+        one.extend(rows.where(F.col("block") == epoch), epoch)
+    whole = GrowingDictionary(spark, scratch_path(spark, "codes"), "v")
+    assert whole.extend(rows, 0, by="block") == 6
+    assert sorted(whole.codes().collect()) == sorted(one.codes().collect())
+
+
 def _outer(left, right):
     out = [(*a, *b) for a in left for b in right if a[0] is not None and a[0] == b[0]]
     out += [(*a, None, None) for a in left if not any(a[0] is not None and a[0] == b[0] for b in right)]
