@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -590,13 +589,18 @@ def user_onehot(spark, d):
     return users.encode(rows).select("Index", "code", F.lit(1).alias("value"))
 
 
+def _vector_size(column):
+    """Width of a vector, without its cells; one that is stored whole names no width."""
+    v = F.unwrap_udt(column)
+    return F.coalesce(v["size"], F.size(v["values"]))
+
+
 @query
 def onehot_assemble(spark, d):
     rows = _model_rows(spark, d)
     train, _ = fe.hash_split(rows, "Index", method="md5")
     prepared = _batch_pipeline(train).fit(train).transform(rows)
-    return prepared.select("Index", "label",
-                           F.size(vector_to_array("features")).alias("n_features"))
+    return prepared.select("Index", "label", _vector_size("features").alias("n_features"))
 
 
 @query
@@ -605,12 +609,17 @@ def onehot_vectors(spark, d):
     rows = _model_rows(spark, d)
     train, _ = fe.hash_split(rows, "Index", method="md5")
     prepared = _batch_pipeline(train).fit(train).transform(rows)
-    cells = F.transform(vector_to_array("features"), lambda v, i: F.struct(i.alias("i"), v.alias("v")))
-    width = F.size("cells")
-    hot = F.filter("cells", lambda c: (c["v"] != 0) & (c["i"] < width - 3))
-    return prepared.select("Index", cells.alias("cells")).select(
-        "Index", F.array_join(F.transform(hot, lambda c: F.concat_ws("=", c["i"], c["v"].cast("int"))), ",").alias("hot"),
-        *[F.element_at("cells", n - 3)["v"].alias(name) for n, name in enumerate(("x", "y", "z"))])
+    # only what the vector stores; a short vector may be stored whole, without places
+    v = F.unwrap_udt("features")
+    at = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    cells = F.map_from_arrays(at, v["values"])
+    first = F.col("size") - 3
+    hot = F.array_sort(F.filter(F.map_keys("cells"), lambda i: (F.try_element_at("cells", i) != 0) & (i < first)))
+    return prepared.select("Index", _vector_size("features").alias("size"), cells.alias("cells")).select(
+        "Index", F.array_join(F.transform(hot, lambda i: F.concat_ws(
+            "=", i, F.try_element_at("cells", i).cast("int"))), ",").alias("hot"),
+        *[F.coalesce(F.try_element_at("cells", first + n), F.lit(0.0)).alias(name)
+          for n, name in enumerate(("x", "y", "z"))])
 
 
 @query

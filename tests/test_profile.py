@@ -1,5 +1,6 @@
 """Sensor profiles, codes and message decoding."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import fixture_path
@@ -131,3 +132,31 @@ def test_hash_split_is_complete_disjoint_and_stable(spark):
     assert {r[0] for r in tr2.collect()} == a
     m_tr, m_te = fe.hash_split(df, "Index", method="md5")
     assert m_tr.count() + m_te.count() == 5000 and 0.66 < m_tr.count() / 5000 < 0.74
+
+
+@pytest.mark.parametrize("n_users", [1, 40])
+def test_onehot_vectors_are_read_as_stored(spark, monkeypatch, tmp_path, n_users):
+    """No row is blown up to one cell per category; short vectors are stored whole, long ones by place."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tessera.plans import catalog
+
+    def refused(*_):
+        raise AssertionError("a dense array of the vector")
+
+    monkeypatch.setattr(catalog, "vector_to_array", refused, raising=False)
+    rows = spark.range(60).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_700_000_040)).alias("ts"),
+        (F.col("id") % n_users).alias("user_id"), F.when(F.col("id") % 3 == 0, "click").otherwise("view").alias("event_type"),
+        (F.col("id") % 4 - 1).cast("double").alias("value"), F.lit('{"k": 1}').alias("props"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    whole = catalog._model_rows(spark, str(tmp_path))
+    train, _ = catalog.fe.hash_split(whole, "Index", method="md5")
+    dense = catalog._batch_pipeline(train).fit(train).transform(whole).select(
+        "Index", vector_to_array("features").alias("v")).collect()
+    got = {r.Index: r for r in catalog.onehot_vectors(spark, str(tmp_path)).collect()}
+    sizes = {r.Index: r.n_features for r in catalog.onehot_assemble(spark, str(tmp_path)).collect()}
+    assert len(got) == len(sizes) == len(dense) == 60
+    for index, v in dense:
+        places = ",".join(f"{i}={int(x)}" for i, x in enumerate(v[:-3]) if x)
+        assert (got[index].hot, [got[index].x, got[index].y, got[index].z], sizes[index]) == (places, v[-3:], len(v))
