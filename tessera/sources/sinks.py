@@ -15,6 +15,7 @@ from tessera.session import scratch_path
 from tessera.streaming.replay import read_text, write_text
 
 _MANIFEST = "_manifest.json"
+TASK_ROWS = 50_000          # rows of the base table to a task
 
 
 def arrays_as_text(df: DataFrame) -> DataFrame:
@@ -108,12 +109,14 @@ def write_pieces(base: DataFrame, details: DataFrame, specs: Sequence[pl.Fragmen
     kept = [F.when(F.col("t.site").isin(sites), None).otherwise(F.col(c)).alias(c) if sites else F.col(c)
             for c, sites in dropped.items()]
     rows = stored.withColumn("t", F.explode(present(tags))).select("t.site", "t.piece", *kept)
-    rows = rows.groupBy("site", "piece", *base.columns).agg(F.count(F.lit(1)).alias("__times"))
+    # so many rows to a task, whatever the size of the table
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-stored.count() // TASK_ROWS))
+    rows = rows.repartition(parts, *rows.columns).groupBy("site", "piece", *base.columns).agg(F.count(F.lit(1)).alias("__times"))
     times = F.when(F.col("piece") == "rest", 1).otherwise(F.col("__times").cast("int"))
     rows = rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times))).drop("__times", "__copy")
     if owners:
-        sites = stored.select(key, F.explode(present(owners)).alias("site")).distinct()
-        rows = rows.unionByName(details.join(sites, key).withColumn("piece", F.lit("details")), allowMissingColumns=True)
+        sites = stored.select(key, F.explode(present(owners)).alias("site")).repartition(parts, key).distinct()
+        rows = rows.unionByName(details.repartition(parts, key).join(sites, key).withColumn("piece", F.lit("details")), allowMissingColumns=True)
     rows.write.mode("overwrite").partitionBy("site", "piece").parquet(root)
     written = spark.read.schema(rows.schema).parquet(root).groupBy("site", "piece").count()
     counts = {f"{s.site}/{p}": 0 for s in specs for p in pieces_of(s)}

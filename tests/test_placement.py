@@ -61,3 +61,17 @@ def test_write_placement_csv_and_parquet(spark):
     assert "north/part" in out and "north/details" not in out and "east/details" in out
     back = spark.read.option("header", True).csv(out["west/rest"])
     assert back.where(F.col("genres").startswith("[")).count() == back.count()
+
+
+def test_pieces_are_written_by_more_tasks_as_the_table_grows(spark, monkeypatch):
+    """A task gets so many rows of the base table, however large it is; the rows are the same."""
+    import glob
+    import re
+    base, details = _base(spark), domain.credits(spark, SF_SMALL)
+    want = sinks.write_pieces(base, details, catalog.SITES, scratch_path(spark, "pieces"))
+    monkeypatch.setattr(sinks, "TASK_ROWS", 4)
+    root = scratch_path(spark, "pieces")
+    assert sinks.write_pieces(base, details, catalog.SITES, root) == want
+    folder = root.split("file:")[-1]
+    tasks = {re.search(r"part-(\d+)", f).group(1) for f in glob.glob(f"{folder}/**/*.parquet", recursive=True)}
+    assert len(tasks) > 16             # more than the session's 8 partitions on either side
