@@ -629,6 +629,11 @@ def hash_split_counts(spark, d):
         .unionByName(test.agg(F.count(F.lit(1)).alias("n")).withColumn("split", F.lit("test")))
 
 
+def _dealt(rows, parts):
+    """``rows`` over ``parts`` tasks, if they have fewer."""
+    return rows.repartition(parts) if rows.rdd.getNumPartitions() < parts else rows
+
+
 def _fit_and_score(spark, d, estimator):
     rows = _model_rows(spark, d)
     train, _ = fe.hash_split(rows, "Index", method="md5")
@@ -649,6 +654,9 @@ def forest_accuracy(spark, d):
     return _fit_and_score(spark, d, learn.random_forest())
 
 
+DENSE_BYTES = 1 << 28      # a forest holds four bytes per row and feature; so many of them to a task
+
+
 def _language_accuracy(spark, d, estimator, features=1 << 12):
     """Accuracy at telling a document's language from its character pairs, per side
     of the split, and whether it beats the share of that side's most frequent language by ``MARGIN``."""
@@ -665,7 +673,9 @@ def _language_accuracy(spark, d, estimator, features=1 << 12):
     rows = spark.read.parquet(path)
     train = rows.where("split = 'train'")
     rows = fe.string_indexer(["lang"], ["label"]).fit(train).transform(rows)
-    scored = learn.split_accuracy(estimator.fit(rows.where("split = 'train'")), rows)
+    train = rows.where("split = 'train'")
+    train = _dealt(train, -(-train.count() * features * 4 // DENSE_BYTES))
+    scored = learn.split_accuracy(estimator.fit(train), rows)
     most = rows.groupBy("split", "lang").count().groupBy("split").agg((F.max("count") / F.sum("count")).alias("most"))
     return scored.join(most, "split").select("split", "n_rows", F.round("most", 6).alias("majority_share"),
                                              (F.col("accuracy") > F.col("most") + MARGIN).alias("beats_majority"))

@@ -160,3 +160,23 @@ def test_onehot_vectors_are_read_as_stored(spark, monkeypatch, tmp_path, n_users
     for index, v in dense:
         places = ",".join(f"{i}={int(x)}" for i, x in enumerate(v[:-3]) if x)
         assert (got[index].hot, [got[index].x, got[index].y, got[index].z], sizes[index]) == (places, v[-3:], len(v))
+
+
+class _Seen:
+    """A learner that notes how its rows are dealt."""
+
+    def fit(self, rows):
+        from tessera.operators import learn
+        self.parts = rows.groupBy(F.spark_partition_id()).count().count()
+        return learn.MajorityClass().fit(rows)
+
+
+def test_a_forest_gets_so_many_cells_to_a_task(spark, monkeypatch, tmp_path):
+    from tessera.plans import catalog
+    spark.range(100).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"),
+                            F.when(F.col("id") % 4 == 0, "fr").otherwise("en").alias("lang")) \
+        .coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(catalog, "DENSE_BYTES", 10 * 16 * 4, raising=False)
+    seen = _Seen()
+    got = catalog._language_accuracy(spark, str(tmp_path), seen, features=16).collect()
+    assert seen.parts >= 6 and sum(r.n_rows for r in got) == 100
