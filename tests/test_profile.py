@@ -180,3 +180,17 @@ def test_a_forest_gets_so_many_cells_to_a_task(spark, monkeypatch, tmp_path):
     seen = _Seen()
     got = catalog._language_accuracy(spark, str(tmp_path), seen, features=16).collect()
     assert seen.parts >= 6 and sum(r.n_rows for r in got) == 100
+
+
+def test_model_rows_are_prepared_once_and_dealt_over_the_cores(spark, monkeypatch, tmp_path):
+    from tessera.plans import catalog
+    rows = spark.range(100).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.lit(1_700_000_040)).alias("ts"),
+        (F.col("id") % 5).alias("user_id"), F.lit("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"), F.lit('{"k": 1}').alias("props"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(catalog, "FIT_ROWS", 20, raising=False)
+    seen = _Seen()
+    got = {r.split: r for r in catalog._fit_and_score(spark, str(tmp_path), seen).collect()}
+    assert seen.parts > 1 and got["train"].n_rows + got["test"].n_rows == 100
+    assert got["train"].accuracy == got["test"].accuracy == 1.0
