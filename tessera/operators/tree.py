@@ -22,6 +22,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.learn import accuracy
+
+DRIVER_CELLS = 500_000         # cells of epochs that the driver takes at a time, if an epoch has fewer
+
 
 @dataclass
 class HistogramTreeModel:
@@ -109,8 +113,62 @@ class HistogramTree:
         binned = df.where("label IS NOT NULL").select(
             "label", model.leaf().alias("leaf"), F.posexplode(model.bins()).alias("feature", "bin"))
         table = binned.groupBy("leaf", "feature", "bin", "label").count()
+        self._learn(model, [tuple(r) for r in table.toLocalIterator()])
+        return model
+
+    def learn_epochs(self, model: HistogramTreeModel | None, df: DataFrame
+                     ) -> tuple[HistogramTreeModel | None, list[tuple[int, int, int]]]:
+        """(the model after the epochs of ``df``, their (epoch, rows, hits)): each is scored by the
+        model of those before it (the very first by its own) and then learnt, as :meth:`update` does.
+
+        The counts of many epochs come from one aggregate by the leaves of the tree as it
+        is; the epochs after one in which a leaf splits are counted again.  A tree splits
+        ``max_leaves - 1`` times at most, so the passes are few.
+        """
+        epochs = sorted(r["epoch"] for r in df.select("epoch").distinct().collect())
+        told, at, many = [], 0, 4
+        model = model and HistogramTreeModel.from_json(model.to_json())  # a replay starts from the same state
+        while at < len(epochs):
+            if model is None or not model.edges:             # the bins come from this epoch
+                rows = df.where(F.col("epoch") == epochs[at])
+                learnt = self.update(model, rows)
+                found = accuracy((learnt if model is None else model).transform(rows)).first()
+                told.append((epochs[at], found["n_rows"], found["n_correct"] or 0))
+                model, at = learnt, at + 1
+                continue
+            some = epochs[at:at + many]
+            cells = self._cells(model, df.where(F.col("epoch").between(some[0], some[-1])))
+            split = False
+            for epoch in some:
+                own = cells.get(epoch, [])
+                rows = [(leaf, label, n) for leaf, feature, _, label, n in own if feature < 0]
+                answers = {leaf: model.answer(leaf) for leaf, _, _ in rows}
+                told.append((epoch, sum(n for *_, n in rows), sum(
+                    n for leaf, label, n in rows if label is not None and label == answers[leaf])))
+                split = self._learn(model, [c for c in own if c[1] >= 0 and c[3] is not None])
+                at += 1
+                if split:
+                    break
+            most = max(1, DRIVER_CELLS * len(some) // max(1, sum(map(len, cells.values()))))
+            many = max(1, many // 2) if split else min(2 * many, most)
+        return model, told
+
+    def _cells(self, model: HistogramTreeModel, df: DataFrame) -> dict:
+        """Per epoch the (leaf, feature, bin, label, rows); as feature -1 the rows themselves."""
+        table = df.select("epoch", "label", model.leaf().alias("leaf"), F.posexplode(F.concat(
+            F.array(F.lit(0)), F.coalesce(model.bins(), F.array().cast("array<int>")))).alias("feature", "bin"))
+        table = table.groupBy("epoch", "leaf", F.col("feature") - 1, "bin", "label").count().toArrow()
+        found: dict = {}
+        for epoch, *cell in zip(*(c.to_pylist() for c in table.columns)):
+            found.setdefault(epoch, []).append(tuple(cell))
+        return found
+
+    def _learn(self, model: HistogramTreeModel, cells: list[tuple]) -> bool:
+        """Adds the (leaf, feature, bin, label, rows) of an epoch to the model; whether a leaf split."""
         number = {label: i for i, label in enumerate(model.labels)}
-        for leaf, feature, b, label, n in sorted(table.toLocalIterator(), key=lambda r: tuple(map(str, r))):
+        if any(label not in number for *_, label, _ in cells):           # new labels are numbered in this order
+            cells = sorted(cells, key=lambda r: tuple(map(str, r)))
+        for leaf, feature, b, label, n in cells:
             c = number.setdefault(label, len(number))
             if c >= self.max_classes:
                 raise ValueError(f"more than {self.max_classes} classes")
@@ -120,9 +178,10 @@ class HistogramTree:
                 seen = model.classes.setdefault(leaf, {})
                 seen[c] = seen.get(c, 0) + n
         model.labels = sorted(number, key=number.get)
+        nodes = len(model.nodes)
         for leaf in sorted(model.counts):
             self._split(model, leaf)
-        return model
+        return len(model.nodes) > nodes
 
     def _edges(self, df: DataFrame) -> list[list[float]]:
         """Quantiles of each feature in the first batch: one aggregate, features x bins numbers."""

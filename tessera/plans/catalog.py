@@ -811,12 +811,14 @@ MARGIN = 0.1
 
 
 def _letter_shares(batch):
-    """Label and the share of each of some letters in the text."""
-    low = F.lower(F.coalesce("text", F.lit("")))
-    share = [(F.length("t") - F.length(F.translate("t", c, ""))) / F.greatest(F.length("t"), F.lit(1)) for c in LETTERS]
-    kept = _kept_epoch(batch)
-    return batch.select(F.col("lang").alias("label"), low.alias("t"), *kept).select(
-        "label", *kept, F.array(*share).cast("array<double>").alias("features"))
+    """Label and the share of each of some letters in the text, whose other letters are read once."""
+    own = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+    share = lambda few, n: F.array(*[
+        (F.length(few) - F.length(F.translate(few, c, ""))) / F.greatest(n, F.lit(1)) for c in LETTERS])
+    shares = own(F.lower(F.coalesce("text", F.lit(""))), lambda t: own(
+        F.regexp_replace(t, f"[^{LETTERS}]+", ""), lambda few: share(few, F.length(t))))
+    return batch.select(F.col("lang").alias("label"), *_kept_epoch(batch),
+                        shares.cast("array<double>").alias("features"))
 
 
 @query
