@@ -119,11 +119,12 @@ def links(fingerprints: DataFrame, max_bits: int, pair_limit: int = 32) -> DataF
     cells = fingerprints.select(
         "fp", F.explode_outer(F.transform(_longs(_steps(far)), lambda d: embed(F.col("fp")) + d)).alias("cell"))
     crowd = cells.groupBy("cell").agg(F.count("*").alias("members")).filter("members > 1")
-    shared = materialise(cells.join(crowd, "cell"), "cells")
+    # Spark sizes a table as if an explode added no rows, and would broadcast what only looks small
+    shared = materialise(cells.join(crowd.hint("merge"), "cell"), "cells")
 
     few = shared.filter(F.col("members") <= pair_limit).select("cell", "fp")
     left, right = few.select("cell", F.col("fp").alias("a")), few.select("cell", F.col("fp").alias("b"))
-    pairs = left.join(right, "cell").filter(
+    pairs = left.join(right.hint("merge"), "cell").filter(
         (F.col("a") < F.col("b"))
         & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)).select("a", "b")
 
@@ -131,7 +132,7 @@ def links(fingerprints: DataFrame, max_bits: int, pair_limit: int = 32) -> DataF
     around = lambda radius: many.select("fp", F.explode_outer(F.transform(
         _longs(_flips(radius)), lambda m: F.col("fp").bitwiseXOR(m))).alias("pattern"))
     centre = around(near).groupBy("pattern").agg(F.min("fp").alias("b"))
-    stars = around(far).join(centre, "pattern").filter("fp <> b").select(F.col("fp").alias("a"), "b")
+    stars = around(far).join(centre.hint("merge"), "pattern").filter("fp <> b").select(F.col("fp").alias("a"), "b")
     return pairs.unionByName(stars).distinct()
 
 

@@ -105,3 +105,18 @@ def test_different_texts_of_one_id_each_have_a_representative(spark):
     kept = [sorted(tuple(r) for r in simhash.keep_representatives(f).collect()) for f in frames]
     assert kept[0] == kept[1]
     assert sorted(t for _, t, _ in kept[0]) == sorted(texts) and [i for i, _, _ in kept[0]] == [1, 1, 3]
+
+
+def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
+    """At Spark's own threshold a table of cells looks as small as the fingerprints it comes from."""
+    plans, stored = [], simhash.materialise
+    monkeypatch.setattr(simhash, "materialise", lambda df, name: plans.append(df) or stored(df, name))
+    prints = stored(spark.range(200).selectExpr("id % 100 AS fp").distinct(), "prints")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        plans.append(simhash.links(prints, 2, 3))
+        told = [df._jdf.queryExecution().executedPlan().toString() for df in plans]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert len(told) == 2 and all("SortMergeJoin" in t and "BroadcastExchange" not in t for t in told)
