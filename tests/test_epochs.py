@@ -30,6 +30,21 @@ def test_majority_learns_from_every_block(spark, tmp_path, monkeypatch):
     assert got[69] == (4, 3)
 
 
+def test_a_learner_of_whole_tables_trains_after_every_batch(spark, tmp_path, monkeypatch):
+    """The forest is fitted again after each block, whatever its number."""
+    _events(spark, tmp_path, 1)
+    runs = []
+    monkeypatch.setattr(catalog, "_run_blocks", lambda run, rows, name: runs.append(run) or spark.createDataFrame(
+        [(0, 1, 1, 1, 1)], "epoch long, n_rows long, n_correct long, cum_rows long, cum_correct long"))
+    catalog.prequential_forest(spark, str(tmp_path))
+    run = prequential.Prequential(spark, lambda b: b, learn.MajorityClass(), scratch_path(spark, "late"),
+                                  retrain_until=runs[0].retrain_until)
+    assert not runs[0].steps() and runs[0].history_epochs is None
+    for e in (0, 45):
+        run.process(spark.createDataFrame([("a",)], "label string"), e)
+    assert replay.list_epochs(spark, run._path("model"), "_DONE") == [0, 45]
+
+
 def test_no_rows_no_epochs(spark):
     run = prequential.Prequential(spark, lambda b: b, learn.MajorityClass(), scratch_path(spark, "none"))
     rows = spark.createDataFrame([], "label string, block long")
