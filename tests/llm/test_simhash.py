@@ -120,3 +120,17 @@ def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert len(told) == 2 and all("SortMergeJoin" in t and "BroadcastExchange" not in t for t in told)
+
+
+def test_the_dedup_stage_broadcasts_no_cells(spark, docs, monkeypatch):
+    """The stage of the pipeline, planned with Spark's own threshold."""
+    plans, stored = [], simhash.materialise
+    monkeypatch.setattr(simhash, "materialise", lambda df, name: stored(df, name) if name != "cells" else
+                        plans.append(df._jdf.queryExecution().executedPlan().toString()) or stored(df, name))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        kept = simhash.keep_representatives(docs).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert kept and len(plans) == 1 and "BroadcastExchange" not in plans[0]
